@@ -628,3 +628,306 @@ register(
     "company_list",
     with_base("SELECT DISTINCT recalling_firm_clean FROM scored WHERE recalling_firm_clean IS NOT NULL"),
 )(lambda s, d: explore.company_list(scored(s, d)))
+
+
+# ================================================ §2.A sources and sinks
+# These write with Spark (under the shared checkpoint folder) and read back
+# what was written; the oracle is SQL over the same derived records.
+from ..schemas import SCORED_COLUMNS, SERVING_TABLES, SILVER_COLUMNS  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import bronze as B  # noqa: E402
+from ..sources import serving as S  # noqa: E402
+from ..sources import tables as T  # noqa: E402
+
+SOURCE = "derived:orders+customer"
+BRONZE_META = {"source": SOURCE, "fetched_at": "2001-07-01T00:00:00", "requested_limit": None, "warning": None}
+FIXED_NOW = "2001-07-01 08:30:00"
+WINDOW_A = ("1992-01-01", "1997-12-31")
+WINDOW_B = ("1997-07-01", "2002-12-31")
+SOURCE_LIMIT = 1000
+
+
+def _bronze(s, d, records_df=None):
+    path = scratch_path(s, "bronze")
+    B.write_bronze(records(s, d) if records_df is None else records_df, path, BRONZE_META)
+    return path
+
+
+register("read_bronze", with_base("SELECT * FROM fx"))(lambda s, d: B.read_bronze(s, _bronze(s, d)))
+
+
+def _archives(s, d):
+    path = scratch_path(s, "archives")
+    B.write_bronze_archives(records(s, d), path, BRONZE_META).count()
+    return B.read_bronze_archives(s, path)
+
+
+register("read_bronze_archives", with_base("SELECT * FROM fx"))(_archives)
+
+register(
+    "bronze_meta",
+    with_base(f"SELECT {q(SOURCE)} AS source, count(*) AS records_fetched FROM fx"),
+)(lambda s, d: B.bronze_meta(s, _bronze(s, d)).groupBy("source").agg(F.sum("records_fetched").alias("records_fetched")))
+
+
+def _union_batches(s, d):
+    r = records(s, d)
+    first = r.filter(F.col("report_date") < "19980101")
+    second = r.filter(F.col("report_date") >= "19980101").drop("city")
+    return B.union_batches(first, second)
+
+
+register(
+    "union_batches",
+    with_base(
+        "SELECT * FROM fx WHERE report_date < '19980101' "
+        "UNION ALL SELECT * REPLACE (CAST(NULL AS VARCHAR) AS city) FROM fx WHERE report_date >= '19980101'"
+    ),
+)(_union_batches)
+
+_WIN_DATE = O.compact_date_sql("report_date")
+register(
+    "source_window",
+    with_base(
+        f"SELECT * FROM fx WHERE {_WIN_DATE} BETWEEN DATE '{REPORT_START}' AND DATE '{REPORT_END}' "
+        f"ORDER BY {_WIN_DATE} ASC NULLS LAST, "
+        + ", ".join(f"{c} ASC NULLS LAST" for c in O.RECORD_FIELDS)
+        + f" LIMIT {SOURCE_LIMIT}"
+    ),
+)(lambda s, d: B.source_window(records(s, d), "report_date", REPORT_START, REPORT_END.replace("-", ""), SOURCE_LIMIT))
+
+register("read_table", "SELECT * FROM customer")(lambda s, d: T.read_table(s, f"{d.rstrip('/')}/customer.parquet"))
+
+
+def _write_table(s, d):
+    path = scratch_path(s, "silver")
+    T.write_table(silver(s, d), path)
+    return T.read_table(s, path)
+
+
+register("write_table", with_base("SELECT * FROM silver"))(_write_table)
+
+
+def _first_non_empty(s, d):
+    missing = scratch_path(s, "missing")
+    return T.first_non_empty(lambda: T.read_table(s, missing), lambda: scored(s, d))
+
+
+register("first_non_empty", with_base("SELECT * FROM scored"))(_first_non_empty)
+
+
+def _staged_overwrite(s, d):
+    path = scratch_path(s, "silver")
+    T.write_table(silver(s, d), path)
+    T.staged_overwrite(s, path, lambda df: explore.filter_report_date(df, REPORT_START, REPORT_END))
+    return T.read_table(s, path)
+
+
+register(
+    "staged_overwrite",
+    with_base(f"SELECT * FROM silver WHERE report_date >= DATE '{REPORT_START}' AND report_date <= DATE '{REPORT_END}'"),
+)(_staged_overwrite)
+
+
+def _window_scored(s, d, window):
+    return score_recalls(explore.filter_report_date(silver(s, d), *window))
+
+
+_WINDOW_CTES = (
+    f"silver_a AS (SELECT * FROM silver WHERE report_date BETWEEN DATE '{WINDOW_A[0]}' AND DATE '{WINDOW_A[1]}'),\n"
+    f"silver_b AS (SELECT * FROM silver WHERE report_date BETWEEN DATE '{WINDOW_B[0]}' AND DATE '{WINDOW_B[1]}'),\n"
+    f"scored_a AS ({O.scored_select_sql('silver_a')}),\n"
+    f"scored_b AS ({O.scored_select_sql('silver_b')}),\n"
+    f"load_a AS ({O.dedupe_sql('(' + O.fill_keys_sql('scored_a', ['recall_number']) + ') fa', ['recall_number'], SCORED_COLUMNS)}),\n"
+    f"load_b AS ({O.dedupe_sql('(' + O.fill_keys_sql('scored_b', ['recall_number']) + ') fb', ['recall_number'], SCORED_COLUMNS)})"
+)
+
+
+def _keyed_upsert(s, d):
+    path = scratch_path(s, "recalls")
+    S.upsert_table(s, path, _window_scored(s, d, WINDOW_A), ["recall_number"], FIXED_NOW)
+    S.upsert_table(s, path, _window_scored(s, d, WINDOW_B), ["recall_number"], FIXED_NOW)
+    return T.read_table(s, path).drop("updated_at")
+
+
+register(
+    "keyed_upsert",
+    with_base(
+        "SELECT * FROM load_a WHERE recall_number NOT IN (SELECT recall_number FROM load_b) UNION ALL SELECT * FROM load_b",
+        _WINDOW_CTES,
+    ),
+)(_keyed_upsert)
+
+
+def _replace_load(s, d):
+    path = scratch_path(s, "recalls")
+    S.replace_load(s, path, _window_scored(s, d, WINDOW_A), ["recall_number"], FIXED_NOW)
+    S.replace_load(s, path, _window_scored(s, d, WINDOW_B), ["recall_number"], FIXED_NOW)
+    return T.read_table(s, path).drop("updated_at")
+
+
+register("replace_load", with_base("SELECT * FROM load_b", _WINDOW_CTES))(_replace_load)
+
+
+def _serving_sources(s, d):
+    sc = scored(s, d)
+    g = gold.gold_tables(sc)
+    return {name: (sc if spec["gold"] == "scored" else g[spec["gold"]]) for name, spec in SERVING_TABLES.items()}
+
+
+register(
+    "load_tables",
+    with_base("""SELECT 'recalls' AS "table", count(*) AS loaded FROM scored
+UNION ALL SELECT 'company_risk', count(DISTINCT coalesce(recalling_firm_clean, chr(0))) FROM scored
+UNION ALL SELECT 'recall_reason_summary', count(DISTINCT recall_reason_category) FROM scored
+UNION ALL SELECT 'monthly_recall_trends', count(DISTINCT coalesce(strftime(recall_initiation_date, '%Y-%m'), chr(0))) FROM scored
+UNION ALL SELECT 'geographic_recall_summary', count(*) FROM (SELECT DISTINCT state, country FROM scored) g
+UNION ALL SELECT 'product_category_summary', count(DISTINCT product_category) FROM scored
+UNION ALL SELECT 'risk_tier_summary', count(DISTINCT risk_tier) FROM scored
+UNION ALL SELECT 'open_recall_aging', count_if(regexp_matches(status, '(?i)ongoing')) FROM scored"""),
+)(lambda s, d: S.load_tables(s, _serving_sources(s, d), scratch_path(s, "serving"), now=FIXED_NOW))
+
+register(
+    "to_serving_rows",
+    with_base(f"""SELECT recalling_firm_clean, total_recalls, avg_risk_score,
+  strftime(latest_recall_date, '%Y-%m-%d') AS latest_recall_date, class_i_recalls, high_risk_recalls, ongoing_recalls
+FROM ({COMPANY_RISK_SQL}) c"""),
+)(lambda s, d: S.to_serving_rows(gold.company_risk(scored(s, d)), FIXED_NOW).drop("updated_at"))
+
+_SERVING_CASTS = ", ".join(
+    f"CAST({c} AS {'INTEGER' if t.simpleString() == 'int' else t.simpleString().upper().replace('STRING', 'VARCHAR')}) AS {c}"
+    for c, t in SERVING_TABLES["recalls"]["columns"].items()
+)
+register("enforce_serving_schema", with_base(f"SELECT {_SERVING_CASTS} FROM scored"))(
+    lambda s, d: S.enforce_serving_schema(scored(s, d), "recalls")
+)
+register(
+    "serving_key_report",
+    with_base("""SELECT 'recalls' AS "table", count(*) AS rows, count_if(recall_number IS NULL) AS null_keys,
+  count_if(recall_number IS NOT NULL) - count(DISTINCT recall_number) AS duplicate_keys FROM scored"""),
+)(lambda s, d: S.key_report(scored(s, d), "recalls"))
+register(
+    "normalize_dates",
+    with_base(f"SELECT {', '.join(rules.OPEN_AGING_COLUMNS)} FROM scored WHERE regexp_matches(status, '(?i)ongoing')"),
+)(lambda s, d: S.normalize_dates(
+    S.to_serving_rows(gold.open_recall_aging(scored(s, d)), FIXED_NOW).drop("updated_at")
+))
+register(
+    "backfill_columns",
+    with_base("SELECT * REPLACE ('Unknown' AS product_category, 'Unknown' AS distribution_scope) FROM scored"),
+)(lambda s, d: S.backfill_columns(scored(s, d).drop("product_category", "distribution_scope")))
+
+
+def _run_log(s, d):
+    from .stages import run_stages
+
+    out = scratch_path(s, "run")
+    run_stages(s, _bronze(s, d), out, load=True, now=FIXED_NOW)
+    empty = scratch_path(s, "bronze-empty")
+    B.write_bronze(records(s, d).filter(F.lit(False)), empty, BRONZE_META)
+    run_stages(s, empty, out, load=True, now=FIXED_NOW)
+    return T.read_table(s, f"{out}/pipeline_runs").select(
+        "source", "records_fetched", "records_loaded", "status", "warning", "error"
+    )
+
+
+register(
+    "append_run_log",
+    with_base(f"""SELECT {q(SOURCE)} AS source, count(*) AS records_fetched, count(*) AS records_loaded, 'success' AS status,
+  CAST(NULL AS VARCHAR) AS warning, CAST(NULL AS VARCHAR) AS error FROM fx
+UNION ALL SELECT CAST(NULL AS VARCHAR), 0, 0, 'success', 'No records found for requested date window.', CAST(NULL AS VARCHAR)"""),
+)(_run_log)
+
+# ===================================================== §2.H composite runs
+
+
+def _bronze_to_silver(s, d):
+    from .stages import bronze_to_silver
+
+    return bronze_to_silver(s, _bronze(s, d), scratch_path(s, "silver"))
+
+
+register("bronze_to_silver", with_base("SELECT * FROM silver"))(_bronze_to_silver)
+
+
+def _build_gold(s, d):
+    from .stages import build_gold
+
+    path = scratch_path(s, "scored")
+    T.write_table(scored(s, d), path)
+    paths = build_gold(s, path, scratch_path(s, "gold"))
+    return explore.table_row_counts({name: T.read_table(s, p) for name, p in paths.items()})
+
+
+register(
+    "build_gold",
+    with_base("""SELECT 'recall_overview' AS "table", count(DISTINCT coalesce(classification, chr(0))) AS rows FROM scored
+UNION ALL SELECT 'recall_reason_summary', count(DISTINCT recall_reason_category) FROM scored
+UNION ALL SELECT 'company_risk', count(DISTINCT coalesce(recalling_firm_clean, chr(0))) FROM scored
+UNION ALL SELECT 'company_watchlist', count(DISTINCT coalesce(recalling_firm_clean, chr(0))) FROM scored
+UNION ALL SELECT 'monthly_recall_trends', count(DISTINCT coalesce(strftime(recall_initiation_date, '%Y-%m'), chr(0))) FROM scored
+UNION ALL SELECT 'geographic_recall_summary', count(*) FROM (SELECT DISTINCT state, country FROM scored) g
+UNION ALL SELECT 'risk_tier_summary', count(DISTINCT risk_tier) FROM scored
+UNION ALL SELECT 'product_category_summary', count(DISTINCT product_category) FROM scored
+UNION ALL SELECT 'open_recall_aging', count_if(regexp_matches(status, '(?i)ongoing')) FROM scored"""),
+)(_build_gold)
+
+
+def _run_all(s, d):
+    from .stages import run_stages
+
+    out = scratch_path(s, "run")
+    run_stages(s, _bronze(s, d), out, report_start=WINDOW_A[0], report_end=WINDOW_A[1], load=True, now=FIXED_NOW)
+    return T.read_table(s, f"{out}/serving/recalls").drop("updated_at")
+
+
+register("run_all_stages", with_base("SELECT * FROM load_a", _WINDOW_CTES))(_run_all)
+
+
+def _refresh_all(s, d):
+    from .stages import refresh_stages
+
+    res = refresh_stages(s, _bronze(s, d), scratch_path(s, "run"))
+    return T.read_table(s, res["scored_path"])
+
+
+register("refresh_all_stages", with_base("SELECT * FROM scored"))(_refresh_all)
+
+# ======================================================= §2.I streaming
+CORRECTION_DAYS = 30
+
+
+def _corrections(r):
+    """Second drop: every still-open record is re-reported later, closed."""
+    later = F.date_format(F.date_add(F.try_to_date("report_date", "yyyyMMdd"), CORRECTION_DAYS), "yyyyMMdd")
+    return r.filter(F.col("status") == "ONGOING").select(
+        *[
+            later.alias(c) if c in ("report_date", "termination_date")
+            else F.lit("Terminated").alias(c) if c == "status"
+            else F.col(c)
+            for c in O.RECORD_FIELDS
+        ]
+    )
+
+
+def _incremental(s, d):
+    from ..streaming.incremental import incremental_refresh, served_table
+
+    r = records(s, d)
+    land = scratch_path(s, "landing")
+    B.write_bronze(r, f"{land}/drop-1", BRONZE_META)
+    B.write_bronze(_corrections(r), f"{land}/drop-2", BRONZE_META)
+    served = scratch_path(s, "served")
+    incremental_refresh(s, f"{land}/*", served, scratch_path(s, "stream-ckpt"), history=True)
+    return served_table(s, served)
+
+
+_LATER = f"strftime(CAST(try_strptime(report_date, '%Y%m%d') AS DATE) + INTERVAL {CORRECTION_DAYS} DAY, '%Y%m%d')"
+_INCR_CTES = (
+    "fx2 AS (SELECT * FROM fx UNION ALL SELECT * REPLACE ('Terminated' AS status, "
+    f"{_LATER} AS report_date, {_LATER} AS termination_date) FROM fx WHERE status = 'ONGOING'),\n"
+    f"silver2 AS ({O.silver_select_sql('fx2')}),\n"
+    f"silver2d AS ({O.dedupe_sql('(' + O.fill_keys_sql('silver2', ['recall_number']) + ') f2', ['recall_number'], SILVER_COLUMNS)}),\n"
+    f"scored2 AS ({O.scored_select_sql('silver2d')})"
+)
+register("incremental_refresh", with_base("SELECT * FROM scored2", _INCR_CTES))(_incremental)

@@ -139,3 +139,21 @@ def with_base(final_sql: str, extra_ctes: str = "") -> str:
 
 
 RECORD_COLS = ", ".join(RECORD_FIELDS)
+
+
+def fill_keys_sql(src: str, keys) -> str:
+    repl = ", ".join(f"CASE WHEN {k} IS NULL OR {k} = '' THEN 'Unknown' ELSE {k} END AS {k}" for k in keys)
+    return f"SELECT * REPLACE ({repl}) FROM {src}"
+
+
+def dedupe_sql(src: str, keys, columns, order_first: str = "report_date") -> str:
+    """One row per key: latest ``order_first``, then greatest remaining
+    columns with NULL lowest - the same total order as max(struct)."""
+    rest = [c for c in columns if c not in keys]
+    if order_first in rest:
+        rest = [order_first] + [c for c in rest if c != order_first]
+    order = ", ".join(f"{c} DESC NULLS LAST" for c in rest)
+    return (
+        f"SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(keys)} "
+        f"ORDER BY {order}) AS _rn FROM {src}) d WHERE _rn = 1"
+    )
