@@ -16,8 +16,12 @@ def _col(c: Column | str) -> Column:
 
 
 def parse_compact_date(c: Column | str) -> Column:
-    """'yyyyMMdd' text -> DATE; blank or malformed -> NULL."""
-    return F.try_to_date(_col(c), "yyyyMMdd")
+    """'yyyyMMdd' text -> DATE; blank or malformed -> NULL.
+
+    Text that is not eight digits is NULL without attempting a parse
+    (a failed parse costs an exception per row)."""
+    col = _col(c)
+    return F.when(col.rlike("^[0-9]{8}$"), F.try_to_date(col, "yyyyMMdd"))
 
 
 def recall_duration_days(initiation: Column | str, termination: Column | str, report: Column | str) -> Column:

@@ -12,6 +12,38 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_REGEX_META = set("\\^$.|?*+()[]{}")
+
+
+def literal_alternatives(pattern: str) -> list[str] | None:
+    """The alternatives of a pattern made only of literal words joined by
+    '|' (an escaped dot counts as a literal dot), else None."""
+    words = []
+    for alt in pattern.split("|"):
+        plain = alt.replace("\\.", "")
+        if not alt or any(ch in _REGEX_META for ch in plain):
+            return None
+        words.append(alt.replace("\\.", "."))
+    return words
+
+
+def pattern_found(lowered: Column, pattern: str) -> Column:
+    """``lowered`` contains a match of ``pattern`` (find-anywhere semantics).
+
+    A pure alternation of literals is evaluated as OR-ed substring tests,
+    which the JVM runs as byte searches - several times faster than a
+    regex alternation over long texts, and the same answer.
+    """
+    words = literal_alternatives(pattern)
+    if words is None:
+        return lowered.rlike(pattern)
+    cond = None
+    for w in words:
+        c = F.contains(lowered, F.lit(w))
+        cond = c if cond is None else cond | c
+    return cond
+
+
 def first_match_category(
     c: Column | str,
     ordered_rules: list[tuple[str, str]],
@@ -25,7 +57,7 @@ def first_match_category(
     lowered = F.lower(_col(c))
     expr = None
     for pattern, label in ordered_rules:
-        cond = lowered.rlike(pattern)
+        cond = pattern_found(lowered, pattern)
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     if default is None:
         return expr

@@ -151,7 +151,7 @@ register(
     f"{O.first_match_sql('text', rules.PRODUCT_RULES, q(rules.PRODUCT_DEFAULT))} AS product_category, "
     f"{O.first_match_sql('text', rules.DISTRIBUTION_RULES, q(rules.DISTRIBUTION_DEFAULT))} AS distribution_scope "
     "FROM documents",
-)(lambda s, d: read_driver_table(s, d, "documents").select(
+)(lambda s, d: read_driver_table(s, d, "documents", spread=True).select(
     "doc_id",
     text.first_match_category("text", rules.REASON_RULES, rules.REASON_DEFAULT).alias("reason_category"),
     text.first_match_category("text", rules.PRODUCT_RULES, rules.PRODUCT_DEFAULT).alias("product_category"),
@@ -329,7 +329,7 @@ register(
 register(
     "text_search_documents",
     f"SELECT doc_id, lang, source FROM documents WHERE lower(CAST(text AS VARCHAR)) LIKE {q('%' + DOC_SEARCH + '%')}",
-)(lambda s, d: explore.text_search(read_driver_table(s, d, "documents"), DOC_SEARCH, columns=["text"]).select(
+)(lambda s, d: explore.text_search(read_driver_table(s, d, "documents", spread=True), DOC_SEARCH, columns=["text"]).select(
     "doc_id", "lang", "source"
 ))
 

@@ -11,11 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.partitioning import spread_scan
 from ..schemas import RECORD_FIELDS
 
 
-def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_driver_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_scan(df) if spread else df
 
 
 def _case(key, mapping: dict[int, str]):
@@ -35,6 +37,8 @@ def recall_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_driver_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
     )
+    # Text rules downstream are CPU-bound: make sure they get every core.
+    orders = spread_scan(orders)
     customer = read_driver_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment"
     )
