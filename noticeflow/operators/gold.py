@@ -127,3 +127,65 @@ def gold_tables(scored: DataFrame) -> dict[str, DataFrame]:
     out = {name: fn(scored) for name, fn in GOLD_TABLES.items()}
     out["company_watchlist"] = company_watchlist(out["company_risk"])
     return out
+
+
+# ------------------------------------------------ single-pass summaries
+# group keys of the seven group-by summaries, and the measures each keeps
+SUMMARY_SETS: dict[str, list[str]] = {
+    "recall_overview": ["classification"],
+    "recall_reason_summary": ["recall_reason_category"],
+    "company_risk": ["recalling_firm_clean"],
+    "monthly_recall_trends": ["recall_month"],
+    "geographic_recall_summary": ["state", "country"],
+    "risk_tier_summary": ["risk_tier"],
+    "product_category_summary": ["product_category"],
+}
+SUMMARY_MEASURES: dict[str, list[tuple[str, str]]] = {
+    "recall_overview": [("n", "count")],
+    "recall_reason_summary": [("n", "count")],
+    "company_risk": [
+        ("n", "total_recalls"), ("avg_risk_score", "avg_risk_score"), ("latest_recall_date", "latest_recall_date"),
+        ("class_i_recalls", "class_i_recalls"), ("high_risk_recalls", "high_risk_recalls"),
+        ("ongoing_recalls", "ongoing_recalls"),
+    ],
+    "monthly_recall_trends": [("n", "count")],
+    "geographic_recall_summary": [("n", "total_recalls"), ("avg_risk_score", "avg_risk_score")],
+    "risk_tier_summary": [("n", "count"), ("avg_risk_score", "avg_risk_score")],
+    "product_category_summary": [("n", "count"), ("avg_risk_score", "avg_risk_score")],
+}
+_SET_KEYS = list(dict.fromkeys(k for ks in SUMMARY_SETS.values() for k in ks))
+
+
+def _set_id(keys: list[str]) -> int:
+    """grouping_id() of a set: bit set for every key *not* grouped."""
+    n = len(_SET_KEYS)
+    return sum(1 << (n - 1 - i) for i, k in enumerate(_SET_KEYS) if k not in keys)
+
+
+def summary_sets(scored: DataFrame) -> DataFrame:
+    """All seven summaries in one pass: GROUPING SETS over a single scan,
+    partially aggregated map-side, one shuffle of (groups x tasks) rows.
+    ``_set`` tells the sets apart (a NULL key stays a real NULL group)."""
+    c = F.col
+    base = scored.select(
+        *[c(k) for k in _SET_KEYS if k != "recall_month"],
+        dates.recall_month("recall_initiation_date").alias("recall_month"),
+        "risk_score", "recall_initiation_date", "status",
+    )
+    return base.groupingSets([[c(k) for k in ks] for ks in SUMMARY_SETS.values()], *[c(k) for k in _SET_KEYS]).agg(
+        F.grouping_id().alias("_set"),
+        F.count(F.lit(1)).alias("n"),
+        F.avg("risk_score").alias("avg_risk_score"),
+        F.max("recall_initiation_date").alias("latest_recall_date"),
+        F.count_if(c("classification") == "Class I").alias("class_i_recalls"),
+        F.count_if(c("risk_tier").isin(HIGH_TIERS)).alias("high_risk_recalls"),
+        F.count_if(c("status").rlike("(?i)ongoing")).alias("ongoing_recalls"),
+    )
+
+
+def summary_from_sets(sets: DataFrame, name: str) -> DataFrame:
+    """One gold summary cut from the :func:`summary_sets` table."""
+    keys = SUMMARY_SETS[name]
+    return sets.filter(F.col("_set") == F.lit(_set_id(keys))).select(
+        *keys, *[F.col(src).alias(dst) for src, dst in SUMMARY_MEASURES[name]]
+    )

@@ -931,3 +931,18 @@ _INCR_CTES = (
     f"scored2 AS ({O.scored_select_sql('silver2d')})"
 )
 register("incremental_refresh", with_base("SELECT * FROM scored2", _INCR_CTES))(_incremental)
+
+# ============================================ single-pass gold summaries
+register("summary_sets_company_risk", with_base(COMPANY_RISK_SQL))(
+    lambda s, d: gold.summary_from_sets(gold.summary_sets(scored(s, d)), "company_risk")
+)
+register(
+    "summary_sets_geographic",
+    with_base(
+        "SELECT state, country, count(*) AS total_recalls, avg(risk_score) AS avg_risk_score FROM scored GROUP BY state, country"
+    ),
+)(lambda s, d: gold.summary_from_sets(gold.summary_sets(scored(s, d)), "geographic_recall_summary"))
+register(
+    "summary_sets_monthly",
+    with_base("SELECT strftime(recall_initiation_date, '%Y-%m') AS recall_month, count(*) AS count FROM scored GROUP BY 1"),
+)(lambda s, d: gold.summary_from_sets(gold.summary_sets(scored(s, d)), "monthly_recall_trends"))
