@@ -15,7 +15,7 @@ def repeated_company_count(
     df: DataFrame,
     history: DataFrame | None = None,
     key: str = FIRM_KEY,
-    method: str = "salted",
+    method: str = "auto",
 ) -> DataFrame:
     """Rows sharing the clean firm name, minus the row itself.
 
@@ -54,6 +54,6 @@ def add_scores(df: DataFrame) -> DataFrame:
     )
 
 
-def score_recalls(silver: DataFrame, history: DataFrame | None = None, method: str = "salted") -> DataFrame:
+def score_recalls(silver: DataFrame, history: DataFrame | None = None, method: str = "auto") -> DataFrame:
     """Silver + 9 score columns (35 columns)."""
     return add_scores(repeated_company_count(silver, history=history, method=method))

@@ -5,11 +5,16 @@ so a key (or the NULL key) holding a third of the data becomes a third of
 the job in a single task. Instead:
 
 1. ``groupBy(k).count()`` - partial aggregation combines map-side, so a
-   hot key costs one row per map task in the shuffle.
-2. The ``hot_keys`` largest groups (a top-k, so at most ``hot_keys`` rows:
+   hot key costs one row per map task in the shuffle. The counts are
+   checkpointed (one small job, lineage cut in ``spark.checkpoint.dir``).
+2. Size check: when the counts table is within ``broadcast_max_keys`` rows
+   and ``broadcast_max_bytes`` of key data, it is broadcast and attached in
+   a map-only hash join - the rows are never shuffled, so skew cannot
+   arise. Otherwise:
+3. The ``hot_keys`` largest groups (a top-k, so at most ``hot_keys`` rows:
    a proven size bound) are broadcast and attached to their rows in a
    map-only hash join.
-3. The remaining rows get their count through a shuffle join with the
+4. The remaining rows get their count through a shuffle join with the
    counts table on the struct (key, salt). Rows of hot keys carry a salt in
    ``1..salt_buckets`` derived from a hash of the row, so they spread over
    many reducers and never match; cold rows carry salt 0. Every cold key
@@ -17,8 +22,7 @@ the job in a single task. Instead:
    one key. Any residual concentration (exact duplicate rows of a hot key
    hash alike) is split by AQE's skew-join handling.
 
-The counts join is left to AQE: when the counts table turns out small at
-runtime it becomes a broadcast join from measured sizes.
+The salted counts join is left to AQE's join selection.
 """
 
 from __future__ import annotations
@@ -26,6 +30,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
+BROADCAST_MAX_KEYS = 2_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
 
 def attach_group_count(
     df: DataFrame,
@@ -34,19 +43,32 @@ def attach_group_count(
     counts_from: DataFrame | None = None,
     hot_keys: int = 1024,
     salt_buckets: int = 64,
-    method: str = "salted",
+    method: str = "auto",
+    broadcast_max_keys: int = BROADCAST_MAX_KEYS,
+    broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Add ``out`` = number of rows of ``counts_from`` (default ``df``) with
-    the same ``keys`` (NULL keys form one group, as in a window)."""
+    the same ``keys`` (NULL keys form one group, as in a window).
+
+    ``method``: 'auto' (broadcast the counts when the size check passes,
+    else salted), 'salted', or 'window' (the plain window, for checks).
+    'auto' and 'salted' run one job when called (the key counts).
+    """
     source = df if counts_from is None else counts_from
     if method == "window":
         if counts_from is not None:
             raise ValueError("method='window' counts within df only")
         return df.withColumn(out, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    if method != "salted":
+    if method not in ("auto", "salted"):
         raise ValueError(f"unknown method {method!r}")
 
-    counts = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_gc_n"))
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_gc_n")).checkpoint()
+    if method == "auto":
+        key_bytes = sum(F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys)
+        size = counts.agg(F.count(F.lit(1)).alias("n"), F.sum(key_bytes + F.lit(8)).alias("b")).first()
+        if size["n"] <= broadcast_max_keys and (size["b"] or 0) <= broadcast_max_bytes:
+            return _broadcast_counts(df, keys, counts, out)
     hk = [f"_gc_hot_k{i}" for i in range(len(keys))]
     ck = [f"_gc_cold_k{i}" for i in range(len(keys))]
 
@@ -79,6 +101,14 @@ def attach_group_count(
     )
 
 
+def _broadcast_counts(df: DataFrame, keys: list[str], counts: DataFrame, out: str) -> DataFrame:
+    """Map-only attach of a size-checked counts table."""
+    bk = [f"_gc_b_k{i}" for i in range(len(keys))]
+    small = counts.select(*[F.col(k).alias(a) for k, a in zip(keys, bk)], F.col("_gc_n").alias(out))
+    joined = df.join(F.broadcast(small), on=_null_safe_all([df[k] for k in keys], [small[a] for a in bk]), how="left")
+    return joined.select(*[F.col(c) for c in df.columns], F.col(out))
+
+
 def _null_safe_all(left, right):
     cond = None
     for a, b in zip(left, right):

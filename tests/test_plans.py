@@ -27,8 +27,14 @@ def scored_table(spark):
     return path
 
 
-def test_scoring_has_no_window_and_a_bounded_broadcast(spark):
-    p = plan(score_recalls(silver_projection(recall_records(spark, SF_SMALL))))
+def test_scoring_broadcasts_checked_counts_without_shuffling_rows(spark):
+    p = plan(score_recalls(silver_projection(recall_records(spark, SF_SMALL))), "simple")
+    assert "Window" not in p and "SortMergeJoin" not in p
+    assert "BroadcastHashJoin" in p
+
+
+def test_salted_scoring_has_no_window_and_a_bounded_broadcast(spark):
+    p = plan(score_recalls(silver_projection(recall_records(spark, SF_SMALL)), method="salted"))
     assert "Window" not in p
     assert "TakeOrderedAndProject" in p and "1024" in p
     assert "BroadcastExchange" in p

@@ -64,7 +64,7 @@ def test_salted_group_count_equals_window_with_hot_keys(spark):
         .otherwise(F.concat(F.lit("k"), (F.col("id") % 97).cast("string"))).alias("k"),
         F.col("id"),
     )
-    salted = attach_group_count(df, ["k"], out="n", hot_keys=2, salt_buckets=16)
+    salted = attach_group_count(df, ["k"], out="n", hot_keys=2, salt_buckets=16, method="salted")
     window = attach_group_count(df, ["k"], out="n", method="window")
     assert salted.exceptAll(window).count() == 0 and window.exceptAll(salted).count() == 0
     counts = {r["k"]: r["n"] for r in salted.select("k", "n").distinct().collect()}
@@ -73,7 +73,18 @@ def test_salted_group_count_equals_window_with_hot_keys(spark):
 
 def test_hot_key_rows_spread_over_partitions(spark):
     df = spark.range(0, 20000).select(F.lit("hot").alias("k"), F.col("id"))
-    out = attach_group_count(df, ["k"], out="n", salt_buckets=32)
+    out = attach_group_count(df, ["k"], out="n", salt_buckets=32, method="salted")
     per_part = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert max(r["count"] for r in per_part) < 20000  # not all in one task
     assert out.filter(F.col("n") != 20000).count() == 0
+
+
+def test_broadcast_and_salted_paths_agree(spark):
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 4 == 0, F.lit(None)).otherwise((F.col("id") % 13).cast("string")).alias("k"), "id"
+    )
+    a = attach_group_count(df, ["k"], out="n")  # size check passes: broadcast
+    b = attach_group_count(df, ["k"], out="n", method="salted", hot_keys=3)
+    c = attach_group_count(df, ["k"], out="n", broadcast_max_keys=5)  # check fails: salted
+    for x, y in [(a, b), (a, c)]:
+        assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
