@@ -6,7 +6,8 @@ the job in a single task. Instead:
 
 1. ``groupBy(k).count()`` - partial aggregation combines map-side, so a
    hot key costs one row per map task in the shuffle. The counts are
-   checkpointed (one small job, lineage cut in ``spark.checkpoint.dir``).
+   written once as a small table under ``spark.checkpoint.dir`` (one job;
+   the lineage is cut there, so a lost executor never recomputes them).
 2. Size check: when the counts table is within ``broadcast_max_keys`` rows
    and ``broadcast_max_bytes`` of key data, it is broadcast and attached in
    a map-only hash join - the rows are never shuffled, so skew cannot
@@ -30,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 
 BROADCAST_MAX_KEYS = 2_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
@@ -62,8 +63,10 @@ def attach_group_count(
     if method not in ("auto", "salted"):
         raise ValueError(f"unknown method {method!r}")
 
-    ensure_checkpoint_dir(df.sparkSession)
-    counts = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_gc_n")).checkpoint()
+    spark = df.sparkSession
+    path = scratch_path(spark, "group-counts")
+    source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_gc_n")).write.parquet(path)
+    counts = spark.read.parquet(path)
     if method == "auto":
         key_bytes = sum(F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys)
         size = counts.agg(F.count(F.lit(1)).alias("n"), F.sum(key_bytes + F.lit(8)).alias("b")).first()
