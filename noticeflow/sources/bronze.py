@@ -138,7 +138,8 @@ def write_bronze_archives(records: DataFrame, directory: str, meta: dict | None
     def to_zips(batches):
         from pyspark import TaskContext
 
-        pid = TaskContext.get().partitionId()
+        ctx = TaskContext.get()
+        pid, attempt = ctx.partitionId(), ctx.attemptNumber()
         filesystem, root = _arrow_fs(base)
         filesystem.create_dir(root, recursive=True)
         for i, pdf in enumerate(batches):
@@ -148,8 +149,12 @@ def write_bronze_archives(records: DataFrame, directory: str, meta: dict | None
             with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as zf:
                 zf.writestr("food-enforcement-0001-of-0001.json", _doc_json(meta, pdf["j"].tolist()))
             name = f"part-{pid:05d}-{i:05d}.zip"
-            with filesystem.open_output_stream(f"{root}/{name}") as out:
+            # Write under an attempt-specific name, then move into place: a
+            # retried or speculative attempt never exposes a partial file.
+            tmp = f"{root}/_tmp-{name}-{attempt}"
+            with filesystem.open_output_stream(tmp) as out:
                 out.write(buf.getvalue())
+            filesystem.move(tmp, f"{root}/{name}")
             yield pd.DataFrame({"path": [f"{base}/{name}"], "records": [len(pdf)]})
 
     return rec.mapInPandas(to_zips, "path string, records long")

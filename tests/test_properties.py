@@ -88,3 +88,31 @@ def test_broadcast_and_salted_paths_agree(spark):
     c = attach_group_count(df, ["k"], out="n", broadcast_max_keys=5)  # check fails: salted
     for x, y in [(a, b), (a, c)]:
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+
+
+def test_literal_rule_rewrite_equals_regex(spark):
+    """The substring form of literal alternations gives the regex answer."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from noticeflow.functions import rules
+    from noticeflow.functions.text import first_match_category
+
+    words = [w for _, ws in rules.PRODUCT_RULES + rules.REASON_RULES + rules.DISTRIBUTION_RULES for w in ws.split("|")]
+    piece = st.one_of(st.sampled_from(words + ["E. COLI", "Ice Cream", "e.coli", ", "]), st.text(max_size=6))
+    texts = st.lists(st.lists(piece, max_size=6).map(" ".join), min_size=50, max_size=50)
+
+    @settings(max_examples=4, deadline=None)
+    @given(texts)
+    def check(batch):
+        df = spark.createDataFrame([(t,) for t in batch] + [(None,)], "t string")
+        for table, default in [(rules.PRODUCT_RULES, "Other"), (rules.REASON_RULES, "Other"),
+                               (rules.DISTRIBUTION_RULES, "Local/Unknown")]:
+            regex = None
+            for p, label in table:
+                cond = F.lower(F.col("t")).rlike(p)
+                regex = F.when(cond, label) if regex is None else regex.when(cond, label)
+            got = df.select(first_match_category("t", table, default).alias("a"), regex.otherwise(default).alias("b"))
+            assert got.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
+
+    check()
