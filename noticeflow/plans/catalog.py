@@ -750,6 +750,22 @@ def _keyed_upsert(s, d):
     return T.read_table(s, path).drop("updated_at")
 
 
+def _keyed_upsert_partitioned(s, d):
+    path = scratch_path(s, "recalls")
+    part = S.partition_value("recalls")
+    S.upsert_partitioned(s, path, _window_scored(s, d, WINDOW_A), ["recall_number"], "report_month", part, FIXED_NOW)
+    S.upsert_partitioned(s, path, _window_scored(s, d, WINDOW_B), ["recall_number"], "report_month", part, FIXED_NOW)
+    return T.read_table(s, path).drop("updated_at", "report_month")
+
+
+register(
+    "keyed_upsert_partitioned",
+    with_base(
+        "SELECT * FROM load_a WHERE recall_number NOT IN (SELECT recall_number FROM load_b) UNION ALL SELECT * FROM load_b",
+        _WINDOW_CTES,
+    ),
+)(_keyed_upsert_partitioned)
+
 register(
     "keyed_upsert",
     with_base(
@@ -878,7 +894,7 @@ def _run_all(s, d):
 
     out = scratch_path(s, "run")
     run_stages(s, _bronze(s, d), out, report_start=WINDOW_A[0], report_end=WINDOW_A[1], load=True, now=FIXED_NOW)
-    return T.read_table(s, f"{out}/serving/recalls").drop("updated_at")
+    return T.read_table(s, f"{out}/serving/recalls").drop("updated_at", "report_month")
 
 
 register("run_all_stages", with_base("SELECT * FROM load_a", _WINDOW_CTES))(_run_all)

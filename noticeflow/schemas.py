@@ -80,6 +80,9 @@ SERVING_TABLES: dict[str, dict] = {
             "risk_score": _I, "risk_tier": _T, "risk_explanation": _T,
         },
         "gold": "scored",
+        # served partitioned by report month, so an upsert rewrites only
+        # the months it touches
+        "partition": "report_month",
     },
     "company_risk": {
         "keys": ["recalling_firm_clean"],

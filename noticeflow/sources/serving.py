@@ -138,10 +138,88 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: list[
     return int(obs.get.get("rows", 0))
 
 
-def replace_load(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], now=None) -> int:
-    """Clear the table, then load: it becomes exactly the (keyed) input."""
+MAX_SWAPPED_PARTITIONS = 5000
+
+
+def partition_value(table: str) -> Column | None:
+    """The partition column expression of a serving table (None: unpartitioned)."""
+    if SERVING_TABLES[table].get("partition") == "report_month":
+        return F.coalesce(F.date_format("report_date", "yyyy-MM"), F.lit("none"))
+    return None
+
+
+def partition_dir(spark: SparkSession, column: str, value) -> str:
+    """Directory name Spark uses for a partition value."""
+    esc = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return f"{column}={esc.escapePathName(str(value))}"
+
+
+def upsert_partitioned(
+    spark: SparkSession,
+    path: str,
+    updates: DataFrame,
+    keys: list[str],
+    partition_col: str,
+    partition_expr: Column,
+    now=None,
+) -> int:
+    """Keyed upsert into a table partitioned by ``partition_col`` (derived
+    from each row by ``partition_expr``, never NULL) that rewrites only the
+    partitions the batch touches: those receiving batch rows and those
+    holding the previous version of a batch key. A daily batch against
+    years of history rewrites a handful of partitions, not the table.
+
+    The touched partitions are listed on the driver (bounded by the table's
+    partition count; beyond ``MAX_SWAPPED_PARTITIONS`` the whole table is
+    rewritten instead), their new contents are written to a staging
+    directory, and each is swapped in - so a partition that ends up empty
+    is removed rather than left stale.
+    """
+    from .tables import remove_path, swap_into
+
+    counted, obs = _observed(updates)
+    batch = keyed_upsert(None, counted, keys, now).withColumn(partition_col, partition_expr)
+    if not path_exists(spark, path):
+        batch.write.partitionBy(partition_col).parquet(path)
+        return int(obs.get.get("rows", 0))
+    batch = batch.persist()
+    try:
+        target = read_table(spark, path)
+        old_parts = target.select(*keys, partition_col).join(batch.select(*keys), keys, "left_semi")
+        touched = old_parts.select(partition_col).unionByName(batch.select(partition_col)).distinct()
+        parts = [r[0] for r in touched.limit(MAX_SWAPPED_PARTITIONS + 1).collect()]
+        if len(parts) > MAX_SWAPPED_PARTITIONS:
+            staged_write(keyed_upsert(target, batch.drop("updated_at"), keys, now), path, [partition_col])
+            return int(obs.get.get("rows", 0))
+        # Literal IN list: the scan reads only the touched partitions.
+        current = target.filter(F.col(partition_col).isin(parts))
+        new_rows = current.join(batch.select(*keys), keys, "left_anti").unionByName(batch, allowMissingColumns=True)
+        staging = f"{path.rstrip('/')}.__staging-{uuid.uuid4().hex[:10]}"
+        new_rows.write.partitionBy(partition_col).parquet(staging)
+        n = int(obs.get.get("rows", 0))
+    finally:
+        batch.unpersist()
+    for value in parts:
+        d = partition_dir(spark, partition_col, value)
+        staged = f"{staging}/{d}"
+        if path_exists(spark, staged):
+            swap_into(spark, staged, f"{path.rstrip('/')}/{d}")
+        else:
+            remove_path(spark, f"{path.rstrip('/')}/{d}")
+    remove_path(spark, staging)
+    return n
+
+
+def replace_load(
+    spark: SparkSession, path: str, rows: DataFrame, keys: list[str], now=None, partition: tuple | None = None
+) -> int:
+    """Clear the table, then load: it becomes exactly the (keyed) input.
+    ``partition`` = (column, expression) writes it partitioned."""
     counted, obs = _observed(rows)
-    write_table(keyed_upsert(None, counted, keys, now), path, "overwrite")
+    out = keyed_upsert(None, counted, keys, now)
+    if partition:
+        out = out.withColumn(partition[0], partition[1])
+    write_table(out, path, "overwrite", [partition[0]] if partition else None)
     return int(obs.get.get("rows", 0))
 
 
@@ -157,12 +235,17 @@ def load_tables(
     (table, loaded) with the per-table input row counts."""
     from concurrent.futures import ThreadPoolExecutor
 
-    fn = replace_load if replace else upsert_table
     names = tables or list(SERVING_TABLES)
 
     def load(name):
         path = f"{serving_dir.rstrip('/')}/{name}"
-        return name, int(fn(spark, path, sources[name], SERVING_TABLES[name]["keys"], now))
+        keys = SERVING_TABLES[name]["keys"]
+        part = SERVING_TABLES[name].get("partition")
+        if replace:
+            return name, replace_load(spark, path, sources[name], keys, now, part and (part, partition_value(name)))
+        if part:
+            return name, upsert_partitioned(spark, path, sources[name], keys, part, partition_value(name), now)
+        return name, upsert_table(spark, path, sources[name], keys, now)
 
     # Independent tables: submit the loads concurrently.
     with ThreadPoolExecutor(max_workers=len(names)) as pool:
