@@ -55,7 +55,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        # Unset: only happens in local runs / tests.
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: point it at a folder shared by the cluster "
+                "(scratch tables and lineage cuts are written there)"
+            )
+        # Local runs and tests only: a private temporary folder.
         conf_dir = tempfile.mkdtemp(prefix="noticeflow-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
