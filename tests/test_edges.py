@@ -202,3 +202,25 @@ def test_stream_restart_is_idempotent_and_picks_up_new_files(spark, tmp_path):
     rebuild = score_recalls(dedupe_latest(fill_keys(silver_projection(recs), ["recall_number"]), ["recall_number"]))
     a, b = total.select(*SCORED_COLUMNS), rebuild.select(*SCORED_COLUMNS)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_partitioned_upsert_moves_rows_and_drops_emptied_partitions(spark, tmp_path):
+    import datetime as dt
+
+    path = str(tmp_path / "served")
+    part = F.coalesce(F.date_format("report_date", "yyyy-MM"), F.lit("none"))
+    rows = lambda data: spark.createDataFrame(data, "recall_number string, report_date date, status string")
+    first = rows([("A", dt.date(2020, 1, 5), "Ongoing"), ("B", dt.date(2020, 2, 5), "Ongoing"),
+                  ("C", dt.date(2020, 2, 9), "Ongoing"), (None, None, "x")])
+    assert serving.upsert_partitioned(spark, path, first, ["recall_number"], "report_month", part) == 4
+    # A is corrected into March: January becomes empty and must vanish
+    second = rows([("A", dt.date(2020, 3, 1), "Terminated"), ("D", dt.date(2020, 2, 20), "Ongoing")])
+    assert serving.upsert_partitioned(spark, path, second, ["recall_number"], "report_month", part) == 2
+    got = {(r["recall_number"], r["report_month"], r["status"]) for r in tables.read_table(spark, path).collect()}
+    assert got == {("A", "2020-03", "Terminated"), ("B", "2020-02", "Ongoing"), ("C", "2020-02", "Ongoing"),
+                   ("D", "2020-02", "Ongoing"), ("Unknown", "none", "x")}
+    assert not (tmp_path / "served" / "report_month=2020-01").exists()
+    # the same batch again changes nothing but the stamp
+    serving.upsert_partitioned(spark, path, second, ["recall_number"], "report_month", part)
+    again = {(r["recall_number"], r["report_month"], r["status"]) for r in tables.read_table(spark, path).collect()}
+    assert again == got
