@@ -934,7 +934,7 @@ def _incremental(s, d):
     B.write_bronze(r, f"{land}/drop-1", BRONZE_META)
     B.write_bronze(_corrections(r), f"{land}/drop-2", BRONZE_META)
     served = scratch_path(s, "served")
-    incremental_refresh(s, f"{land}/*", served, scratch_path(s, "stream-ckpt"), history=True)
+    incremental_refresh(s, f"{land}/*", served, scratch_path(s, "stream-ckpt"), history=True)  # exact counts
     return served_table(s, served)
 
 
@@ -962,3 +962,36 @@ register(
     "summary_sets_monthly",
     with_base("SELECT strftime(recall_initiation_date, '%Y-%m') AS recall_month, count(*) AS count FROM scored GROUP BY 1"),
 )(lambda s, d: gold.summary_from_sets(gold.summary_sets(scored(s, d)), "monthly_recall_trends"))
+
+
+def _incremental_batch_relative(s, d):
+    """Two drops processed as two runs (two micro-batches), batch-relative
+    scores: rows of the first drop that the second does not replace keep
+    the scores computed within the first drop."""
+    from ..streaming.incremental import incremental_refresh, served_table
+
+    r = records(s, d)
+    land, served, ckpt = scratch_path(s, "landing"), scratch_path(s, "served"), scratch_path(s, "stream-ckpt")
+    B.write_bronze(r, f"{land}/drop-1", BRONZE_META)
+    incremental_refresh(s, f"{land}/*", served, ckpt, history=False)
+    B.write_bronze(_corrections(r), f"{land}/drop-2", BRONZE_META)
+    incremental_refresh(s, f"{land}/*", served, ckpt, history=False)
+    return served_table(s, served)
+
+
+_BATCH_RELATIVE_CTES = (
+    "fxc AS (SELECT * REPLACE ('Terminated' AS status, "
+    f"{_LATER} AS report_date, {_LATER} AS termination_date) FROM fx WHERE status = 'ONGOING'),\n"
+    f"silver_d1 AS ({O.dedupe_sql('(' + O.fill_keys_sql('(' + O.silver_select_sql('fx') + ') s1', ['recall_number']) + ') f1', ['recall_number'], SILVER_COLUMNS)}),\n"
+    f"silver_d2 AS ({O.dedupe_sql('(' + O.fill_keys_sql('(' + O.silver_select_sql('fxc') + ') s2', ['recall_number']) + ') f2', ['recall_number'], SILVER_COLUMNS)}),\n"
+    f"scored_d1 AS ({O.scored_select_sql('silver_d1')}),\n"
+    f"scored_d2 AS ({O.scored_select_sql('silver_d2')})"
+)
+register(
+    "incremental_refresh_batch_relative",
+    with_base(
+        "SELECT * FROM scored_d1 WHERE recall_number NOT IN (SELECT recall_number FROM scored_d2) "
+        "UNION ALL SELECT * FROM scored_d2",
+        _BATCH_RELATIVE_CTES,
+    ),
+)(_incremental_batch_relative)

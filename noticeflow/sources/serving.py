@@ -17,7 +17,7 @@ from pyspark.sql.types import DateType, DoubleType, FloatType, TimestampNTZType,
 
 from ..functions import dates, rules, text
 from ..schemas import RUN_LOG, SERVING_TABLES
-from .tables import path_exists, read_table, staged_write, write_table
+from .tables import path_exists, read_table, staged_write, write_clustered, write_table
 
 # ------------------------------------------------------------- row shaping
 
@@ -107,10 +107,21 @@ def dedupe_latest(df: DataFrame, keys: list[str], order_first: str | None = "rep
     return picked.select(*[F.col(k) for k in keys], *[F.col(f"_pick.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
-def keyed_upsert(target: DataFrame | None, updates: DataFrame, keys: list[str], now=None, stamp: bool = True) -> DataFrame:
+def keyed_upsert(
+    target: DataFrame | None,
+    updates: DataFrame,
+    keys: list[str],
+    now=None,
+    stamp: bool = True,
+    assume_unique: bool = False,
+) -> DataFrame:
     """Target rows whose key is not in the batch, plus the batch (keys
-    filled, one row per key, stamped with ``updated_at``)."""
-    batch = dedupe_latest(fill_keys(updates, keys), keys)
+    filled, one row per key, stamped with ``updated_at``).
+    ``assume_unique`` skips the de-duplication for a batch the caller
+    already reduced to one row per filled key."""
+    batch = fill_keys(updates, keys)
+    if not assume_unique:
+        batch = dedupe_latest(batch, keys)
     if stamp:
         batch = batch.withColumn("updated_at", _stamp(now))
     if target is None:
@@ -162,6 +173,7 @@ def upsert_partitioned(
     partition_col: str,
     partition_expr: Column,
     now=None,
+    assume_unique: bool = False,
 ) -> int:
     """Keyed upsert into a table partitioned by ``partition_col`` (derived
     from each row by ``partition_expr``, never NULL) that rewrites only the
@@ -178,9 +190,9 @@ def upsert_partitioned(
     from .tables import remove_path, swap_into
 
     counted, obs = _observed(updates)
-    batch = keyed_upsert(None, counted, keys, now).withColumn(partition_col, partition_expr)
+    batch = keyed_upsert(None, counted, keys, now, assume_unique=assume_unique).withColumn(partition_col, partition_expr)
     if not path_exists(spark, path):
-        batch.write.partitionBy(partition_col).parquet(path)
+        write_clustered(batch, path, partition_col, keys)
         return int(obs.get.get("rows", 0))
     batch = batch.persist()
     try:
@@ -195,7 +207,7 @@ def upsert_partitioned(
         current = target.filter(F.col(partition_col).isin(parts))
         new_rows = current.join(batch.select(*keys), keys, "left_anti").unionByName(batch, allowMissingColumns=True)
         staging = f"{path.rstrip('/')}.__staging-{uuid.uuid4().hex[:10]}"
-        new_rows.write.partitionBy(partition_col).parquet(staging)
+        write_clustered(new_rows, staging, partition_col, keys)
         n = int(obs.get.get("rows", 0))
     finally:
         batch.unpersist()
@@ -218,8 +230,9 @@ def replace_load(
     counted, obs = _observed(rows)
     out = keyed_upsert(None, counted, keys, now)
     if partition:
-        out = out.withColumn(partition[0], partition[1])
-    write_table(out, path, "overwrite", [partition[0]] if partition else None)
+        write_clustered(out.withColumn(partition[0], partition[1]), path, partition[0], keys, "overwrite")
+    else:
+        write_table(out, path, "overwrite")
     return int(obs.get.get("rows", 0))
 
 

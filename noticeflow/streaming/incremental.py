@@ -6,61 +6,71 @@ merged into the served ``recalls`` table with a keyed upsert inside
 ``foreachBatch``. Late and corrected records are handled by the upsert
 (latest report date wins within a batch, later batches replace earlier
 rows), so no watermark or streaming state is needed; progress lives in the
-checkpoint, so a restarted job resumes where it stopped.
+checkpoint, so a restarted job resumes where it stopped. The served table
+is partitioned by report month and a batch rewrites only the months it
+touches.
 
-With ``history=True`` the repeat-company counts are kept exact: rows of
+By default scores are batch-relative, as in the source system: a batch's
+repeat-company counts see only that batch, and only the batch's rows (and
+the months they touch) are rewritten. With ``history=True`` the
+repeat-company counts are kept exact: rows of
 every firm touched by the batch (including a firm a corrected record
 moved away from) are re-scored against the merged table, so the served
-table equals a batch rebuild over the same de-duplicated records.
+table equals a batch rebuild over the same de-duplicated records - at the
+cost of rewriting every month that holds a row of an affected firm.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.explore import filter_report_date
 from ..operators.scoring import FIRM_KEY, score_recalls
 from ..operators.silver import silver_projection
 from ..schemas import BRONZE_DOCUMENT, SCORED_COLUMNS, SILVER_COLUMNS
 from ..sources.bronze import explode_records
-from ..sources.serving import dedupe_latest, fill_keys
-from ..sources.tables import path_exists, read_table, staged_write
+from ..sources.serving import dedupe_latest, fill_keys, partition_value, upsert_partitioned
+from ..sources.tables import path_exists, read_table
 
 KEYS = ["recall_number"]
+PARTITION_COL = "report_month"
 
 
 def merge_batch(
     spark: SparkSession,
     batch_records: DataFrame,
     served_path: str,
-    history: bool = True,
+    history: bool = False,
     report_start: str | None = None,
     report_end: str | None = None,
 ) -> None:
-    """Upsert one micro-batch of bronze records into the served table."""
+    """Upsert one micro-batch of bronze records into the served table.
+
+    The served table is partitioned by report month and only the months
+    holding replaced or new rows are rewritten (``upsert_partitioned``).
+    """
     silver_b = silver_projection(batch_records)
     silver_b = filter_report_date(silver_b, report_start, report_end)
     silver_b = dedupe_latest(fill_keys(silver_b, KEYS), KEYS).persist()
     try:
         if silver_b.isEmpty():
             return
-        if not path_exists(spark, served_path):
-            staged_write(score_recalls(silver_b).select(*SCORED_COLUMNS), served_path)
-            return
-        served = read_table(spark, served_path)
-        batch_keys = silver_b.select(*KEYS)
-        kept = served.join(batch_keys, KEYS, "left_anti")
-        if not history:
-            # Batch-relative scores: only the new rows are scored, within the batch.
-            staged_write(kept.unionByName(score_recalls(silver_b).select(*SCORED_COLUMNS)), served_path)
-            return
-        replaced_firms = served.join(batch_keys, KEYS, "left_semi").select(FIRM_KEY)
-        affected = silver_b.select(FIRM_KEY).unionByName(replaced_firms).distinct()
-        on_firm = kept[FIRM_KEY].eqNullSafe(affected[FIRM_KEY])
-        untouched = kept.join(affected, on_firm, "left_anti")
-        touched_silver = kept.join(affected, on_firm, "left_semi").select(*SILVER_COLUMNS).unionByName(silver_b)
-        staged_write(untouched.unionByName(score_recalls(touched_silver).select(*SCORED_COLUMNS)), served_path)
+        if not history or not path_exists(spark, served_path):
+            # Batch-relative scores (or the first batch): only the new rows change.
+            replacement = score_recalls(silver_b)
+        else:
+            served = read_table(spark, served_path)
+            batch_keys = silver_b.select(*KEYS)
+            replaced_firms = served.join(batch_keys, KEYS, "left_semi").select(FIRM_KEY)
+            affected = silver_b.select(FIRM_KEY).unionByName(replaced_firms).distinct()
+            on_firm = served[FIRM_KEY].eqNullSafe(affected[FIRM_KEY])
+            others = served.join(affected, on_firm, "left_semi").join(batch_keys, KEYS, "left_anti")
+            # Every row of an affected firm is re-scored against the merged rows.
+            replacement = score_recalls(others.select(*SILVER_COLUMNS).unionByName(silver_b))
+        upsert_partitioned(
+            spark, served_path, replacement.select(*SCORED_COLUMNS), KEYS,
+            PARTITION_COL, partition_value("recalls"), assume_unique=True,
+        )
     finally:
         silver_b.unpersist()
 
@@ -70,7 +80,7 @@ def incremental_refresh(
     bronze_dir: str,
     served_path: str,
     checkpoint: str,
-    history: bool = True,
+    history: bool = False,
     report_start: str | None = None,
     report_end: str | None = None,
     multiline: bool = False,
