@@ -184,12 +184,12 @@ def test_stream_restart_is_idempotent_and_picks_up_new_files(spark, tmp_path):
     recs = recall_records(spark, SF_SMALL)
     land, served, ckpt = str(tmp_path / "land"), str(tmp_path / "served"), str(tmp_path / "ckpt")
     bronze.write_bronze(recs.filter(F.col("report_date") < "19980101"), f"{land}/d1", {"source": "t"})
-    incremental_refresh(spark, f"{land}/*", served, ckpt)
+    incremental_refresh(spark, f"{land}/*", served, ckpt, history=True)
     first = served_table(spark, served).count()
-    incremental_refresh(spark, f"{land}/*", served, ckpt)  # nothing new
+    incremental_refresh(spark, f"{land}/*", served, ckpt, history=True)  # nothing new
     assert served_table(spark, served).count() == first
     bronze.write_bronze(recs.filter(F.col("report_date") >= "19980101"), f"{land}/d2", {"source": "t"})
-    incremental_refresh(spark, f"{land}/*", served, ckpt)
+    incremental_refresh(spark, f"{land}/*", served, ckpt, history=True)
     total = served_table(spark, served)
     keys = recs.select(F.coalesce("recall_number", F.lit("Unknown")).alias("k")).distinct().count()
     assert total.count() == keys
