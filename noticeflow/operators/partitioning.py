@@ -17,3 +17,15 @@ def spread_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``df`` hinted for broadcast when a count shows at most ``max_rows``
+    rows, else unchanged (left to a shuffle join). Runs one job: call it on
+    a persisted or cheap DataFrame."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.count() <= max_rows else df

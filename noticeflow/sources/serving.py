@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, FloatType, TimestampNTZType, TimestampType
 
 from ..functions import dates, rules, text
+from ..operators.partitioning import checked_broadcast
 from ..schemas import RUN_LOG, SERVING_TABLES
 from .tables import path_exists, read_table, staged_write, write_clustered, write_table
 
@@ -197,7 +198,11 @@ def upsert_partitioned(
     batch = batch.persist()
     try:
         target = read_table(spark, path)
-        old_parts = target.select(*keys, partition_col).join(batch.select(*keys), keys, "left_semi")
+        # A daily batch is small: its keys are broadcast (behind a row-count
+        # check), so finding previous versions is a map-only semi-join over
+        # two columns of the table instead of a shuffle of all its keys.
+        batch_keys = checked_broadcast(batch.select(*keys))
+        old_parts = target.select(*keys, partition_col).join(batch_keys, keys, "left_semi")
         touched = old_parts.select(partition_col).unionByName(batch.select(partition_col)).distinct()
         parts = [r[0] for r in touched.limit(MAX_SWAPPED_PARTITIONS + 1).collect()]
         if len(parts) > MAX_SWAPPED_PARTITIONS:
@@ -205,7 +210,7 @@ def upsert_partitioned(
             return int(obs.get.get("rows", 0))
         # Literal IN list: the scan reads only the touched partitions.
         current = target.filter(F.col(partition_col).isin(parts))
-        new_rows = current.join(batch.select(*keys), keys, "left_anti").unionByName(batch, allowMissingColumns=True)
+        new_rows = current.join(batch_keys, keys, "left_anti").unionByName(batch, allowMissingColumns=True)
         staging = f"{path.rstrip('/')}.__staging-{uuid.uuid4().hex[:10]}"
         write_clustered(new_rows, staging, partition_col, keys)
         n = int(obs.get.get("rows", 0))

@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.explore import filter_report_date
+from ..operators.partitioning import checked_broadcast
 from ..operators.scoring import FIRM_KEY, score_recalls
 from ..operators.silver import silver_projection
 from ..schemas import BRONZE_DOCUMENT, SCORED_COLUMNS, SILVER_COLUMNS
@@ -52,6 +53,7 @@ def merge_batch(
     silver_b = silver_projection(batch_records)
     silver_b = filter_report_date(silver_b, report_start, report_end)
     silver_b = dedupe_latest(fill_keys(silver_b, KEYS), KEYS).persist()
+    affected = None
     try:
         if silver_b.isEmpty():
             return
@@ -60,11 +62,12 @@ def merge_batch(
             replacement = score_recalls(silver_b)
         else:
             served = read_table(spark, served_path)
-            batch_keys = silver_b.select(*KEYS)
+            batch_keys = checked_broadcast(silver_b.select(*KEYS))
             replaced_firms = served.join(batch_keys, KEYS, "left_semi").select(FIRM_KEY)
-            affected = silver_b.select(FIRM_KEY).unionByName(replaced_firms).distinct()
-            on_firm = served[FIRM_KEY].eqNullSafe(affected[FIRM_KEY])
-            others = served.join(affected, on_firm, "left_semi").join(batch_keys, KEYS, "left_anti")
+            affected = silver_b.select(FIRM_KEY).unionByName(replaced_firms).distinct().persist()
+            firms = checked_broadcast(affected)
+            on_firm = served[FIRM_KEY].eqNullSafe(firms[FIRM_KEY])
+            others = served.join(firms, on_firm, "left_semi").join(batch_keys, KEYS, "left_anti")
             # Every row of an affected firm is re-scored against the merged rows.
             replacement = score_recalls(others.select(*SILVER_COLUMNS).unionByName(silver_b))
         upsert_partitioned(
@@ -73,6 +76,8 @@ def merge_batch(
         )
     finally:
         silver_b.unpersist()
+        if affected is not None:
+            affected.unpersist()
 
 
 def incremental_refresh(
