@@ -160,33 +160,46 @@ def write_bronze_archives(records: DataFrame, directory: str, meta: dict | None
     return rec.mapInPandas(to_zips, "path string, records long")
 
 
-_UNZIP_CHUNK = 5000
-
-
 def read_bronze_archives(spark: SparkSession, directory: str) -> DataFrame:
     """Every ZIP under ``directory``: the first ``.json`` member of each,
     all ``results`` appended. An empty listing, or an archive without a
-    JSON member, is an error. One task per archive (binaryFile), records
-    re-emitted in bounded chunks, parsed JVM-side with the record schema."""
+    JSON member, is an error.
+
+    One task per archive stream-decompresses its member (constant memory)
+    into the shared scratch folder; Spark's JSON reader then parses the
+    documents JVM-side with the explicit schema - no record passes through
+    Python objects.
+    """
+    from ..session import scratch_path
+
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(directory)
     if not files.inputFiles():
         raise RuntimeError(f"No archives found under {directory}")
+    out_dir = scratch_path(spark, "unzipped")
 
     def unzip(batches):
+        import hashlib
+        import shutil
+
+        from pyspark import TaskContext
+
+        attempt = TaskContext.get().attemptNumber()
+        filesystem, root = _arrow_fs(out_dir)
+        filesystem.create_dir(root, recursive=True)
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
                 with zipfile.ZipFile(io.BytesIO(content)) as zf:
                     names = [n for n in zf.namelist() if n.endswith(".json")]
                     if not names:
                         raise RuntimeError(f"No JSON file found inside {path}")
-                    with zf.open(names[0]) as fh:
-                        doc = json.load(fh)
-                results = doc.get("results") or []
-                for i in range(0, len(results), _UNZIP_CHUNK):
-                    chunk = results[i:i + _UNZIP_CHUNK]
-                    yield pd.DataFrame({"path": [path] * len(chunk), "record": [json.dumps(r) for r in chunk]})
-
-    raw = files.select("path", "content").mapInPandas(unzip, "path string, record string")
-    parsed = raw.select(F.from_json("record", RECORD).alias("r"))
-    return parsed.select(*[F.col(f"r.{f}").alias(f) for f in RECORD_FIELDS])
-
+                    name = hashlib.sha1(path.encode()).hexdigest() + ".json"
+                    tmp = f"{root}/_tmp-{name}-{attempt}"
+                    with zf.open(names[0]) as src, filesystem.open_output_stream(tmp) as dst:
+                        shutil.copyfileobj(src, dst, 1 << 20)
+                    filesystem.move(tmp, f"{root}/{name}")
+                yield pd.DataFrame({"archive": [path], "document": [f"{out_dir}/{name}"]})
+
+    # One row per archive (the listing's size) comes back to the driver.
+    documents = [r["document"] for r in files.select("path", "content").mapInPandas(
+        unzip, "archive string, document string").collect()]
+    return read_bronze(spark, documents, multiline=True)
