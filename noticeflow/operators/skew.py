@@ -76,7 +76,7 @@ def attach_group_count(
     ck = [f"_gc_cold_k{i}" for i in range(len(keys))]
 
     hot = (
-        counts.orderBy(F.col("_gc_n").desc())
+        counts.orderBy(F.col("_gc_n").desc(), *[F.col(k).asc_nulls_first() for k in keys])
         .limit(hot_keys)
         .select(*[F.col(k).alias(a) for k, a in zip(keys, hk)], F.col("_gc_n").alias("_gc_hot_n"))
     )
