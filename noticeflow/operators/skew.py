@@ -28,7 +28,7 @@ The salted counts join is left to AQE's join selection.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -65,12 +65,19 @@ def attach_group_count(
 
     spark = df.sparkSession
     path = scratch_path(spark, "group-counts")
-    source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_gc_n")).write.parquet(path)
+    # The size of the counts table is observed while it is written (rows
+    # and key bytes), so the check costs no extra job.
+    size = Observation(f"group-counts-{path.rsplit('-', 1)[-1]}")
+    key_bytes = sum(F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys)
+    (
+        source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_gc_n"))
+        .observe(size, F.count(F.lit(1)).alias("n"), F.sum(key_bytes + F.lit(8)).alias("b"))
+        .write.parquet(path)
+    )
     counts = spark.read.parquet(path)
     if method == "auto":
-        key_bytes = sum(F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys)
-        size = counts.agg(F.count(F.lit(1)).alias("n"), F.sum(key_bytes + F.lit(8)).alias("b")).first()
-        if size["n"] <= broadcast_max_keys and (size["b"] or 0) <= broadcast_max_bytes:
+        n, b = size.get.get("n", 0), size.get.get("b") or 0
+        if n <= broadcast_max_keys and b <= broadcast_max_bytes:
             return _broadcast_counts(df, keys, counts, out)
     hk = [f"_gc_hot_k{i}" for i in range(len(keys))]
     ck = [f"_gc_cold_k{i}" for i in range(len(keys))]
