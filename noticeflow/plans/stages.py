@@ -15,12 +15,21 @@ from ..operators.scoring import score_recalls
 from ..operators.silver import silver_projection
 from ..schemas import SERVING_TABLES
 from ..sources import bronze, serving
-from ..sources.tables import read_table, staged_overwrite, write_table
+from ..sources.tables import read_table, write_table
 
 
-def bronze_to_silver(spark: SparkSession, bronze_path, silver_path: str, multiline: bool = False) -> DataFrame:
-    """Read bronze documents, project to silver, write Parquet; returns the written table."""
-    write_table(silver_projection(bronze.read_bronze(spark, bronze_path, multiline)), silver_path)
+def bronze_to_silver(
+    spark: SparkSession,
+    bronze_path,
+    silver_path: str,
+    multiline: bool = False,
+    report_start: str | None = None,
+    report_end: str | None = None,
+) -> DataFrame:
+    """Read bronze documents, project to silver (optionally keeping a
+    report-date window), write Parquet; returns the written table."""
+    silver = filter_report_date(silver_projection(bronze.read_bronze(spark, bronze_path, multiline)), report_start, report_end)
+    write_table(silver, silver_path)
     return read_table(spark, silver_path)
 
 
@@ -90,10 +99,9 @@ def run_stages(
         return {"status": "success", "bronze_path": bronze_path, "records_fetched": 0, "loaded": {}, "warning": warning}
 
     silver_path, scored_path = f"{base}/silver", f"{base}/scored"
-    bronze_to_silver(spark, bronze_path, silver_path, multiline)
-    if report_start or report_end:
-        staged_overwrite(spark, silver_path, lambda df: filter_report_date(df, report_start, report_end))
-    silver = read_table(spark, silver_path)
+    # The report-date window is applied before silver is written (one write,
+    # the same table as writing everything and rewriting it filtered).
+    silver = bronze_to_silver(spark, bronze_path, silver_path, multiline, report_start, report_end)
     write_table(quality.dq_report(silver), f"{base}/data_quality_report")
     write_table(score_recalls(silver), scored_path)
     gold_paths = build_gold(spark, scored_path, f"{base}/gold")
