@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..schemas import BRONZE_DOCUMENT, RECORD, RECORD_FIELDS
+from ..schemas import BRONZE_DOCUMENT, RECORD_FIELDS
 
 
 def read_bronze_documents(spark: SparkSession, path, multiline: bool = False) -> DataFrame:
