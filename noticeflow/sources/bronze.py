@@ -147,7 +147,7 @@ def write_bronze_archives(records: DataFrame, directory: str, meta: dict | None
                 continue
             buf = io.BytesIO()
             with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as zf:
-                zf.writestr("food-enforcement-0001-of-0001.json", _doc_json(meta, pdf["j"].tolist()))
+                zf.writestr("documents-0001.json", _doc_json(meta, pdf["j"].tolist()))
             name = f"part-{pid:05d}-{i:05d}.zip"
             # Write under an attempt-specific name, then move into place: a
             # retried or speculative attempt never exposes a partial file.
