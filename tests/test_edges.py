@@ -224,3 +224,25 @@ def test_partitioned_upsert_moves_rows_and_drops_emptied_partitions(spark, tmp_p
     serving.upsert_partitioned(spark, path, second, ["recall_number"], "report_month", part)
     again = {(r["recall_number"], r["report_month"], r["status"]) for r in tables.read_table(spark, path).collect()}
     assert again == got
+
+
+def test_replace_load_of_all_tables(spark, tmp_path):
+    from noticeflow.operators import gold
+    from noticeflow.operators.scoring import score_recalls
+    from noticeflow.schemas import SERVING_TABLES
+    from noticeflow.sources.fixture import recall_records
+
+    from .conftest import SF_SMALL
+
+    sc = score_recalls(silver_projection(recall_records(spark, SF_SMALL)))
+    g = gold.gold_tables(sc)
+    sources = {n: (sc if s["gold"] == "scored" else g[s["gold"]]) for n, s in SERVING_TABLES.items()}
+    store = str(tmp_path / "serving")
+    first = {r["table"]: r["loaded"] for r in serving.load_tables(spark, sources, store, replace=True).collect()}
+    again = {r["table"]: r["loaded"] for r in serving.load_tables(spark, sources, store, replace=True).collect()}
+    assert first == again and first["recalls"] == sc.count()
+    served = tables.read_table(spark, f"{store}/recalls")
+    assert "report_month" in served.columns
+    # keys are unique after the fill + de-duplication
+    assert served.count() == served.select("recall_number").distinct().count()
+    assert served.filter(F.col("recall_number") == "Unknown").count() == 1
