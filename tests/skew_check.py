@@ -1,0 +1,101 @@
+"""Skew check from Spark's event log (not part of pytest).
+
+Derives a skewed silver table (rows whose status is Terminated lose their
+firm, so the NULL firm holds about half of all rows), runs the repeat
+count with the plain window, the salted plan and the default plan, and
+reports for each the largest number of shuffle records read by one task.
+
+AQE partition coalescing and automatic broadcasts are switched off so each
+shuffle partition is one task and the plans' own distribution shows.
+
+Usage: python tests/skew_check.py [sf_dir]
+"""
+
+from __future__ import annotations
+
+import glob
+import json
+import os
+import sys
+import tempfile
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def main(sf_dir: str) -> dict:
+    from pyspark.sql import SparkSession
+    from pyspark.sql import functions as F
+
+    from noticeflow.operators.skew import attach_group_count
+    from noticeflow.operators.silver import silver_projection
+    from noticeflow.session import PLAN_CONFIGS, ensure_checkpoint_dir, scratch_path
+    from noticeflow.sources.fixture import recall_records
+    from noticeflow.sources.tables import read_table, write_table
+
+    log_dir = tempfile.mkdtemp(prefix="noticeflow-eventlog-")
+    b = (SparkSession.builder.master("local[8]").appName("skew-check")
+         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+         .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log_dir)
+         .config("spark.eventLog.compress", "false"))
+    for k, v in PLAN_CONFIGS.items():
+        b = b.config(k, v)
+    # Keep every shuffle partition visible as its own task and stop the
+    # optimizer from turning the joins into broadcasts on its own, so the
+    # per-task numbers show how each plan distributes the hot group.
+    b = (b.config("spark.sql.adaptive.coalescePartitions.enabled", "false")
+         .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1"))
+    spark = b.getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    ensure_checkpoint_dir(spark)
+
+    path = scratch_path(spark, "skewed-silver")
+    silver = silver_projection(recall_records(spark, sf_dir))
+    skewed = silver.withColumn(
+        "recalling_firm_clean",
+        F.when(F.col("status") == "Terminated", F.lit(None)).otherwise(F.col("recalling_firm_clean")),
+    )
+    write_table(skewed, path)
+    df = read_table(spark, path)
+    total = df.count()
+    null_rows = df.filter(F.col("recalling_firm_clean").isNull()).count()
+
+    sc = spark.sparkContext
+    for method in ["window", "salted", "auto"]:
+        sc.setJobGroup(method, method)
+        out = attach_group_count(df, ["recalling_firm_clean"], out="n", method=method)
+        out.write.format("noop").mode("overwrite").save()
+    app_id = sc.applicationId
+    spark.stop()
+
+    stage_group, task_records = {}, {}
+    files = sorted(f for f in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True)
+                   if os.path.isfile(f) and app_id in f)
+    for f in files:
+        for line in open(f):
+            ev = json.loads(line)
+            kind = ev.get("Event")
+            if kind == "SparkListenerJobStart":
+                group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                for sid in ev.get("Stage IDs", []):
+                    stage_group[sid] = group
+            elif kind == "SparkListenerTaskEnd":
+                m = (ev.get("Task Metrics") or {}).get("Shuffle Read Metrics") or {}
+                recs = m.get("Total Records Read", 0)
+                task_records.setdefault(ev["Stage ID"], []).append(recs)
+    if os.environ.get("SKEW_DEBUG"):
+        for sid in sorted(task_records):
+            r = task_records[sid]
+            print("stage", sid, stage_group.get(sid), "tasks", len(r), "max", max(r), "sum", sum(r), file=sys.stderr)
+    result = {"rows": total, "null_firm_rows": null_rows}
+    for method in ["window", "salted", "auto"]:
+        stages = [s for s, g in stage_group.items() if g == method]
+        maxima = [max(task_records.get(s, [0])) for s in stages]
+        result[method] = {"max_shuffle_records_one_task": max(maxima or [0]),
+                          "stages": len(stages)}
+    return result
+
+
+if __name__ == "__main__":
+    print(json.dumps(main(sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1")))
