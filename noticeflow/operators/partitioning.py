@@ -15,8 +15,12 @@ def spread_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Only call it on a scan (or narrow ops over one): the split count is
     read from the plan without running anything.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Spark Connect session): leave as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 BROADCAST_MAX_ROWS = 2_000_000
