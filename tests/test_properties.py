@@ -116,3 +116,38 @@ def test_literal_rule_rewrite_equals_regex(spark):
             assert got.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
 
     check()
+
+
+def test_fixture_measures_at_sf001(spark):
+    """All expected values listed for sf0.01 in FIXTURES.md."""
+    sc = score_recalls(silver_projection(recall_records(spark, "/root/testdata/sf0.01"))).cache()
+
+    def counts(col):
+        return {r[0]: r[1] for r in sc.groupBy(col).count().collect()}
+
+    assert counts("risk_tier") == {"Critical": 2627, "High": 4016, "Medium": 6165, "Low": 2192}
+    assert counts("classification") == {"Class I": 2944, "Class II": 5953, "Class III": 2965,
+                                        "Not Yet Classified": 2957, None: 181}
+    assert counts("status") == {"Ongoing": 4836, "Terminated": 9715, "Pending": 280, None: 169}
+    assert counts("recall_reason_category") == {"Bacterial Contamination": 4286, "Allergen Issue": 2143,
+                                                "Labeling Issue": 2143, "Foreign Material": 2143, "Other": 4285}
+    assert counts("distribution_scope") == {"Nationwide": 5039, "International": 2484, "Multi-State": 2508,
+                                            "Local/Unknown": 4969}
+    assert counts("region") == {"Midwest": 1964, "Northeast": 1940, "South": 3378, "West": 3386, "Unknown": 4332}
+    products = counts("product_category")
+    assert products.pop("Dairy") == 2500 and products.pop("Other") == 2500
+    assert set(products.values()) == {1250} and len(products) == 8
+    agg = sc.agg(F.min("risk_score"), F.max("risk_score"), F.sum("risk_score")).first()
+    assert tuple(agg) == (7, 135, 965772)
+    assert sc.filter("risk_score > 100").count() == 758
+    assert sc.filter(F.col("recalling_firm_clean").isNotNull()).select("recalling_firm_clean").distinct().count() == 1500
+    nulls = sc.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in
+                     ["recall_number", "recalling_firm", "reason_for_recall", "classification",
+                      "recall_initiation_date", "recall_duration_days"]]).first()
+    assert tuple(nulls) == (155, 149, 2142, 181, 212, 212)
+    raw = recall_records(spark, "/root/testdata/sf0.01")
+    term = raw.agg(F.count_if(F.col("termination_date") == "").alias("blank"),
+                   F.count_if(F.col("termination_date") == "N/A").alias("na")).first()
+    assert (term["blank"], term["na"]) == (10067, 94)
+    assert sc.filter(F.col("termination_date").isNotNull()).count() == 4839
+    sc.unpersist()
