@@ -14,7 +14,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
-    w = df.write.mode(mode)
+    w = df.write.mode(mode).option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -29,7 +29,9 @@ def write_clustered(df: DataFrame, path: str, partition_col: str, cluster_by: li
     from pyspark.sql import functions as F
 
     clustered = df.repartitionByRange(F.col(partition_col), *[F.col(c) for c in cluster_by])
-    clustered.write.mode(mode).partitionBy(partition_col).parquet(path)
+    # Static semantics whatever the session default: an overwrite replaces
+    # the whole table, not only the partitions present in ``df``.
+    clustered.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(path)
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
