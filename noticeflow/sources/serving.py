@@ -166,6 +166,18 @@ def partition_dir(spark: SparkSession, column: str, value) -> str:
     return f"{column}={esc.escapePathName(str(value))}"
 
 
+def touched_partitions(
+    target: DataFrame, batch: DataFrame, batch_keys: DataFrame, keys: list[str], partition_col: str
+) -> DataFrame:
+    """Partitions an upsert must rewrite: those receiving batch rows and
+    those holding the previous version of a batch key. With ``batch_keys``
+    broadcast (a daily batch is small; see :func:`checked_broadcast`) the
+    lookup is a map-only semi-join over two columns of the table instead of
+    a shuffle of all its keys."""
+    old_parts = target.select(*keys, partition_col).join(batch_keys, keys, "left_semi")
+    return old_parts.select(partition_col).unionByName(batch.select(partition_col)).distinct()
+
+
 def upsert_partitioned(
     spark: SparkSession,
     path: str,
@@ -198,12 +210,8 @@ def upsert_partitioned(
     batch = batch.persist()
     try:
         target = read_table(spark, path)
-        # A daily batch is small: its keys are broadcast (behind a row-count
-        # check), so finding previous versions is a map-only semi-join over
-        # two columns of the table instead of a shuffle of all its keys.
         batch_keys = checked_broadcast(batch.select(*keys))
-        old_parts = target.select(*keys, partition_col).join(batch_keys, keys, "left_semi")
-        touched = old_parts.select(partition_col).unionByName(batch.select(partition_col)).distinct()
+        touched = touched_partitions(target, batch, batch_keys, keys, partition_col)
         parts = [r[0] for r in touched.limit(MAX_SWAPPED_PARTITIONS + 1).collect()]
         if len(parts) > MAX_SWAPPED_PARTITIONS:
             staged_write(keyed_upsert(target, batch.drop("updated_at"), keys, now), path, [partition_col])

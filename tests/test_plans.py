@@ -71,3 +71,16 @@ def test_top_k_is_take_ordered(spark, scored_table):
     p = plan(explore.company_top20(read_table(spark, scored_table)))
     assert "TakeOrderedAndProject" in p
     assert F is not None
+
+
+def test_previous_versions_are_found_without_shuffling_table_keys(spark, scored_table):
+    from noticeflow.operators.partitioning import checked_broadcast
+    from noticeflow.sources.serving import partition_value, touched_partitions
+
+    target = read_table(spark, scored_table).withColumn("report_month", partition_value("recalls"))
+    batch = target.filter(F.col("report_date") >= "2000-01-01").limit(50).persist()
+    keys = checked_broadcast(batch.select("recall_number"))
+    p = plan(touched_partitions(target, batch, keys, ["recall_number"], "report_month"), "simple")
+    assert "BroadcastHashJoin" in p and "LeftSemi" in p
+    assert "Exchange hashpartitioning(recall_number" not in p
+    batch.unpersist()
