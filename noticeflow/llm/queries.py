@@ -7,7 +7,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minmax_dedup, substring_dedup
+from . import (
+    byte_cnn,
+    chat_windows,
+    decontaminate,
+    html_extract,
+    language_id,
+    minmax_dedup,
+    quality_rules,
+    substring_dedup,
+    token_records,
+    viterbi,
+)
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,11 +30,177 @@ def _query(f):
     return f
 
 
+@_query
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@_query
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(read_table(spark, sf_dir, "pages"))
+
+
 @_query
 def op3_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, percent=85, rows=5, bands=40)
 
 
+@_query
+def op4_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_cnn.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@_query
+def op5_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op6_streaming_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return viterbi.encode_pieces(read_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_records.token_records(read_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), window=20, with_text=False)
+
+
+@_query
+def op9_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    inert = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame(
+        [(-1, 0, "user", inert), (-1, 1, "assistant", inert)], "conv_id long, turn long, role string, text string"
+    )
+    return chat_windows.conversation_digests(chat_windows.chat_windows(turns.unionByName(probe)))
+
+
+@_query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predict_languages(read_table(spark, sf_dir, "documents"))
+
+
+def _cutoff_rows() -> str:
+    return ", ".join(
+        f"('{rule}', {i}, {c})" for rule, (_, cuts) in quality_rules.RULES.items() for i, c in enumerate(cuts)
+    )
+
+
+def _quality_sql(risk: float = 0.05, delta: float = 0.1) -> str:
+    """The same rules: windows as rows instead of arrays, the binomial tail as
+    a sum over lgamma instead of a recurrence."""
+    white = r"[\x20\x09-\x0D]+"
+    word = r"[^\x20\x09-\x0D]+"
+    rules = quality_rules.RULES
+    rate = risk / len(rules)
+    signals = ", ".join(f"({signal.replace(' div ', ' // ')}) AS s_{rule}" for rule, (signal, _) in rules.items())
+    reached = " UNION ALL ".join(f"SELECT doc_id, lang, '{rule}' AS rule, s_{rule} AS s FROM scored" for rule in rules)
+    tail = (
+        f"list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) "
+        f"+ i * ln({rate!r}) + (n - i) * ln({1 - rate!r}))))"
+    )
+    verdict = " OR ".join(
+        f"coalesce(s_{rule} >= (SELECT cutoff FROM picked p WHERE p.stratum IS NOT DISTINCT FROM d.lang "
+        f"AND p.rule = '{rule}'), false)"
+        for rule in rules
+    )
+    return f"""
+WITH d0 AS (
+  SELECT doc_id, lang, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '{word}') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{word}')) AS ls
+  FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d0)),
+twice AS (
+  SELECT doc_id, i FROM win
+  QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+rep AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest(range(0, 8)) AS k) GROUP BY doc_id),
+d1 AS (
+  SELECT d0.doc_id, lang, len(w)::BIGINT AS n_words,
+    length(regexp_replace(t, '{white}', '', 'g'))::BIGINT AS word_chars,
+    (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    (length(t) - length(regexp_replace(t, '\\p{{Lu}}', '', 'g')))::BIGINT AS n_capitals,
+    len(ls)::BIGINT AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+    len(list_distinct(w))::BIGINT AS n_distinct, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
+  FROM d0 LEFT JOIN rep USING (doc_id)),
+d2 AS (
+  SELECT *, (n_words < {quality_rules.MIN_WORDS}
+    OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words) AS base_failed FROM d1),
+known AS (
+  SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id),
+scored AS (SELECT doc_id, lang, {signals} FROM d2 WHERE NOT base_failed),
+long_signals AS ({reached}),
+cells AS (
+  SELECT lang AS stratum, rule, s, quality = 1 AS good, substr(md5(doc_id::VARCHAR), 1, 1) < 'a' AS held
+  FROM long_signals JOIN known USING (doc_id)),
+grid(rule, step, cutoff) AS (VALUES {_cutoff_rows()}),
+tested AS (
+  SELECT stratum, rule, cutoff, count(*) FILTER (good AND held) AS n,
+    count(*) FILTER (good AND held AND s >= cutoff) AS k,
+    count(*) FILTER (NOT good AND NOT held AND s >= cutoff)
+      - {quality_rules.LOSS_WEIGHT} * count(*) FILTER (good AND NOT held AND s >= cutoff) AS gain
+  FROM cells JOIN grid USING (rule) GROUP BY stratum, rule, cutoff),
+p AS (
+  SELECT *, CASE WHEN k >= {rate!r} * n THEN 1.0 ELSE {tail} END AS p_value,
+    (SELECT count(DISTINCT coalesce(stratum, '')) FROM cells) AS strata FROM tested),
+picked AS (
+  SELECT stratum, rule, cutoff FROM p
+  WHERE n > 0 AND p_value <= {delta} / (strata * {len(rules)}) AND gain > 0
+  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY gain DESC, cutoff DESC) = 1),
+judged AS (
+  SELECT d.doc_id, ({verdict}) AS rejected FROM scored d)
+SELECT d2.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT coalesce(rejected, false) AS kept
+FROM d2 LEFT JOIN judged USING (doc_id)
+"""
+
+
+ORACLE["op1_quality_rules"] = _quality_sql()
+
+
+def _chat_sql(budget: int = 512, history: int = 128) -> str:
+    escape = "replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '[', '&#91;')"
+    role = f"replace({escape.format('role')}, chr(10), '&#10;')"
+    rendered = f"'{chat_windows.BEGIN}' || {role} || chr(10) || {escape.format('txt')} || '<|end|>' || chr(10)"
+    order = "PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, txt ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    return f"""
+WITH t0 AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS txt FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t1 AS (
+  SELECT *, {rendered} AS r, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, txt) AS i FROM t0),
+t2 AS (
+  SELECT *, len(regexp_extract_all(r, '{chat_windows.TOKEN}')) AS tok, i = 1 AND role = 'system' AS sys FROM t1),
+t3 AS (
+  SELECT *, sum(CASE WHEN sys THEN 0 ELSE tok END) OVER ({order}) AS stop,
+    max(CASE WHEN sys THEN tok ELSE 0 END) OVER ({order}) AS sys_tok FROM t2),
+t4 AS (
+  SELECT *, stop - (CASE WHEN sys THEN 0 ELSE tok END) AS start, greatest({budget - history} - sys_tok, 1) AS stretch FROM t3),
+t5 AS (SELECT *, start // stretch AS low, (greatest(stop, 1) - 1) // stretch AS high FROM t4),
+t6 AS (
+  SELECT *, CASE WHEN sys OR lag(sys) OVER w OR i = 1 THEN 0
+    WHEN lag(low) OVER w <> low OR lag(high) OVER w <> high THEN 1 ELSE 0 END AS opens
+  FROM t5 WINDOW w AS (PARTITION BY conv_id ORDER BY i)),
+t7 AS (SELECT *, sum(opens) OVER (PARTITION BY conv_id ORDER BY i) AS span FROM t6),
+t8 AS (
+  SELECT *, CASE WHEN sys THEN max(span) OVER (PARTITION BY conv_id)
+    ELSE max(span) OVER (PARTITION BY conv_id ORDER BY start RANGE BETWEEN CURRENT ROW AND {history} FOLLOWING) END AS final
+  FROM t7)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || txt || chr(10), '' ORDER BY i)) AS turns_sha256,
+  coalesce(sum(length(txt)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(txt, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length(r) * (final - span + 1))::BIGINT AS formatted_chars
+FROM t8 GROUP BY conv_id
+"""
+
+
+ORACLE["op9_chat_windows"] = _chat_sql()

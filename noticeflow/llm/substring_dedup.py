@@ -284,21 +284,12 @@ def remove_repeats(docs: DataFrame, window: int = 20, with_text: bool = True) ->
     slim = docs.select("doc_id", "text")
     keyed = slim.filter("doc_id is not null")
 
-    # Whole copies first: all but the smallest doc_id of a text are covered
-    # by it, so their windows need not be looked at.
-    text_key = F.sha2(F.coalesce("text", F.lit("")), 256)
-    first_copy = (
-        keyed.groupBy(text_key.alias("key")).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-        .filter("low < high").select("key", "low")
-    )
-    copies = (
-        keyed.select("doc_id", text_key.alias("key")).join(first_copy, "key").filter("doc_id > low")
-        .groupBy("doc_id").agg(F.count("*").alias("copies"))
-    )
-    rows_of = keyed.groupBy("doc_id").agg(F.count("*").alias("n_rows"))
-    # A doc_id is skipped as a copy only if all of its rows are copies.
-    copies = materialise(
-        copies.join(rows_of, "doc_id").filter("copies = n_rows").select("doc_id", F.lit(True).alias("is_copy")), "copies"
+    # Whole copies first: a document that is nowhere the smallest doc_id of a
+    # text is covered by others, so its windows need not be looked at.
+    originals = materialise(
+        keyed.groupBy(F.sha2(F.coalesce("text", F.lit("")), 256).alias("key")).agg(F.min("doc_id").alias("doc_id"))
+        .select("doc_id").distinct().withColumn("is_first", F.lit(True)),
+        "originals",
     )
 
     alone = (
@@ -308,9 +299,9 @@ def remove_repeats(docs: DataFrame, window: int = 20, with_text: bool = True) ->
     alone = materialise(alone, "level1")
     release(spark)
     singles = alone.groupBy("doc_id").agg(F.collect_list("h").alias("singles"))
-    known = keyed.join(singles, "doc_id", "left").join(copies, "doc_id", "left").select(
+    known = keyed.join(singles, "doc_id", "left").join(originals, "doc_id", "left").select(
         "doc_id", "text", F.coalesce("singles", F.array().cast("array<long>")).alias("singles"),
-        F.coalesce("is_copy", F.lit(False)).alias("is_copy"),
+        F.col("is_first").isNull().alias("is_copy"),
     )
     staged = materialise(known.mapInArrow(_candidates(window), _CANDIDATES), "candidates")
     release(spark)

@@ -55,12 +55,17 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, first): byte spans of all words; ``first[i]`` is the
-    index of text i's first word, ``first[-1]`` the number of words."""
+#: Bytes between terms: all of ASCII but letters and digits.
+NOT_TERM = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _WHITE):
+    """(starts, ends, first): byte spans of all words (runs of bytes that are
+    not ``between``); ``first[i]`` is the index of text i's first word,
+    ``first[-1]`` the number of words."""
     n = len(data)
     solid = np.zeros(n + 2, dtype=bool)
-    np.logical_not(_WHITE[data], out=solid[1 : n + 1])
+    np.logical_not(between[data], out=solid[1 : n + 1])
     begins = solid[1 : n + 1] & ~solid[:n]
     finishes = solid[1 : n + 1] & ~solid[2:]
     # A text border ends a word and begins another.
@@ -71,16 +76,21 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold_case: bool = False) -> np.ndarray:
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold_case: bool = False,
+                between: np.ndarray = _WHITE) -> np.ndarray:
     """A 64-bit hash of each word; ``fold_case`` takes A-Z as a-z."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    lengths = ends - starts
+    lengths = (ends - starts).astype(np.int32)
     powers = np.cumprod(np.full(int(lengths.max()), _MULTIPLIER, np.uint64))
-    upto = np.cumsum(lengths)
-    within = np.arange(upto[-1]) - np.repeat(upto - lengths, lengths)
-    values = (_FOLDED if fold_case else _VALUES)[data[within + np.repeat(starts, lengths)]] * powers[within]
-    return mix(np.add.reduceat(values, upto - lengths) + lengths.astype(np.uint64))
+    before = np.cumsum(lengths, dtype=np.int64) - lengths
+    kind = np.int32 if len(data) < 2**31 else np.int64
+    letters = data[~between[data]]  # the words' bytes, end to end
+    within = np.arange(len(letters), dtype=kind)
+    within -= np.repeat(before.astype(kind), lengths)
+    values = (_FOLDED if fold_case else _VALUES)[letters]
+    values *= powers[within]
+    return mix(np.add.reduceat(values, before) + lengths.astype(np.uint64))
 
 
 def window_hashes(words: np.ndarray, length: int) -> np.ndarray:
