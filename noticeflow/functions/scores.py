@@ -99,7 +99,8 @@ def compute_risk_score(
     n = F.lit(repeated_company_count) if isinstance(repeated_company_count, int) else _col(repeated_company_count)
     st_pts = F.when(st == F.lit("ongoing"), F.lit(rules.STATUS_POINTS)).otherwise(F.lit(0))
     dist_pts = F.when(dist.contains("nationwide"), F.lit(rules.DISTRIBUTION_POINTS)).otherwise(F.lit(0))
-    repeat_pts = F.least(n * F.lit(rules.REPEAT_POINTS_PER_RECALL), F.lit(rules.REPEAT_POINTS_CAP))
+    # An unknown repeat count is no repeat (least() would skip a NULL).
+    repeat_pts = F.least(F.coalesce(n, F.lit(0)) * F.lit(rules.REPEAT_POINTS_PER_RECALL), F.lit(rules.REPEAT_POINTS_CAP))
     return (
         _points(cls, rules.CLASSIFICATION_POINTS, 0)
         + st_pts

@@ -141,17 +141,34 @@ def company_recalls(df: DataFrame, firm: str) -> DataFrame:
 
 def kpis(df: DataFrame) -> DataFrame:
     """One row: recalls, Critical, Ongoing, mean score (1 dp, half-even; 0
-    when empty) and latest report date ('N/A' when none)."""
-    c = F.col
+    when empty) and latest report date ('N/A' when none). A column the frame
+    lacks counts as empty."""
+
+    def column(name: str, kind: str):
+        return F.col(name) if name in df.columns else F.lit(None).cast(kind)
+
     return df.agg(
         F.count(F.lit(1)).alias("recalls"),
-        F.count_if(c("risk_tier") == "Critical").alias("critical"),
-        F.count_if(c("status") == "Ongoing").alias("ongoing"),
-        F.coalesce(F.bround(F.avg("risk_score"), 1), F.lit(0.0)).alias("avg_risk"),
-        F.coalesce(F.date_format(F.max("report_date"), "yyyy-MM-dd"), F.lit("N/A")).alias("latest_report"),
+        F.count_if(column("risk_tier", "string") == "Critical").alias("critical"),
+        F.count_if(column("status", "string") == "Ongoing").alias("ongoing"),
+        F.coalesce(F.bround(F.avg(column("risk_score", "long")), 1), F.lit(0.0)).alias("avg_risk"),
+        F.coalesce(F.date_format(F.max(column("report_date", "date")), "yyyy-MM-dd"), F.lit("N/A")).alias("latest_report"),
     )
 
 
+def prepare_explore_input(df: DataFrame) -> DataFrame:
+    """Repair a served frame for exploration in one step: dates as DATE
+    (bad values NULL), ``risk_tier`` from the score bins where the column is
+    absent, missing category columns filled with the constant."""
+    from ..functions.scores import risk_tier_bins
+    from ..sources.serving import backfill_columns, normalize_dates
+
+    out = normalize_dates(df)
+    if "risk_tier" not in out.columns and "risk_score" in out.columns:
+        out = out.withColumn("risk_tier", risk_tier_bins("risk_score"))
+    return backfill_columns(out)
+
+
 def most_frequent(df: DataFrame, column: str, out: str) -> DataFrame:
     """Most frequent non-NULL value (ties: smallest label); no row when empty."""
     return (

@@ -45,8 +45,8 @@ def company_risk_joined(scored: DataFrame) -> DataFrame:
     """Same table assembled as (count, mean) LEFT JOIN latest date LEFT JOIN
     flag counts, all keyed by firm. Kept as a cross-check of
     :func:`company_risk`; NULL firms drop out of equality joins, so they
-    are matched null-safely here. The three inputs share one scan and are
-    each one row per firm, so the joins are co-partitioned on the firm."""
+    are matched null-safely here. Three aggregates over three scans: use
+    :func:`company_risk`, which is one, for anything but the cross-check."""
     c = F.col
     k = "recalling_firm_clean"
     base = scored.groupBy(k).agg(F.count(F.lit(1)).alias("total_recalls"), F.avg("risk_score").alias("avg_risk_score"))
@@ -99,7 +99,11 @@ def product_category_summary(scored: DataFrame) -> DataFrame:
 
 
 def open_recalls(scored: DataFrame) -> DataFrame:
-    """Rows whose status mentions 'ongoing' (any case)."""
+    """Rows whose status mentions 'ongoing' (any case). Silver holds that as
+    ``is_open``: a comparison that reaches the Parquet scan, which a pattern
+    does not."""
+    if "is_open" in scored.columns:
+        return scored.filter(F.col("is_open") == F.lit(True))
     return scored.filter(F.col("status").rlike("(?i)ongoing"))
 
 

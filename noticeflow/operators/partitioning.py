@@ -5,31 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a freshly scanned input over the cluster's cores when it
-    arrives in fewer splits than cores (a few unsplittable files or single
-    row groups), so CPU-heavy narrow work after it (text rules, regexes)
-    is not confined to one task. At scale the scan already has more splits
-    than cores and this is a no-op.
-
-    Only call it on a scan (or narrow ops over one): the split count is
-    read from the plan without running anything.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a Spark Connect session): leave as is
-        return df
-    return df.repartition(target) if splits < target else df
+#: Session setting: scan partitions to spread a table over (unset: as read).
+SPREAD_CONF = "spark.noticeflow.scanPartitions"
+
+
+def spread_scan(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan over ``partitions`` before CPU-heavy narrow work
+    (text rules, regexes): for inputs of a few unsplittable files. Off unless
+    the caller or the session setting SPREAD_CONF gives a number, as it
+    shuffles the whole input; tables with as many splits as cores gain
+    nothing from it."""
+    target = partitions or int(df.sparkSession.conf.get(SPREAD_CONF, "0") or 0)
+    return df.repartition(target) if target else df
 
 
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 << 20
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``df`` hinted for broadcast when a count shows at most ``max_rows``
-    rows, else unchanged (left to a shuffle join). Runs one job: call it on
-    a persisted or cheap DataFrame."""
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``df`` hinted for broadcast when one aggregate shows at most
+    ``max_rows`` rows and ``max_bytes`` bytes (16 per value plus the text
+    itself), else unchanged (left to a shuffle join). Runs one job: call it
+    on a persisted or cheap DataFrame."""
     from pyspark.sql import functions as F
 
-    return F.broadcast(df) if df.count() <= max_rows else df
+    text = [F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    size = F.lit(16 * len(df.columns)).cast("long")
+    for t in text:
+        size = size + t
+    r = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if r["n"] <= max_rows and r["bytes"] <= max_bytes else df

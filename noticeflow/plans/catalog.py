@@ -278,7 +278,7 @@ register(
   + CASE WHEN lower(regexp_replace(coalesce(status, ''), '^\\s+|\\s+$', '', 'g')) = 'ongoing' THEN {rules.STATUS_POINTS} ELSE 0 END
   + CASE WHEN contains(lower(regexp_replace(coalesce(distribution_pattern, ''), '^\\s+|\\s+$', '', 'g')), 'nationwide') THEN {rules.DISTRIBUTION_POINTS} ELSE 0 END
   + {O.points_sql("regexp_replace(coalesce(recall_reason_category, ''), '^\\s+|\\s+$', '', 'g')", rules.REASON_POINTS, rules.REASON_POINTS_DEFAULT)}
-  + least(repeated_company_count * {rules.REPEAT_POINTS_PER_RECALL}, {rules.REPEAT_POINTS_CAP}) AS formula_score
+  + least(coalesce(repeated_company_count, 0) * {rules.REPEAT_POINTS_PER_RECALL}, {rules.REPEAT_POINTS_CAP}) AS formula_score
 FROM scored"""),
 )(lambda s, d: scored(s, d).select(
     "recall_number", "recalling_firm_clean",
@@ -838,7 +838,9 @@ def _run_log(s, d):
     from .stages import run_stages
 
     out = scratch_path(s, "run")
-    run_stages(s, _bronze(s, d), out, load=True, now=FIXED_NOW)
+    landed = scratch_path(s, "bronze")
+    B.write_bronze(records(s, d), landed, BRONZE_META | {"warning": "partial export"})
+    run_stages(s, landed, out, load=True, now=FIXED_NOW, tables=["recalls"])
     empty = scratch_path(s, "bronze-empty")
     B.write_bronze(records(s, d).filter(F.lit(False)), empty, BRONZE_META)
     run_stages(s, empty, out, load=True, now=FIXED_NOW)
@@ -850,10 +852,50 @@ def _run_log(s, d):
 register(
     "append_run_log",
     with_base(f"""SELECT {q(SOURCE)} AS source, count(*) AS records_fetched, count(*) AS records_loaded, 'success' AS status,
-  CAST(NULL AS VARCHAR) AS warning, CAST(NULL AS VARCHAR) AS error FROM fx
-UNION ALL SELECT CAST(NULL AS VARCHAR), 0, 0, 'success', 'No records found for requested date window.', CAST(NULL AS VARCHAR)"""),
+  'partial export' AS warning, CAST(NULL AS VARCHAR) AS error FROM fx
+UNION ALL SELECT {q(SOURCE)}, 0, 0, 'success', 'No records found for requested date window.', CAST(NULL AS VARCHAR)"""),
 )(_run_log)
 
+
+# The contents of each serving table after a load: declared types, filled
+# keys, one row per key.
+_SERVED_SOURCE = {
+    "recalls": "SELECT * FROM scored",
+    "company_risk": COMPANY_RISK_SQL,
+    "recall_reason_summary": "SELECT recall_reason_category, count(*) AS count FROM scored GROUP BY 1",
+    "monthly_recall_trends":
+        "SELECT strftime(recall_initiation_date, '%Y-%m') AS recall_month, count(*) AS count FROM scored GROUP BY 1",
+    "geographic_recall_summary":
+        "SELECT state, country, count(*) AS total_recalls, avg(risk_score) AS avg_risk_score FROM scored GROUP BY 1, 2",
+    "product_category_summary":
+        "SELECT product_category, count(*) AS count, avg(risk_score) AS avg_risk_score FROM scored GROUP BY 1",
+    "risk_tier_summary": "SELECT risk_tier, count(*) AS count, avg(risk_score) AS avg_risk_score FROM scored GROUP BY 1",
+    "open_recall_aging": "SELECT * FROM scored WHERE regexp_matches(status, '(?i)ongoing')",
+}
+
+
+def _served_sql(name: str) -> str:
+    spec = SERVING_TABLES[name]
+    kinds = {"int": "INTEGER", "string": "VARCHAR"}
+    casts = ", ".join(
+        f"CAST({c} AS {kinds.get(t.simpleString(), t.simpleString().upper())}) AS {c}" for c, t in spec["columns"].items()
+    )
+    typed = f"(SELECT {casts} FROM ({_SERVED_SOURCE[name]}) src) typed"
+    return with_base(O.dedupe_sql(f"({O.fill_keys_sql(typed, spec['keys'])}) filled", spec["keys"], list(spec["columns"])))
+
+
+def _load_one(name: str):
+    def run(s, d):
+        out = scratch_path(s, "serving")
+        S.load_tables(s, _serving_sources(s, d), out, tables=[name], now=FIXED_NOW)
+        return T.read_table(s, f"{out}/{name}").drop("updated_at", "report_month")
+
+    return run
+
+
+for _name in SERVING_TABLES:
+    register(f"load_table_{_name}", _served_sql(_name))(_load_one(_name))
+
 # ===================================================== §2.H composite runs
 
 
@@ -897,7 +939,42 @@ def _run_all(s, d):
     return T.read_table(s, f"{out}/serving/recalls").drop("updated_at", "report_month")
 
 
-register("run_all_stages", with_base("SELECT * FROM load_a", _WINDOW_CTES))(_run_all)
+# The served table has the declared column types.
+_LOAD_A_TYPED = with_base(f"SELECT {_SERVING_CASTS} FROM load_a", _WINDOW_CTES)
+register("run_all_stages", _LOAD_A_TYPED)(_run_all)
+register("run_pipeline", _LOAD_A_TYPED)(_run_all)
+
+
+def _run_without_meta(s, d):
+    """Documents without metadata announce nothing and are read in full."""
+    from .stages import run_stages
+
+    landed, out = scratch_path(s, "bronze"), scratch_path(s, "run")
+    document = F.struct(F.array(F.struct(*O.RECORD_FIELDS)).alias("results"))
+    records(s, d).select(F.to_json(document).alias("value")).write.text(landed)
+    run_stages(
+        s, landed, out, report_start=WINDOW_A[0], report_end=WINDOW_A[1], load=True, now=FIXED_NOW, tables=["recalls"]
+    )
+    return T.read_table(s, f"{out}/serving/recalls").drop("updated_at", "report_month")
+
+
+register("run_pipeline_without_meta", _LOAD_A_TYPED)(_run_without_meta)
+
+
+def _run_archives(s, d):
+    """The batch run over a folder of ZIP exports."""
+    from .stages import run_stages
+
+    landed, out = scratch_path(s, "archives"), scratch_path(s, "run")
+    B.write_bronze_archives(records(s, d), landed, BRONZE_META).count()
+    run_stages(
+        s, landed, out, report_start=WINDOW_A[0], report_end=WINDOW_A[1], load=True, now=FIXED_NOW, tables=["recalls"],
+        archives=True,
+    )
+    return T.read_table(s, f"{out}/serving/recalls").drop("updated_at", "report_month")
+
+
+register("run_pipeline_archives", _LOAD_A_TYPED)(_run_archives)
 
 
 def _refresh_all(s, d):
@@ -908,6 +985,7 @@ def _refresh_all(s, d):
 
 
 register("refresh_all_stages", with_base("SELECT * FROM scored"))(_refresh_all)
+register("refresh_pipeline", with_base("SELECT * FROM scored"))(_refresh_all)
 
 # ======================================================= §2.I streaming
 CORRECTION_DAYS = 30
@@ -979,14 +1057,25 @@ def _incremental_batch_relative(s, d):
     return served_table(s, served)
 
 
-_BATCH_RELATIVE_CTES = (
+_CORRECTIONS_CTE = (
     "fxc AS (SELECT * REPLACE ('Terminated' AS status, "
-    f"{_LATER} AS report_date, {_LATER} AS termination_date) FROM fx WHERE status = 'ONGOING'),\n"
-    f"silver_d1 AS ({O.dedupe_sql('(' + O.fill_keys_sql('(' + O.silver_select_sql('fx') + ') s1', ['recall_number']) + ') f1', ['recall_number'], SILVER_COLUMNS)}),\n"
-    f"silver_d2 AS ({O.dedupe_sql('(' + O.fill_keys_sql('(' + O.silver_select_sql('fxc') + ') s2', ['recall_number']) + ') f2', ['recall_number'], SILVER_COLUMNS)}),\n"
-    f"scored_d1 AS ({O.scored_select_sql('silver_d1')}),\n"
-    f"scored_d2 AS ({O.scored_select_sql('silver_d2')})"
+    f"{_LATER} AS report_date, {_LATER} AS termination_date) FROM fx WHERE status = 'ONGOING')"
 )
+
+
+def _drop_ctes(n: int, source: str, window: tuple[str, str] | None = None) -> str:
+    """Every row of the drop's window is scored, then reduced to one per key."""
+    silver_sql = O.silver_select_sql(source)
+    if window:
+        silver_sql = f"SELECT * FROM ({silver_sql}) w WHERE report_date BETWEEN DATE '{window[0]}' AND DATE '{window[1]}'"
+    filled = O.fill_keys_sql("(" + O.scored_select_sql(f"silver_d{n}") + f") s{n}", ["recall_number"])
+    return (
+        f"silver_d{n} AS ({silver_sql}),\n"
+        f"scored_d{n} AS ({O.dedupe_sql('(' + filled + f') f{n}', ['recall_number'], SCORED_COLUMNS)})"
+    )
+
+
+_BATCH_RELATIVE_CTES = ",\n".join([_CORRECTIONS_CTE, _drop_ctes(1, "fx"), _drop_ctes(2, "fxc")])
 register(
     "incremental_refresh_batch_relative",
     with_base(
@@ -995,3 +1084,40 @@ register(
         _BATCH_RELATIVE_CTES,
     ),
 )(_incremental_batch_relative)
+
+
+# A daily run keeps a rolling window of report dates: records outside it stay
+# out, late and corrected ones inside replace what an earlier run served.
+LOOKBACK = 700
+LOOKBACK_DAYS_AS_OF = ("1997-12-31", "1998-06-30")
+
+
+def _incremental_lookback(s, d):
+    from ..streaming.incremental import incremental_refresh, served_table
+
+    r = records(s, d)
+    land, served, ckpt = scratch_path(s, "landing"), scratch_path(s, "served"), scratch_path(s, "stream-ckpt")
+    for k, (drop, as_of) in enumerate(zip((r, _corrections(r)), LOOKBACK_DAYS_AS_OF)):
+        B.write_bronze(drop, f"{land}/drop-{k}", BRONZE_META)
+        incremental_refresh(s, f"{land}/*", served, ckpt, lookback_days=LOOKBACK, as_of=as_of)
+    return served_table(s, served)
+
+
+def _lookback_window(as_of: str) -> tuple[str, str]:
+    import datetime as dt
+
+    return (dt.date.fromisoformat(as_of) - dt.timedelta(days=LOOKBACK)).isoformat(), as_of
+
+
+register(
+    "incremental_refresh_lookback",
+    with_base(
+        "SELECT * FROM scored_d1 WHERE recall_number NOT IN (SELECT recall_number FROM scored_d2) "
+        "UNION ALL SELECT * FROM scored_d2",
+        ",\n".join([
+            _CORRECTIONS_CTE,
+            _drop_ctes(1, "fx", _lookback_window(LOOKBACK_DAYS_AS_OF[0])),
+            _drop_ctes(2, "fxc", _lookback_window(LOOKBACK_DAYS_AS_OF[1])),
+        ]),
+    ),
+)(_incremental_lookback)

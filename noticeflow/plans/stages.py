@@ -15,7 +15,7 @@ from ..operators.scoring import score_recalls
 from ..operators.silver import silver_projection
 from ..schemas import SERVING_TABLES
 from ..sources import bronze, serving
-from ..sources.tables import read_table, write_table
+from ..sources.tables import read_table, remove_path, write_table
 
 
 def bronze_to_silver(
@@ -44,7 +44,8 @@ def build_gold(spark: SparkSession, scored_path: str, gold_dir: str) -> dict[str
     """
     base = gold_dir.rstrip("/")
     sets_path = f"{base}/_summary_sets"
-    write_table(gold.summary_sets(read_table(spark, scored_path)), sets_path)
+    # By summary, so that each table reads its own rows only.
+    write_table(gold.summary_sets(read_table(spark, scored_path)), sets_path, partition_by=["_set"])
     sets = read_table(spark, sets_path)
     paths = {name: f"{base}/{name}" for name in gold.SUMMARY_SETS}
     writes = [(gold.summary_from_sets(sets, name), paths[name]) for name in gold.SUMMARY_SETS]
@@ -73,6 +74,10 @@ def serving_sources(spark: SparkSession, scored_path: str, gold_paths: dict[str,
     return out
 
 
+# The warning of a run that found nothing: a fixed value of the run log.
+EMPTY_WARNING = "No records found for requested date window."
+
+
 def run_stages(
     spark: SparkSession,
     bronze_path: str,
@@ -84,16 +89,18 @@ def run_stages(
     tables: list[str] | None = None,
     multiline: bool = False,
     now=None,
+    archives: bool = False,
 ) -> dict:
-    """The full batch run. Zero announced records ends early as success."""
+    """The full batch run. It ends early, as success, only if every document
+    announces exactly 0 records; documents without that number are read.
+    The documents' warning is passed on to the result and the run log.
+    ``archives`` takes ``bronze_path`` as a folder of ZIP exports."""
     base = out_dir.rstrip("/")
-    meta = bronze.bronze_meta(spark, bronze_path, multiline)
-    fetched = bronze.records_fetched(meta)
-    source = meta.select("source").filter("source IS NOT NULL").limit(1).collect()
-    source = source[0]["source"] if source else None
-    warning = None
-    if fetched == 0:
-        warning = "No records found for requested date window."
+    documents_path = bronze.unpack_archives(spark, bronze_path) if archives else bronze_path
+    summary = bronze.meta_summary(spark, documents_path, multiline)
+    source, warning, fetched = summary["source"], summary["warning"], summary["records_fetched"]
+    if summary["announces_nothing"]:
+        warning = warning or EMPTY_WARNING
         if load:
             serving.append_run_log(spark, f"{base}/pipeline_runs", source, bronze_path, 0, 0, "success", warning)
         return {"status": "success", "bronze_path": bronze_path, "records_fetched": 0, "loaded": {}, "warning": warning}
@@ -101,7 +108,7 @@ def run_stages(
     silver_path, scored_path = f"{base}/silver", f"{base}/scored"
     # The report-date window is applied before silver is written (one write,
     # the same table as writing everything and rewriting it filtered).
-    silver = bronze_to_silver(spark, bronze_path, silver_path, multiline, report_start, report_end)
+    silver = bronze_to_silver(spark, documents_path, silver_path, multiline, report_start, report_end)
     write_table(quality.dq_report(silver), f"{base}/data_quality_report")
     write_table(score_recalls(silver), scored_path)
     gold_paths = build_gold(spark, scored_path, f"{base}/gold")
@@ -114,6 +121,8 @@ def run_stages(
         serving.append_run_log(
             spark, f"{base}/pipeline_runs", source, bronze_path, fetched, loaded.get("recalls", 0), "success", warning
         )
+    if archives:
+        remove_path(spark, documents_path)
     return {
         "status": "success", "bronze_path": bronze_path, "records_fetched": fetched,
         "loaded": loaded, "warning": warning, "scored_path": scored_path, "gold": gold_paths,

@@ -37,6 +37,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("NOTICEFLOW_DRIVER_MEMORY", "8g"))
         .config("spark.sql.files.maxPartitionBytes", str(64 * 1024 * 1024))
+        # Local inputs are single files: spread them over the cores.
+        .config("spark.noticeflow.scanPartitions", str(os.cpu_count() if cores == "*" else cores))
         # Driver-side only: skip per-call stack capture while building plans.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

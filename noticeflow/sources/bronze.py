@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..schemas import BRONZE_DOCUMENT, RECORD_FIELDS
+from ..session import scratch_path, ship_package
+from .tables import qualified_path
 
 
 def read_bronze_documents(spark: SparkSession, path, multiline: bool = False) -> DataFrame:
@@ -46,10 +48,31 @@ def bronze_meta(spark: SparkSession, path, multiline: bool = False) -> DataFrame
     return read_bronze_documents(spark, path, multiline).select("meta.*")
 
 
-def records_fetched(meta: DataFrame) -> int:
-    """Total records announced by the documents' metadata (driver-side scalar)."""
-    row = meta.agg(F.coalesce(F.sum("records_fetched"), F.lit(0)).alias("n")).first()
-    return int(row["n"])
+def records_fetched(meta: DataFrame) -> int | None:
+    """Total records announced by the documents' metadata; None if a
+    document does not say."""
+    row = meta.agg(
+        F.sum("records_fetched").alias("n"), F.count_if(F.col("records_fetched").isNull()).alias("unknown")
+    ).first()
+    return None if row["unknown"] else int(row["n"] or 0)
+
+
+def meta_summary(spark: SparkSession, path, multiline: bool = False) -> dict:
+    """What the documents say about the run, in one pass: source and warning
+    (the first that is set), records_fetched (announced, or counted where a
+    document does not say) and whether all of them announce nothing."""
+    row = read_bronze_documents(spark, path, multiline).select(
+        "meta.source", "meta.warning", "meta.records_fetched", F.coalesce(F.size("results"), F.lit(0)).alias("held")
+    ).agg(
+        F.min("source").alias("source"),
+        F.min("warning").alias("warning"),
+        F.sum(F.coalesce("records_fetched", F.greatest("held", F.lit(0)))).alias("fetched"),
+        F.count_if(~F.coalesce(F.col("records_fetched") == 0, F.lit(False))).alias("with_records"),
+    ).first()
+    return {
+        "source": row["source"], "warning": row["warning"], "records_fetched": int(row["fetched"] or 0),
+        "announces_nothing": row["with_records"] == 0,
+    }
 
 
 def union_batches(*batches: DataFrame) -> DataFrame:
@@ -93,6 +116,9 @@ def source_window(
 
 # ------------------------------------------------------------------ writers
 
+#: Records per document written here: a document is one row to its reader.
+DOCUMENT_RECORDS = 1000
+
 
 def _doc_json(meta: dict, record_json: list[str]) -> str:
     m = dict(meta)
@@ -100,30 +126,58 @@ def _doc_json(meta: dict, record_json: list[str]) -> str:
     return '{"meta":' + json.dumps(m) + ',"results":[' + ",".join(record_json) + "]}"
 
 
-def write_bronze(records: DataFrame, path: str, meta: dict | None = None, mode: str = "overwrite") -> None:
-    """Write records as JSON Lines bronze documents. Each Arrow batch of a
-    partition becomes one document, so a document holds at most
-    ``spark.sql.execution.arrow.maxRecordsPerBatch`` records."""
-    meta = dict(meta or {})
-    rec = records.select(F.to_json(F.struct(*[F.col(f) for f in RECORD_FIELDS])).alias("j"))
+def _documents(batches, meta: dict):
+    for pdf in batches:
+        for a in range(0, len(pdf), DOCUMENT_RECORDS):
+            yield pd.DataFrame({"value": [_doc_json(meta, pdf["j"].iloc[a : a + DOCUMENT_RECORDS].tolist())]})
+
 
-    def to_docs(batches):
-        for pdf in batches:
-            if len(pdf):
-                yield pd.DataFrame({"value": [_doc_json(meta, pdf["j"].tolist())]})
+def _record_json(records: DataFrame) -> DataFrame:
+    return records.select(F.to_json(F.struct(*[F.col(f) for f in RECORD_FIELDS])).alias("j"))
 
-    rec.mapInPandas(to_docs, "value string").write.mode(mode).text(path)
+
+def write_bronze(records: DataFrame, path: str, meta: dict | None = None, mode: str = "overwrite") -> None:
+    """Write records as JSON Lines bronze documents of at most
+    DOCUMENT_RECORDS records. Without any record, one document with the
+    metadata and no results is written, so that the run stays on record."""
+    spark = records.sparkSession
+    ship_package(spark)
+    meta = dict(meta or {})
+    _record_json(records).mapInPandas(lambda batches: _documents(batches, meta), "value string").write.mode(mode).text(path)
+    if spark.read.text(path).isEmpty():
+        spark.createDataFrame([(_doc_json(meta, []),)], "value string").write.mode("append").text(path)
 
 
 def _arrow_fs(uri: str):
-    """(pyarrow filesystem, path) for a local path, ``file:`` URI or remote URI."""
+    """(pyarrow filesystem, path) of a qualified path."""
     from pyarrow import fs as pafs
 
     if uri.startswith("file:"):
         return pafs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
-    if "://" in uri:
-        return pafs.FileSystem.from_uri(uri)
-    return pafs.LocalFileSystem(), uri
+    return pafs.FileSystem.from_uri(uri)
+
+
+def _zip_batches(batches, base: str, meta: dict):
+    from pyspark import TaskContext
+
+    ctx = TaskContext.get()
+    pid, attempt = ctx.partitionId(), ctx.attemptNumber()
+    filesystem, root = _arrow_fs(base)
+    filesystem.create_dir(root, recursive=True)
+    for i, pdf in enumerate(batches):
+        if not len(pdf):
+            continue
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as zf:
+            zf.writestr("documents-0001.json", _doc_json(meta, pdf["j"].tolist()))
+        name = f"part-{pid:05d}-{i:05d}.zip"
+        # Write under an attempt-specific name, then move into place: a
+        # retried or speculative attempt never exposes a partial file.
+        tmp = f"{root}/_tmp-{name}-{attempt}"
+        with filesystem.open_output_stream(tmp) as out:
+            out.write(buf.getvalue())
+        filesystem.move(tmp, f"{root}/{name}")
+        yield pd.DataFrame({"path": [f"{base}/{name}"], "records": [len(pdf)]})
 
 
 def write_bronze_archives(records: DataFrame, directory: str, meta: dict | None = None) -> DataFrame:
@@ -131,75 +185,125 @@ def write_bronze_archives(records: DataFrame, directory: str, meta: dict | None
     Arrow batch, named by partition and batch so a retried task rewrites
     the same files. Returns (path, records) per archive - lazily: run an
     action on it to write."""
+    spark = records.sparkSession
+    ship_package(spark)
     meta = dict(meta or {})
-    rec = records.select(F.to_json(F.struct(*[F.col(f) for f in RECORD_FIELDS])).alias("j"))
-    base = directory.rstrip("/")
-
-    def to_zips(batches):
-        from pyspark import TaskContext
-
-        ctx = TaskContext.get()
-        pid, attempt = ctx.partitionId(), ctx.attemptNumber()
-        filesystem, root = _arrow_fs(base)
-        filesystem.create_dir(root, recursive=True)
-        for i, pdf in enumerate(batches):
-            if not len(pdf):
+    base = qualified_path(spark, directory).rstrip("/")
+    return _record_json(records).mapInPandas(lambda batches: _zip_batches(batches, base, meta), "path string, records long")
+
+
+def _json_values(stream, chunk: int = 1 << 20):
+    """(key, text of the value) of a JSON object read from a text stream in
+    chunks; the elements of an array come one by one. Memory is bounded by
+    the longest element, not by the document."""
+    decoder = json.JSONDecoder()
+    text, at, ended = "", 0, False
+
+    def more() -> bool:
+        nonlocal text, at, ended
+        piece = stream.read(chunk)
+        ended = not piece
+        text, at = text[at:] + piece, 0
+        return not ended
+
+    def skip() -> str:
+        nonlocal at
+        while True:
+            while at < len(text) and text[at] in " \t\r\n\ufeff":
+                at += 1
+            if at < len(text):
+                return text[at]
+            if not more():
+                raise ValueError("the document ends inside a value")
+
+    def value():
+        """The next complete value as text."""
+        nonlocal at
+        while True:
+            skip()
+            try:
+                _, end = decoder.raw_decode(text, at)
+            except ValueError:
+                if not more():
+                    raise
                 continue
-            buf = io.BytesIO()
-            with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as zf:
-                zf.writestr("documents-0001.json", _doc_json(meta, pdf["j"].tolist()))
-            name = f"part-{pid:05d}-{i:05d}.zip"
-            # Write under an attempt-specific name, then move into place: a
-            # retried or speculative attempt never exposes a partial file.
-            tmp = f"{root}/_tmp-{name}-{attempt}"
-            with filesystem.open_output_stream(tmp) as out:
-                out.write(buf.getvalue())
-            filesystem.move(tmp, f"{root}/{name}")
-            yield pd.DataFrame({"path": [f"{base}/{name}"], "records": [len(pdf)]})
-
-    return rec.mapInPandas(to_zips, "path string, records long")
-
-
-def read_bronze_archives(spark: SparkSession, directory: str) -> DataFrame:
-    """Every ZIP under ``directory``: the first ``.json`` member of each,
-    all ``results`` appended. An empty listing, or an archive without a
-    JSON member, is an error.
-
-    One task per archive stream-decompresses its member (constant memory)
-    into the shared scratch folder; Spark's JSON reader then parses the
-    documents JVM-side with the explicit schema - no record passes through
-    Python objects.
+            if not ended and (end == len(text) or text[end] not in " \t\r\n,:]}"):  # a number may go on
+                more()
+                continue
+            out = text[at:end]
+            at = end
+            return out
+
+    if skip() != "{":
+        raise ValueError("a bronze document is a JSON object")
+    at += 1
+    while skip() != "}":
+        if text[at] == ",":
+            at += 1
+            skip()
+        key = json.loads(value())
+        if skip() != ":":
+            raise ValueError("a key without a value")
+        at += 1
+        if skip() == "[":
+            at += 1
+            while skip() != "]":
+                if text[at] == ",":
+                    at += 1
+                    continue
+                yield key, value()
+            at += 1
+        else:
+            yield key, value()
+
+
+def _unzip_batches(batches):
+    for pdf in batches:
+        for path in pdf["path"]:
+            filesystem, name = _arrow_fs(path)
+            with filesystem.open_input_file(name) as raw, zipfile.ZipFile(raw) as zf:
+                members = [n for n in zf.namelist() if n.endswith(".json")]
+                if not members:
+                    raise RuntimeError(f"No JSON file found inside {path}")
+                meta, held = "null", []
+                with io.TextIOWrapper(zf.open(members[0]), encoding="utf-8") as stream:
+                    lines = 0
+                    for key, value in _json_values(stream):
+                        if key == "meta":
+                            meta = value
+                        elif key == "results":
+                            held.append(" ".join(value.splitlines()))
+                            if len(held) == DOCUMENT_RECORDS:
+                                yield pd.DataFrame({"value": ['{"results":[' + ",".join(held) + "]}"]})
+                                held, lines = [], lines + 1
+                # The last line carries the metadata (a key may follow the results).
+                rest = " ".join(meta.splitlines())
+                yield pd.DataFrame({"value": ['{"meta":' + rest + ',"results":[' + ",".join(held) + "]}"]})
+
+
+def unpack_archives(spark: SparkSession, directory: str) -> str:
+    """Unpack every ZIP under ``directory`` (the first ``.json`` member of
+    each) into JSON Lines documents in the shared scratch folder; returns
+    that folder. An empty listing, or an archive without a JSON member, is
+    an error.
+
+    Tasks get *paths* and stream: neither an archive nor a document is ever
+    held whole, and the result is split by lines, so a single huge export
+    is read by many tasks afterwards. Announced record counts of the lines
+    without metadata are unknown.
     """
-    from ..session import scratch_path
-
+    ship_package(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(directory)
-    if not files.inputFiles():
+    names = files.select("path")  # the content column is pruned: nothing is read here
+    n = names.count()
+    if not n:
         raise RuntimeError(f"No archives found under {directory}")
     out_dir = scratch_path(spark, "unzipped")
+    spread = names.repartition(min(n, 10_000))
+    spread.mapInPandas(_unzip_batches, "value string").write.text(out_dir)
+    return out_dir
+
 
-    def unzip(batches):
-        import hashlib
-        import shutil
-
-        from pyspark import TaskContext
-
-        attempt = TaskContext.get().attemptNumber()
-        filesystem, root = _arrow_fs(out_dir)
-        filesystem.create_dir(root, recursive=True)
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    names = [n for n in zf.namelist() if n.endswith(".json")]
-                    if not names:
-                        raise RuntimeError(f"No JSON file found inside {path}")
-                    name = hashlib.sha1(path.encode()).hexdigest() + ".json"
-                    tmp = f"{root}/_tmp-{name}-{attempt}"
-                    with zf.open(names[0]) as src, filesystem.open_output_stream(tmp) as dst:
-                        shutil.copyfileobj(src, dst, 1 << 20)
-                    filesystem.move(tmp, f"{root}/{name}")
-                yield pd.DataFrame({"archive": [path], "document": [f"{out_dir}/{name}"]})
-
-    # One row per archive (the listing's size) comes back to the driver.
-    documents = [r["document"] for r in files.select("path", "content").mapInPandas(
-        unzip, "archive string, document string").collect()]
-    return read_bronze(spark, documents, multiline=True)
+def read_bronze_archives(spark: SparkSession, directory: str) -> DataFrame:
+    """All ``results`` of every ZIP under ``directory``."""
+    return read_bronze(spark, unpack_archives(spark, directory))

@@ -37,7 +37,7 @@ def recall_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_driver_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
     )
-    # Text rules downstream are CPU-bound: make sure they get every core.
+    # Text rules downstream are CPU-bound: spread a few-split input if asked to.
     orders = spread_scan(orders)
     customer = read_driver_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment"

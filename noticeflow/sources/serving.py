@@ -2,8 +2,8 @@
 
 The serving store is a set of Parquet tables under one directory. An
 upsert is one plan - fill keys, de-duplicate the batch, anti-join the
-target, union - written to a staging path and swapped in, so nothing is
-collected on the driver and a failed write leaves the old table intact.
+target, union - written beside the table and made current by one commit
+(see ``tables``), so a job that dies anywhere leaves the old table.
 """
 
 from __future__ import annotations
@@ -18,7 +18,16 @@ from pyspark.sql.types import DateType, DoubleType, FloatType, TimestampNTZType,
 from ..functions import dates, rules, text
 from ..operators.partitioning import checked_broadcast
 from ..schemas import RUN_LOG, SERVING_TABLES
-from .tables import path_exists, read_table, staged_write, write_clustered, write_table
+from .tables import (
+    commit,
+    committed_write,
+    current_commit,
+    new_version,
+    partition_dirs,
+    path_exists,
+    read_table,
+    write_clustered,
+)
 
 # ------------------------------------------------------------- row shaping
 
@@ -146,13 +155,10 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: list[
     written; an empty batch leaves the table's rows as they were."""
     counted, obs = _observed(updates)
     target = read_table(spark, path) if path_exists(spark, path) else None
-    staged_write(keyed_upsert(target, counted, keys, now), path)
+    committed_write(keyed_upsert(target, counted, keys, now), path)
     return int(obs.get.get("rows", 0))
 
 
-MAX_SWAPPED_PARTITIONS = 5000
-
-
 def partition_value(table: str) -> Column | None:
     """The partition column expression of a serving table (None: unpartitioned)."""
     if SERVING_TABLES[table].get("partition") == "report_month":
@@ -194,58 +200,52 @@ def upsert_partitioned(
     holding the previous version of a batch key. A daily batch against
     years of history rewrites a handful of partitions, not the table.
 
-    The touched partitions are listed on the driver (bounded by the table's
-    partition count; beyond ``MAX_SWAPPED_PARTITIONS`` the whole table is
-    rewritten instead), their new contents are written to a staging
-    directory, and each is swapped in - so a partition that ends up empty
-    is removed rather than left stale.
+    The touched partitions are listed on the driver (the commit file lists
+    the table's partitions anyway), their new contents are written as a new
+    version, and one commit replaces them together - a partition that ends
+    up empty is simply not named any more.
     """
-    from .tables import remove_path, swap_into
-
     counted, obs = _observed(updates)
     batch = keyed_upsert(None, counted, keys, now, assume_unique=assume_unique).withColumn(partition_col, partition_expr)
     if not path_exists(spark, path):
-        write_clustered(batch, path, partition_col, keys)
+        committed_write(batch, path, partition_col)
         return int(obs.get.get("rows", 0))
     batch = batch.persist()
     try:
         target = read_table(spark, path)
+        state = current_commit(spark, path)
         batch_keys = checked_broadcast(batch.select(*keys))
-        touched = touched_partitions(target, batch, batch_keys, keys, partition_col)
-        parts = [r[0] for r in touched.limit(MAX_SWAPPED_PARTITIONS + 1).collect()]
-        if len(parts) > MAX_SWAPPED_PARTITIONS:
-            staged_write(keyed_upsert(target, batch.drop("updated_at"), keys, now), path, [partition_col])
+        if state is None:  # a plain folder becomes a committed table
+            kept_rows = target.join(batch_keys, keys, "left_anti")
+            committed_write(kept_rows.unionByName(batch, allowMissingColumns=True), path, partition_col)
             return int(obs.get.get("rows", 0))
+        touched = touched_partitions(target, batch, batch_keys, keys, partition_col)
+        parts = [r[0] for r in touched.collect()]
         # Literal IN list: the scan reads only the touched partitions.
         current = target.filter(F.col(partition_col).isin(parts))
         new_rows = current.join(batch_keys, keys, "left_anti").unionByName(batch, allowMissingColumns=True)
-        staging = f"{path.rstrip('/')}.__staging-{uuid.uuid4().hex[:10]}"
-        write_clustered(new_rows, staging, partition_col, keys)
+        version = new_version()
+        write_clustered(new_rows, f"{path.rstrip('/')}/{version}", partition_col)
         n = int(obs.get.get("rows", 0))
     finally:
         batch.unpersist()
-    for value in parts:
-        d = partition_dir(spark, partition_col, value)
-        staged = f"{staging}/{d}"
-        if path_exists(spark, staged):
-            swap_into(spark, staged, f"{path.rstrip('/')}/{d}")
-        else:
-            remove_path(spark, f"{path.rstrip('/')}/{d}")
-    remove_path(spark, staging)
+    replaced = {partition_dir(spark, partition_col, value) for value in parts}
+    kept = [d for d in state["dirs"] if d.split("/")[-1] not in replaced]
+    commit(spark, path, new_rows.schema, kept + partition_dirs(spark, path, version))
     return n
 
 
 def replace_load(
     spark: SparkSession, path: str, rows: DataFrame, keys: list[str], now=None, partition: tuple | None = None
 ) -> int:
-    """Clear the table, then load: it becomes exactly the (keyed) input.
+    """The table becomes exactly the (keyed) input, in one commit.
     ``partition`` = (column, expression) writes it partitioned."""
     counted, obs = _observed(rows)
     out = keyed_upsert(None, counted, keys, now)
     if partition:
-        write_clustered(out.withColumn(partition[0], partition[1]), path, partition[0], keys, "overwrite")
+        committed_write(out.withColumn(partition[0], partition[1]), path, partition[0])
     else:
-        write_table(out, path, "overwrite")
+        committed_write(out, path)
     return int(obs.get.get("rows", 0))
 
 
@@ -257,8 +257,10 @@ def load_tables(
     replace: bool = False,
     now=None,
 ) -> DataFrame:
-    """Load all eight serving tables (or a subset) by their keys; returns
-    (table, loaded) with the per-table input row counts."""
+    """Load all eight serving tables (or a subset): fill the keys, keep one
+    row per key, enforce the declared columns and types, write. Returns
+    (table, loaded) with the per-table input row counts. A table whose
+    result breaks its primary key is an error."""
     from concurrent.futures import ThreadPoolExecutor
 
     names = tables or list(SERVING_TABLES)
@@ -267,11 +269,17 @@ def load_tables(
         path = f"{serving_dir.rstrip('/')}/{name}"
         keys = SERVING_TABLES[name]["keys"]
         part = SERVING_TABLES[name].get("partition")
+        rows = enforce_serving_schema(sources[name], name)
         if replace:
-            return name, replace_load(spark, path, sources[name], keys, now, part and (part, partition_value(name)))
-        if part:
-            return name, upsert_partitioned(spark, path, sources[name], keys, part, partition_value(name), now)
-        return name, upsert_table(spark, path, sources[name], keys, now)
+            n = replace_load(spark, path, rows, keys, now, part and (part, partition_value(name)))
+        elif part:
+            n = upsert_partitioned(spark, path, rows, keys, part, partition_value(name), now)
+        else:
+            n = upsert_table(spark, path, rows, keys, now)
+        report = key_report(read_table(spark, path), name).first()
+        if report["null_keys"] or report["duplicate_keys"]:
+            raise RuntimeError(f"primary key of {name} is broken: {report.asDict()}")
+        return name, n
 
     # Independent tables: submit the loads concurrently.
     with ThreadPoolExecutor(max_workers=len(names)) as pool:

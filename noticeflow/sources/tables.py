@@ -1,37 +1,33 @@
-"""Parquet tables: scan, overwrite sink, fallback choice and staged swap."""
+"""Parquet tables: scan, overwrite sink, fallback choice and atomic commits.
+
+A *committed* table keeps its data in version folders and a numbered commit
+file that names the folders making up the current contents::
+
+    <path>/_commits/000000000007.json     {"schema": ..., "dirs": [...]}
+    <path>/__v=<id>/...                   data of one write
+
+New files land first, then one commit file appears by a rename, then
+superseded folders are deleted. A reader or a replayed job therefore sees the
+table before or after a write, never in between, whatever step a lost driver
+stopped at; folders that no commit names are cleaned up by the next commit.
+A path without commits is a plain Parquet folder.
+"""
 
 from __future__ import annotations
 
+import json
+import logging
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
+_LOG = logging.getLogger(__name__)
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet scan of a table directory (all part files)."""
-    return spark.read.parquet(path)
-
-
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
-    w = df.write.mode(mode).option("partitionOverwriteMode", "static")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
-def write_clustered(df: DataFrame, path: str, partition_col: str, cluster_by: list[str], mode: str = "errorifexists") -> None:
-    """Partitioned write with rows range-partitioned by (partition, keys)
-    first: each task covers a contiguous run of partitions, so a partition
-    gets about as many files as tasks overlapping it (not one per task), and
-    the sampled ranges keep every task's size bounded even when one
-    partition holds a third of the rows."""
-    from pyspark.sql import functions as F
-
-    clustered = df.repartitionByRange(F.col(partition_col), *[F.col(c) for c in cluster_by])
-    # Static semantics whatever the session default: an overwrite replaces
-    # the whole table, not only the partitions present in ``df``.
-    clustered.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(path)
+VERSION_COL = "__v"
+COMMITS = "_commits"
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -40,6 +36,13 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme and authority Spark resolves it to, so that
+    tasks using another file-system client open the same place."""
+    fs, p = _hadoop_fs(spark, path)
+    return fs.makeQualified(p).toUri().toString()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _hadoop_fs(spark, path)
     return bool(fs.exists(p))
@@ -51,28 +54,134 @@ def remove_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def swap_into(spark: SparkSession, staged: str, target: str) -> None:
-    """Replace ``target`` by the fully written ``staged`` directory."""
-    fs, t = _hadoop_fs(spark, target)
-    _, s = _hadoop_fs(spark, staged)
-    if fs.exists(t):
-        fs.delete(t, True)
-    if not fs.rename(s, t):
-        raise RuntimeError(f"could not move {staged} to {target}")
+def _list(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _hadoop_fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p))
+
+
+# ------------------------------------------------------------------ commits
+
+
+def _commit_numbers(spark: SparkSession, path: str) -> list[int]:
+    return [int(n[:-5]) for n in _list(spark, f"{path.rstrip('/')}/{COMMITS}") if n[:-5].isdigit() and n.endswith(".json")]
+
+
+def current_commit(spark: SparkSession, path: str) -> dict | None:
+    """The newest commit of a table: its schema and data folders; None for a
+    plain folder."""
+    numbers = _commit_numbers(spark, path)
+    if not numbers:
+        return None
+    name = f"{path.rstrip('/')}/{COMMITS}/{max(numbers):012d}.json"
+    text = spark.read.option("wholetext", True).text(name).first()[0]
+    return json.loads(text) | {"number": max(numbers)}
 
 
-def staged_write(df: DataFrame, target: str, partition_by: list[str] | None = None) -> None:
-    """Write ``df`` next to ``target`` and swap it in. Needed whenever
-    ``df`` reads ``target`` itself (Spark cannot overwrite a path it is
-    reading); the old table stays intact until the new one is complete."""
+def new_version() -> str:
+    """Folder name of a new write (relative to the table)."""
+    return f"{VERSION_COL}={uuid.uuid4().hex[:12]}"
+
+
+def commit(spark: SparkSession, path: str, schema: StructType, dirs: list[str]) -> None:
+    """Make ``dirs`` (relative to the table) its contents, then delete what
+    no longer belongs to it."""
+    base = path.rstrip("/")
+    number = max(_commit_numbers(spark, path), default=0) + 1
+    fs, folder = _hadoop_fs(spark, f"{base}/{COMMITS}")
+    fs.mkdirs(folder)
+    _, draft = _hadoop_fs(spark, f"{base}/{COMMITS}/.draft-{uuid.uuid4().hex[:12]}")
+    out = fs.create(draft, True)
+    out.write(bytearray(json.dumps({"schema": schema.jsonValue(), "dirs": dirs}).encode()))
+    out.close()
+    _, final = _hadoop_fs(spark, f"{base}/{COMMITS}/{number:012d}.json")
+    if fs.exists(final) or not fs.rename(draft, final):
+        fs.delete(draft, False)
+        raise RuntimeError(f"another writer committed {base} meanwhile")
+    _clean(spark, base, set(dirs), number)
+
+
+def _clean(spark: SparkSession, base: str, dirs: set[str], number: int) -> None:
+    """Delete everything under the table that the commit does not name."""
+    tops = {d.split("/")[0] for d in dirs}
+    for name in _list(spark, base):
+        if name == COMMITS:
+            continue
+        if name not in tops:
+            remove_path(spark, f"{base}/{name}")
+        elif name not in dirs:  # some partitions of this version are current
+            for part in _list(spark, f"{base}/{name}"):
+                if f"{name}/{part}" not in dirs:
+                    remove_path(spark, f"{base}/{name}/{part}")
+    for name in _list(spark, f"{base}/{COMMITS}"):
+        if name != f"{number:012d}.json":
+            remove_path(spark, f"{base}/{COMMITS}/{name}")
+
+
+def partition_dirs(spark: SparkSession, path: str, version: str) -> list[str]:
+    """Partition folders of one version, relative to the table."""
+    return [f"{version}/{n}" for n in _list(spark, f"{path.rstrip('/')}/{version}") if "=" in n]
+
+
+# ---------------------------------------------------------------- scan, sink
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Scan of a table: the folders of its newest commit, or all part files
+    of a plain Parquet folder."""
+    state = current_commit(spark, path)
+    if state is None:
+        return spark.read.parquet(path)
+    schema = StructType.fromJson(state["schema"])
+    if not state["dirs"]:
+        return spark.createDataFrame([], schema)
+    base = path.rstrip("/")
+    with_version = StructType(schema.fields).add(VERSION_COL, StringType())
+    scan = spark.read.schema(with_version).option("basePath", base).parquet(*[f"{base}/{d}" for d in state["dirs"]])
+    return scan.select(*schema.fieldNames())
+
+
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
+    w = df.write.mode(mode).option("partitionOverwriteMode", "static")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+
+
+def write_clustered(df: DataFrame, path: str, partition_col: str, mode: str = "errorifexists") -> None:
+    """Partitioned write with each partition's rows brought together first.
+    The rebalance step sizes its tasks at run time: a partition that holds a
+    third of the rows is split over many tasks, small ones share a task, and
+    (unlike range partitioning) nothing is sampled, so the input runs once."""
+    clustered = df.hint("rebalance", F.col(partition_col))
+    # Static semantics whatever the session default: an overwrite replaces
+    # the whole table, not only the partitions present in ``df``.
+    clustered.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(path)
+
+
+def committed_write(df: DataFrame, path: str, partition_col: str | None = None) -> None:
+    """Make the table exactly ``df`` in one atomic step. ``df`` may read the
+    table itself; until the commit the old contents stay readable."""
     spark = df.sparkSession
-    staged = f"{target.rstrip('/')}.__staging-{uuid.uuid4().hex[:10]}"
-    write_table(df, staged, "overwrite", partition_by)
-    swap_into(spark, staged, target)
+    version = new_version()
+    target = f"{path.rstrip('/')}/{version}"
+    if partition_col:
+        write_clustered(df, target, partition_col)
+        dirs = partition_dirs(spark, path, version)
+    else:
+        df.write.parquet(target)
+        dirs = [version]
+    commit(spark, path, df.schema, dirs)
+
+
+def staged_write(df: DataFrame, target: str) -> None:
+    """Replace a table that ``df`` itself may read."""
+    committed_write(df, target)
 
 
 def staged_overwrite(spark: SparkSession, path: str, transform: Callable[[DataFrame], DataFrame]) -> None:
-    """Rewrite a table in place: read, transform (e.g. a date filter), swap."""
+    """Rewrite a table in place: read, transform (e.g. a date filter), commit."""
     staged_write(transform(read_table(spark, path)), path)
 
 
@@ -83,6 +192,6 @@ def first_non_empty(primary: Callable[[], DataFrame] | DataFrame, fallback: Call
         df = primary() if callable(primary) else primary
         if not df.isEmpty():
             return df
-    except Exception:  # a failed read counts as empty
-        pass
+    except Exception as e:  # a failed read counts as empty
+        _LOG.warning("primary source failed, taking the fallback: %s", e)
     return fallback() if callable(fallback) else fallback

@@ -7,34 +7,48 @@ merged into the served ``recalls`` table with a keyed upsert inside
 (latest report date wins within a batch, later batches replace earlier
 rows), so no watermark or streaming state is needed; progress lives in the
 checkpoint, so a restarted job resumes where it stopped. The served table
-is partitioned by report month and a batch rewrites only the months it
-touches.
-
-By default scores are batch-relative, as in the source system: a batch's
-repeat-company counts see only that batch, and only the batch's rows (and
-the months they touch) are rewritten. With ``history=True`` the
-repeat-company counts are kept exact: rows of
-every firm touched by the batch (including a firm a corrected record
-moved away from) are re-scored against the merged table, so the served
-table equals a batch rebuild over the same de-duplicated records - at the
-cost of rewriting every month that holds a row of an affected firm.
+is partitioned by report month, a batch rewrites only the months it
+touches, and one commit makes its rows current: a batch that is replayed
+after a crash, at whatever step, gives the same table.
+
+By default scores are batch-relative, as in the source system: every row of
+the batch's report window is scored (repeat-company counts see that window,
+repeated records included), then keys are filled and reduced to one row
+each. With ``history=True`` the repeat-company counts are exact over the
+whole served table: the table keeps the records, and scores - which depend
+on every other record of a firm - are computed when it is read
+(:func:`served_table`). So a batch never rewrites a month because of a firm
+(or missing firm) it shares with others.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.explore import filter_report_date
-from ..operators.partitioning import checked_broadcast
-from ..operators.scoring import FIRM_KEY, score_recalls
+from ..operators.scoring import score_recalls
 from ..operators.silver import silver_projection
 from ..schemas import BRONZE_DOCUMENT, SCORED_COLUMNS, SILVER_COLUMNS
 from ..sources.bronze import explode_records
 from ..sources.serving import dedupe_latest, fill_keys, partition_value, upsert_partitioned
-from ..sources.tables import path_exists, read_table
+from ..sources.tables import read_table
 
 KEYS = ["recall_number"]
 PARTITION_COL = "report_month"
+#: Days of the rolling report-date window of a daily refresh.
+LOOKBACK_DAYS = 14
+
+
+def rolling_window(lookback_days: int = LOOKBACK_DAYS, as_of: str | None = None) -> tuple[str, str]:
+    """(start, end) of the report dates a daily refresh keeps: the
+    ``lookback_days`` days up to and including ``as_of`` (default: today, UTC)."""
+    if as_of:
+        last = _dt.datetime.strptime(as_of.replace("-", "")[:8], "%Y%m%d").date()
+    else:
+        last = _dt.datetime.now(_dt.timezone.utc).date()
+    return (last - _dt.timedelta(days=lookback_days)).isoformat(), last.isoformat()
 
 
 def merge_batch(
@@ -50,34 +64,15 @@ def merge_batch(
     The served table is partitioned by report month and only the months
     holding replaced or new rows are rewritten (``upsert_partitioned``).
     """
-    silver_b = silver_projection(batch_records)
-    silver_b = filter_report_date(silver_b, report_start, report_end)
-    silver_b = dedupe_latest(fill_keys(silver_b, KEYS), KEYS).persist()
-    affected = None
-    try:
-        if silver_b.isEmpty():
-            return
-        if not history or not path_exists(spark, served_path):
-            # Batch-relative scores (or the first batch): only the new rows change.
-            replacement = score_recalls(silver_b)
-        else:
-            served = read_table(spark, served_path)
-            batch_keys = checked_broadcast(silver_b.select(*KEYS))
-            replaced_firms = served.join(batch_keys, KEYS, "left_semi").select(FIRM_KEY)
-            affected = silver_b.select(FIRM_KEY).unionByName(replaced_firms).distinct().persist()
-            firms = checked_broadcast(affected)
-            on_firm = served[FIRM_KEY].eqNullSafe(firms[FIRM_KEY])
-            others = served.join(firms, on_firm, "left_semi").join(batch_keys, KEYS, "left_anti")
-            # Every row of an affected firm is re-scored against the merged rows.
-            replacement = score_recalls(others.select(*SILVER_COLUMNS).unionByName(silver_b))
-        upsert_partitioned(
-            spark, served_path, replacement.select(*SCORED_COLUMNS), KEYS,
-            PARTITION_COL, partition_value("recalls"), assume_unique=True,
-        )
-    finally:
-        silver_b.unpersist()
-        if affected is not None:
-            affected.unpersist()
+    rows = filter_report_date(silver_projection(batch_records), report_start, report_end)
+    if rows.isEmpty():
+        return
+    columns = SILVER_COLUMNS if history else SCORED_COLUMNS
+    rows = rows if history else score_recalls(rows)
+    rows = dedupe_latest(fill_keys(rows.select(*columns), KEYS), KEYS)
+    upsert_partitioned(
+        spark, served_path, rows, KEYS, PARTITION_COL, partition_value("recalls"), assume_unique=True
+    )
 
 
 def incremental_refresh(
@@ -90,9 +85,21 @@ def incremental_refresh(
     report_end: str | None = None,
     multiline: bool = False,
     max_files_per_trigger: int | None = None,
+    lookback_days: int | None = None,
+    as_of: str | None = None,
 ):
     """Process every bronze file landed under ``bronze_dir`` since the last
-    run, then stop. Returns the finished StreamingQuery."""
+    run, then stop. Returns the finished StreamingQuery.
+
+    ``lookback_days`` keeps only records reported in the rolling window up
+    to ``as_of`` (see :func:`rolling_window`), which is how a daily run over
+    a complete export catches late and corrected records without reloading
+    the past; it excludes fixed bounds.
+    """
+    if lookback_days is not None:
+        if report_start or report_end:
+            raise ValueError("give either lookback_days or fixed report dates")
+        report_start, report_end = rolling_window(lookback_days, as_of)
     reader = spark.readStream.schema(BRONZE_DOCUMENT).option("multiLine", multiline)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -112,4 +119,9 @@ def incremental_refresh(
 
 
 def served_table(spark: SparkSession, served_path: str) -> DataFrame:
-    return read_table(spark, served_path).select(*SCORED_COLUMNS)
+    """The served recalls with their scores; a history table is scored here,
+    over all of its records."""
+    table = read_table(spark, served_path)
+    if "risk_score" not in table.columns:
+        table = score_recalls(table.select(*SILVER_COLUMNS))
+    return table.select(*SCORED_COLUMNS)
