@@ -1,29 +1,56 @@
-"""The corpus pipeline: documents through the training-data operators.
+"""The corpus pipeline: documents through five training-data operators.
 
 Each stage takes (spark, docs, sf_dir); its result is written as Parquet and
-read again as the next stage's ``docs``.
+read again as the next stage's ``docs``. All stages but the last return the
+columns of ``docs``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from noticeflow.llm import decontaminate, minmax_dedup, quality_rules, substring_dedup, viterbi
 from noticeflow.llm.common import materialise, read_table, release
-from noticeflow.llm.minmax_dedup import drop_near_duplicates
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality_rules.keep_quality(docs, read_table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays (five-word shingles,
     similarity 0.8 or more)."""
-    return drop_near_duplicates(docs, shingle=5, percent=80)
+    return minmax_dedup.drop_near_duplicates(docs, shingle=5, percent=80)
+
+
+def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 20 words or more that occur earlier are cut from the texts;
+    documents stay, n_chars follows the text."""
+    cut = substring_dedup.cut_repeats(docs, window=20)
+    return cut.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of every text: doc_id, n_tokens, ids_crc32, exact, ids."""
+    return viterbi.encode_pieces(docs)
 
 
 STAGES = [
+    ("quality_rules", quality),
     ("minmax_near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup_stage),
+    ("latent_decontamination", decontamination),
+    ("streaming_viterbi", sentencepiece),
 ]
 
-#: The substring, benchmark and tokenizer stages have no SQL form; tests
-#: compare run() with brute force.
+#: The later stages have no SQL form; tests compare run() with brute force.
 ORACLE_SQL = None
 
 

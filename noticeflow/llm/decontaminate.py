@@ -397,9 +397,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.65, sh
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
-    """``docs`` without the documents that hold an item; rows without doc_id
-    stay (nothing can name them)."""
-    bad = contaminated(docs, benchmark, **params).filter("doc_id is not null").select(
-        F.col("doc_id").alias("_bad_id")
-    ).distinct()
+    """``docs`` without the documents that hold an item; of rows that share a
+    doc_id all go, rows without doc_id stay (nothing can name them)."""
+    bad = contaminated(docs, benchmark, **params).filter("doc_id is not null")
+    # A narrow table of its own, so that the plan knows its size.
+    bad = materialise(bad.select(F.col("doc_id").alias("_bad_id")).distinct(), "contaminated")
     return docs.join(bad, docs["doc_id"] == bad["_bad_id"], "left_anti")

@@ -67,7 +67,7 @@ def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), window=20, with_text=False)
+    return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), window=20)
 
 
 @_query

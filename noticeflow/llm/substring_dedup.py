@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import textnp as T
 from .common import materialise, ready, release
@@ -94,9 +95,16 @@ def _named(window: int):
     return run
 
 
-def _candidates(window: int):
+def _carried(rows: pa.RecordBatch) -> tuple[list, list]:
+    """The carried column, if there is one, and its name."""
+    at = rows.schema.get_field_index("carry")
+    return ([rows.column(at)], ["carry"]) if at >= 0 else ([], [])
+
+
+def _candidates(window: int, keep_text: bool):
     """Documents with the starts of candidate windows; a document without
-    any is finished here and carries its digest instead of its text."""
+    any is finished here: its digest is set and, unless ``keep_text``, its
+    text is dropped."""
 
     def run(batches):
         for batch in batches:
@@ -106,12 +114,11 @@ def _candidates(window: int):
                 copy = rows.column("is_copy").to_pylist()
                 texts = rows.column("text").to_pylist()
                 split = np.searchsorted(text, np.arange(n + 1))
-                out_text, out_at, digest = [], [], []
+                out_text, out_at, digest, gone = [], [], [], []
                 for i in range(n):
                     a, b = split[i], split[i + 1]
-                    if a == b or copy[i]:
-                        where = np.zeros(0, np.int64)
-                    else:
+                    where = np.zeros(0, np.int64)
+                    if b > a and not copy[i]:
                         single = lonely[i].values
                         single = np.zeros(0, np.uint64) if single is None else single.to_numpy().view(np.uint64)
                         # A half window that this document alone names, and
@@ -120,31 +127,30 @@ def _candidates(window: int):
                         hashes, inverse, times = np.unique(halves[places], return_inverse=True, return_counts=True)
                         alone = (np.isin(hashes, single) & (times == 1))[inverse]
                         where = at[a:b][~alone[use]] - first[i]
-                    if copy[i] and b > a:
-                        out_text.append(None)
-                        digest.append(hashlib.sha256(b"").hexdigest())
-                        out_at.append(None)
-                    elif len(where):
+                    if len(where):
                         out_text.append(texts[i])
-                        digest.append(None)
                         out_at.append(where.astype(np.int32).tobytes())
-                    else:
-                        out_text.append(None)
-                        raw = (texts[i] or "").encode()
-                        digest.append(hashlib.sha256(_joined(raw)).hexdigest())
-                        out_at.append(None)
-                n_words = np.diff(first)
-                gone = np.where(np.array([bool(c) for c in copy]) & (split[1:] > split[:-1]), n_words, 0)
+                        digest.append(None)
+                        gone.append(0)
+                        continue
+                    covered = b > a and copy[i]
+                    raw = b"" if covered else _joined((texts[i] or "").encode())
+                    out_at.append(None)
+                    digest.append(hashlib.sha256(raw).hexdigest())
+                    gone.append(int(first[i + 1] - first[i]) if covered else 0)
+                    out_text.append(("" if covered else texts[i]) if keep_text else None)
+                carry, name = _carried(rows)
                 yield pa.record_batch(
                     [
                         rows.column("doc_id"),
                         pa.array(out_text, pa.string()),
                         pa.array(out_at, pa.binary()),
-                        pa.array(n_words.astype(np.int64)),
-                        pa.array(gone.astype(np.int64)),
+                        pa.array(np.diff(first).astype(np.int64)),
+                        pa.array(gone, pa.int64()),
                         pa.array(digest, pa.string()),
+                        *carry,
                     ],
-                    names=["doc_id", "text", "at", "n_words", "n_gone", "digest"],
+                    names=["doc_id", "text", "at", "n_words", "n_removed", "kept_sha256", *name],
                 )
 
     return run
@@ -158,7 +164,7 @@ def _joined(raw: bytes) -> bytes:
     return b" ".join(filter(None, raw.translate(_WHITE_TABLE).split(b" ")))
 
 
-_CANDIDATES = "doc_id long, text string, at binary, n_words long, n_gone long, digest string"
+_CANDIDATES = "doc_id long, text string, at binary, n_words long, n_removed long, kept_sha256 string"
 
 
 def _full_hashes(rows: pa.RecordBatch, window: int):
@@ -207,7 +213,7 @@ def _whole(window: int):
     return run
 
 
-def _remove(window: int):
+def _remove(window: int, keep_text: bool):
     """Drop every word covered by a window that starts earlier elsewhere."""
 
     def run(batches):
@@ -234,7 +240,8 @@ def _remove(window: int):
                     buffer = memoryview(data)
                     kept = [bytes(buffer[a:b]) for a, b in zip(starts[~drop].tolist(), ends[~drop].tolist())]
                     digest.append(hashlib.sha256(b" ".join(kept)).hexdigest())
-                    out_text.append(_cut(data, starts, drop) if gone[-1] else None)
+                    out_text.append(_cut(data, starts, drop) if keep_text else None)
+                carry, name = _carried(rows)
                 yield pa.record_batch(
                     [
                         ids,
@@ -242,8 +249,9 @@ def _remove(window: int):
                         rows.column("n_words"),
                         pa.array(gone, pa.int64()),
                         pa.array(digest, pa.string()),
+                        *carry,
                     ],
-                    names=["doc_id", "kept_text", "n_words", "n_removed", "kept_sha256"],
+                    names=["doc_id", "text", "n_words", "n_removed", "kept_sha256", *name],
                 )
 
     return run
@@ -254,6 +262,8 @@ def _cut(data: np.ndarray, starts: np.ndarray, drop: np.ndarray) -> str:
     that follows it."""
     raw = data.tobytes()
     edges = np.append(starts, len(raw))
+    if not drop.any():
+        return raw.decode()
     change = np.flatnonzero(np.diff(np.concatenate(([False], drop, [False])).astype(np.int8)))
     keep, at = [], 0
     for a, b in change.reshape(-1, 2):
@@ -263,25 +273,22 @@ def _cut(data: np.ndarray, starts: np.ndarray, drop: np.ndarray) -> str:
     return b"".join(keep).decode()
 
 
-_REMOVED = "doc_id long, kept_text string, n_words long, n_removed long, kept_sha256 string"
+_REMOVED = "doc_id long, text string, n_words long, n_removed long, kept_sha256 string"
 
 
-def remove_repeats(docs: DataFrame, window: int = 20, with_text: bool = True) -> DataFrame:
-    """One row per row of ``docs(doc_id, text)``: doc_id, n_words, n_removed,
-    kept_sha256 and, with ``with_text``, kept_text (null: as it was).
+def _schema(ddl: str, carry: StructType | None) -> StructType:
+    base = StructType.fromDDL(ddl)
+    return base.add("carry", carry) if carry is not None else base
 
-    A word goes if it lies in a window of ``window`` words whose word
-    sequence also starts in a smaller doc_id, or earlier in the same text.
-    Windows are judged on the input. A null text has no words. Rows that
-    share a doc_id are judged alike against other documents and each by
-    itself. A row without doc_id is returned whole and removes nothing from
-    others. Extra columns are ignored; an empty table gives an empty result.
-    """
+
+def _repeats(slim: DataFrame, window: int, carry: StructType | None) -> DataFrame:
+    """The work behind both forms; with ``carry``, that column and whole
+    texts pass through."""
     if window < 2:
         raise ValueError("window needs two words or more")
-    spark = docs.sparkSession
+    spark = slim.sparkSession
     ready(spark)
-    slim = docs.select("doc_id", "text")
+    keep_text = carry is not None
     keyed = slim.filter("doc_id is not null")
 
     # Whole copies first: a document that is nowhere the smallest doc_id of a
@@ -291,52 +298,74 @@ def remove_repeats(docs: DataFrame, window: int = 20, with_text: bool = True) ->
         .select("doc_id").distinct().withColumn("is_first", F.lit(True)),
         "originals",
     )
-
     alone = (
-        keyed.mapInArrow(_named(window), "h long, doc_id long").groupBy("h")
+        keyed.select("doc_id", "text").mapInArrow(_named(window), "h long, doc_id long").groupBy("h")
         .agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")).filter("n = 1").select("doc_id", "h")
     )
     alone = materialise(alone, "level1")
     release(spark)
+    none = F.array().cast("array<long>")
     singles = alone.groupBy("doc_id").agg(F.collect_list("h").alias("singles"))
+    # Rows without doc_id stand alone: every half window of theirs would be
+    # unknown, so they are taken through as they are.
+    extra = ["carry"] if keep_text else []
     known = keyed.join(singles, "doc_id", "left").join(originals, "doc_id", "left").select(
-        "doc_id", "text", F.coalesce("singles", F.array().cast("array<long>")).alias("singles"),
-        F.col("is_first").isNull().alias("is_copy"),
+        "doc_id", "text", F.coalesce("singles", none).alias("singles"), F.col("is_first").isNull().alias("is_copy"), *extra
     )
-    staged = materialise(known.mapInArrow(_candidates(window), _CANDIDATES), "candidates")
+    staged = known.mapInArrow(_candidates(window, keep_text), _schema(_CANDIDATES, carry))
+    staged = materialise(staged, "candidates")
     release(spark)
 
-    open_docs = staged.filter("text is not null")
+    open_docs = staged.filter("at is not null")
     firsts = (
         open_docs.select("doc_id", "text", "at").mapInArrow(_whole(window), "h long, g int, doc_id long")
         .groupBy("h", "g").agg(F.min("doc_id").alias("doc_id"))
         .groupBy("doc_id").agg(F.collect_list("h").alias("firsts"))
     )
     judged = open_docs.join(firsts, "doc_id", "left").select(
-        "doc_id", "text", "at", "n_words", F.coalesce("firsts", F.array().cast("array<long>")).alias("firsts")
+        "doc_id", "text", "at", "n_words", F.coalesce("firsts", none).alias("firsts"), *extra
     )
-    removed = judged.mapInArrow(_remove(window), _REMOVED)
-    finished = staged.filter("text is null").select(
-        "doc_id",
-        F.when(F.col("n_gone") > 0, F.lit("")).alias("kept_text"),
-        "n_words", F.col("n_gone").alias("n_removed"), F.col("digest").alias("kept_sha256"),
-    )
-    stray = slim.filter("doc_id is null").mapInArrow(_plain, _REMOVED)
-    out = finished.unionByName(removed).unionByName(stray)
-    return out if with_text else out.drop("kept_text")
+    removed = judged.mapInArrow(_remove(window, keep_text), _schema(_REMOVED, carry))
+    finished = staged.filter("at is null").drop("at")
+    stray = slim.filter("doc_id is null").mapInArrow(_plain, _schema(_REMOVED, carry))
+    return finished.unionByName(removed).unionByName(stray)
+
+
+def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
+    """One row per row of ``docs(doc_id, text)``: doc_id, n_words, n_removed,
+    kept_sha256 (of the kept words joined by one space).
+
+    A word goes if it lies in a window of ``window`` words whose word
+    sequence also starts in a smaller doc_id, or earlier in the same text.
+    Windows are judged on the input. A null text has no words. Rows that
+    share a doc_id are judged alike against other documents and each by
+    itself. A row without doc_id is returned whole and removes nothing from
+    others. Extra columns are ignored; an empty table gives an empty result.
+    """
+    return _repeats(docs.select("doc_id", "text"), window, None).drop("text")
+
+
+def cut_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
+    """``docs`` with the repeated words cut from text (each with the white
+    space after it); all columns and rows stay, whatever their names."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    slim = docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others]).alias("carry"))
+    out = _repeats(slim, window, slim.schema["carry"].dataType)
+    return out.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"carry.`{c}`") for c in docs.columns])
 
 
 def _plain(batches):
     for batch in batches:
-        texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
-        joined = [_joined(t) for t in texts]
+        joined = [_joined((t or "").encode()) for t in batch.column("text").to_pylist()]
+        carry, name = _carried(batch)
         yield pa.record_batch(
             [
                 batch.column("doc_id"),
-                pa.nulls(len(texts), pa.string()),
+                batch.column("text"),
                 pa.array([len(j.split(b" ")) if j else 0 for j in joined], pa.int64()),
-                pa.array([0] * len(texts), pa.int64()),
+                pa.array([0] * len(joined), pa.int64()),
                 pa.array([hashlib.sha256(j).hexdigest() for j in joined], pa.string()),
+                *carry,
             ],
-            names=["doc_id", "kept_text", "n_words", "n_removed", "kept_sha256"],
+            names=["doc_id", "text", "n_words", "n_removed", "kept_sha256", *name],
         )

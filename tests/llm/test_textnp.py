@@ -1,0 +1,51 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+
+from noticeflow.llm import textnp as T
+
+from . import brute
+
+TEXTS = ["", None, "a", " a  b\n", "é ü\tx", "no\x0bw\x0cy\rz", "x", "y x", "\x85 a", "tail "]
+
+
+def test_words_and_borders():
+    data, offsets = T.text_buffer(pa.array(TEXTS))
+    starts, ends, first = T.word_spans(data, offsets)
+    raw = data.tobytes()
+    got = [[raw[starts[k] : ends[k]].decode() for k in range(first[i], first[i + 1])] for i in range(len(TEXTS))]
+    assert got == [brute.words(t) for t in TEXTS]
+    sliced = pa.array(["skip me", *TEXTS]).slice(1)
+    assert T.text_buffer(sliced)[0].tobytes() == raw
+
+
+def test_equal_words_and_windows_have_equal_hashes():
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice("ab") for _ in range(rng.randint(0, 30))) for _ in range(40)]
+    data, offsets = T.text_buffer(pa.array(texts))
+    starts, ends, first = T.word_spans(data, offsets)
+    words = T.word_hashes(data, starts, ends)
+    for length in (1, 2, 3, 5, 7, 10):
+        hashes = T.window_hashes(words, length)
+        text, at = T.windows_inside(first, length)
+        seen = {}
+        for t, a in zip(text, at):
+            w = tuple(texts[t].split()[a - first[t] : a - first[t] + length])
+            assert len(w) == length
+            assert seen.setdefault(w, hashes[a]) == hashes[a]
+        assert len(set(seen.values())) == len(seen)
+
+
+def test_case_folding_is_ascii():
+    data, offsets = T.text_buffer(pa.array(["AbC abc ÀB àb"]))
+    starts, ends, _ = T.word_spans(data, offsets)
+    h = T.word_hashes(data, starts, ends, fold_case=True)
+    assert h[0] == h[1] and h[2] != h[3]
+
+
+def test_pieces_are_bounded_and_whole():
+    batch = pa.RecordBatch.from_pydict({"text": ["x" * n for n in (5, 50, 5, 5, 200, 1)]})
+    parts = list(T.pieces(batch, "text", 60))
+    assert [p.num_rows for p in parts] == [3, 1, 1, 1] or sum(p.num_rows for p in parts) == 6
+    assert np.concatenate([p.column("text").to_numpy(zero_copy_only=False) for p in parts]).tolist() == batch.column("text").to_pylist()
