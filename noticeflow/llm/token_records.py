@@ -19,27 +19,25 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
 import uuid
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import textnp as T
 from .common import materialise, ready
+from .stretches import StretchCache, cut, sums
 from .vocab import file_bytes
 
 VOCABULARY = "byte_bpe_50k.json"
 MASK_DELTA = 0xA282EAD8
 END_ID = 0
-#: Entries kept per worker before the cache starts anew.
-CACHE_ENTRIES = 400_000
-
 _LENGTH, _CHECK, _HEAD, _INDEX = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<qBB"), struct.Struct("<QQ")
 
 
@@ -88,17 +86,28 @@ def qualified(spark, path: str) -> str:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toUri().toString()
 
 
+def _borders() -> np.ndarray:
+    """Byte pairs that the byte-level pattern never keeps in one pre-token:
+    a visible character before ASCII white space, and an ASCII letter or
+    digit beside other ASCII signs but the apostrophe (of 's, 'll ...)."""
+    white = np.zeros(256, bool)
+    white[[0x20, *range(0x09, 0x0E)]] = True
+    alnum = np.array([c < 128 and chr(c).isalnum() for c in range(256)])
+    sign = ~white & ~alnum & (np.arange(256) < 128)
+    sign[ord("'")] = False
+    return (~white[:, None] & white) | (alnum[:, None] & sign) | (sign[:, None] & alnum)
+
+
 class _Encoder:
-    """The tokenizers library behind a cache of stretches.
+    """The tokenizers library behind a memory of stretches.
 
-    Pre-tokens of the byte-level pattern never run from a visible character
-    into white space, so a text splits there and equal stretches have equal
-    ids. That holds for the six ASCII white-space characters; a text with any
-    other white space or separator goes to the library whole.
+    Pre-tokens of the byte-level pattern never cross the borders above, so
+    equal stretches between them have equal ids. That holds for ASCII white
+    space; a text with any other goes to the library whole, as does every
+    text if the vocabulary has another pattern.
     """
 
-    _odd = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]").search
-    _stretches = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+").findall
+    _odd = r"[\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
     def __init__(self, raw: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
@@ -109,35 +118,59 @@ class _Encoder:
         size = self.tokenizer.get_vocab_size()
         self.width = 2 if size <= 65536 else 4
         self.dtype = np.dtype(f"<u{self.width}")
-        pre = json.loads(raw)
-        kinds = json.dumps([pre.get("pre_tokenizer"), pre.get("normalizer")])
-        self.local = '"ByteLevel"' in kinds and '"add_prefix_space": false' in kinds and pre.get("normalizer") is None
-        self.cache: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [
-            np.array(e.ids, self.dtype).tobytes()
-            for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        ]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of each text."""
-        out: list[bytes] = [b""] * len(texts)
-        whole = [i for i, t in enumerate(texts) if t and (not self.local or self._odd(t))]
-        for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
+        spec = json.loads(raw)
+        kind = spec.get("pre_tokenizer") or {}
+        self.local = (
+            kind.get("type") == "ByteLevel" and kind.get("use_regex", True) and not kind.get("add_prefix_space", True)
+            and spec.get("normalizer") is None and not spec["model"].get("dropout")
+        )
+        self.borders = _borders()
+        self.model = self.tokenizer.model
+        self.signs = _byte_signs()
+        self.cache = StretchCache(self._stretches, self.dtype)
+
+    def _stretches(self, texts: list[str]) -> list[list[int]]:
+        """A stretch that is one pre-token (a word, with a space or not) goes
+        to the library's model as it is, others through its whole pipeline."""
+        out: list = [None] * len(texts)
+        rest = []
+        for i, t in enumerate(texts):
+            if t.removeprefix(" ").isalpha():
+                signs = t.encode().decode("latin-1").translate(self.signs)
+                out[i] = [token.id for token in self.model.tokenize(signs)]
+            else:
+                rest.append(i)
+        for i, ids in zip(rest, self._whole([texts[i] for i in rest])):
             out[i] = ids
-        rest = sorted(set(range(len(texts))) - set(whole))
-        split = [self._stretches(texts[i]) for i in rest]
-        known = self.cache
-        missing = list({s for parts in split for s in parts} - known.keys())
-        if len(known) + len(missing) > CACHE_ENTRIES:
-            self.cache = known = {}
-            missing = list({s for parts in split for s in parts})
-        known.update(zip(missing, self._ids(missing)))
-        for i, parts in zip(rest, split):
-            out[i] = b"".join(map(known.__getitem__, parts))
         return out
 
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets) of a column of texts (null: empty)."""
+        column = column.fill_null("").cast(pa.large_string())
+        odd = np.array(pc.match_substring_regex(column, self._odd)) if self.local else np.ones(len(column), bool)
+        data, offsets = T.text_buffer(pc.if_else(pa.array(odd), "", column) if odd.any() else column)
+        starts, first = cut(data, offsets, self.borders)
+        ids, counts = self.cache.ids(data, starts)
+        bounds = sums(counts, first)
+        if not odd.any():
+            return ids, bounds
+        parts = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+        where = np.flatnonzero(odd).tolist()
+        for i, found in zip(where, self._whole([column[i].as_py() for i in where])):
+            parts[i] = np.array(found, self.dtype)
+        return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(x) for x in parts])))
+
+
+def _byte_signs() -> dict[int, str]:
+    """The sign that a byte-level vocabulary writes for each byte: itself
+    where it is printable, else the next free one from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
+
 
 _ENCODERS: dict[int, _Encoder] = {}
 
@@ -163,11 +196,11 @@ def _write(shared, folder: str):
                     name = f"part-{part:06d}-{uuid.uuid4().hex[:12]}"
                     system.create_dir(base, recursive=True)
                     files = [system.open_output_stream(f"{base}/{name}.{kind}") for kind in ("records", "index")]
-                texts = [t or "" for t in rows.column("text").to_pylist()]
-                for doc_id, ids in zip(rows.column("doc_id").to_pylist(), encoder.encode(texts)):
-                    ids += end
-                    record = frame(payload_of(doc_id, encoder.width, ids))
-                    n_ids = len(ids) // encoder.width
+                flat, bounds = encoder.encode(rows.column("text"))
+                packed, edges = flat.tobytes(), (bounds * encoder.width).tolist()
+                for k, doc_id in enumerate(rows.column("doc_id").to_pylist()):
+                    record = frame(payload_of(doc_id, encoder.width, packed[edges[k] : edges[k + 1]] + end))
+                    n_ids = int(bounds[k + 1] - bounds[k]) + 1
                     files[0].write(record)
                     files[1].write(index_entry(offset, n_ids))
                     offset, docs, ids_total = offset + len(record), docs + 1, ids_total + n_ids
