@@ -7,9 +7,9 @@ pointers meet in one boundary, the ids before it are final: they are
 committed and the window forgets them. Memory is bounded by the piece
 length and the distance to the last meeting point, not by the text.
 
-No piece crosses into a space or holds a character without a piece, so all
-paths meet there; stretches between such places are encoded by themselves
-and remembered (a bounded cache), which is what makes ordinary text fast.
+Between two bytes that stand side by side in no piece (into a space, say)
+all paths meet whatever comes; stretches between such places are encoded by
+themselves and remembered (see ``stretches``), which makes ordinary text fast.
 
 A character without a piece of its own becomes its UTF-8 byte pieces. A
 literal U+2581 in a text, which the model uses for spaces, is written as
@@ -18,21 +18,20 @@ byte pieces too, so that decoding gives back every text exactly.
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from . import stretches as S
 from . import textnp as T
 from .common import ready
 from .vocab import file_bytes
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "\u2581"
-#: Entries kept per worker before the cache starts anew.
-CACHE_ENTRIES = 400_000
 #: An unknown character scores this much below the worst piece.
 UNKNOWN_PENALTY = 10.0
 
@@ -63,13 +62,19 @@ class PieceModel:
         self.unknown = min(s for _, s, _ in plain) - UNKNOWN_PENALTY
         self.unknown_id = sp.unk_id()
         self.dtype = np.dtype("<u2") if n <= 65536 else np.dtype("<u4")
-        if any(SPACE in p.lstrip(SPACE) for p, _, _ in plain) or len(self.byte_ids) < 256:
-            raise ValueError("the model needs byte pieces and pieces that begin at spaces only")
-        characters = {c for p, _, _ in plain for c in p}
-        # Paths meet at spaces and line ends (if these have no piece).
-        line = "" if "\n" in characters else "\n"
-        self.split = re.compile(f" *[^ {line}{SPACE}]+| +|{line or SPACE}|{SPACE}").findall
+        if len(self.byte_ids) < 256:
+            raise ValueError("the model needs byte pieces")
         self.decoded = [self._bytes(i) for i in range(n)]
+        self._sizes = np.array([len(b) for b in self.decoded], np.int64)
+        self._flat = np.frombuffer(b"".join(self.decoded), np.uint8)
+        # Paths meet between bytes that no piece holds side by side (not
+        # inside a character, whose later bytes are 0x80 to 0xBF).
+        self.borders = np.ones((256, 256), bool)
+        for piece, _, _ in plain:
+            raw = piece.replace(SPACE, " ").encode()
+            self.borders[list(raw[:-1]), list(raw[1:])] = False
+        self.borders[:, 0x80:0xC0] = False
+        self.cache = S.StretchCache(lambda texts: [self.segment(t.replace(" ", SPACE)) for t in texts], self.dtype)
 
     def _bytes(self, i: int) -> bytes:
         for value, j in self.byte_ids.items():
@@ -134,71 +139,82 @@ class PieceModel:
             end = begin
         return out[::-1]
 
-    def stretch(self, raw: str) -> bytes:
-        """Packed ids of one stretch between meeting places."""
-        if raw == SPACE:
-            ids = [self.byte_ids[b] for b in raw.encode()]
-        else:
-            ids = self.segment(raw.replace(" ", SPACE))
-        return np.array(ids, self.dtype).tobytes()
-
-    def encode(self, text: str, cache: dict[str, bytes]) -> np.ndarray:
+    def encode(self, text: str) -> list[int]:
+        """Ids of one text, without the memory of stretches."""
         if not text:
-            return np.zeros(0, self.dtype)
-        parts = self.split(" " + text)
-        for part in set(parts):
-            if part not in cache:
-                if len(cache) >= CACHE_ENTRIES:
-                    cache.clear()
-                    return self._encode_plain(parts)
-                cache[part] = self.stretch(part)
-        return np.frombuffer(b"".join(map(cache.__getitem__, parts)), self.dtype)
-
-    def _encode_plain(self, parts: list[str]) -> np.ndarray:
-        own: dict[str, bytes] = {}
-        for part in parts:
-            if part not in own:
-                own[part] = self.stretch(part)
-        return np.frombuffer(b"".join(map(own.__getitem__, parts)), self.dtype)
-
-    def decode(self, ids: np.ndarray) -> str:
-        """The text of ids; ids without a text (unknown, control) add none."""
-        text = b"".join(map(self.decoded.__getitem__, ids.tolist())).decode("utf-8", "replace")
-        return text.removeprefix(" ")
-
-
-_MODELS: dict[int, tuple[PieceModel, dict[str, bytes]]] = {}
-
-
-def _model(raw: bytes) -> tuple[PieceModel, dict[str, bytes]]:
-    """One model and cache per Python worker and model file."""
+            return []
+        out: list[int] = []
+        for k, part in enumerate((" " + text).split(SPACE)):
+            if k:  # a literal U+2581
+                out += [self.byte_ids[b] for b in SPACE.encode()]
+            out += self.segment(part.replace(" ", SPACE))
+        return out
+
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets) of a column of texts (null: empty)."""
+        column = column.fill_null("").cast(pa.large_string())
+        # The model's leading space; a literal U+2581 goes the plain way.
+        literal = np.array(pc.match_substring(column, SPACE))
+        skip = pa.array(literal | (np.array(pc.binary_length(column)) == 0))
+        empty, space = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
+        spaced = pc.if_else(skip, empty, pc.binary_join_element_wise(empty, column, space))
+        data, offsets = T.text_buffer(spaced)
+        starts, first = S.cut(data, offsets, self.borders)
+        ids, counts = self.cache.ids(data, starts)
+        bounds = S.sums(counts, first)
+        if not literal.any():
+            return ids, bounds
+        parts = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+        for i in np.flatnonzero(literal).tolist():
+            parts[i] = np.array(self.encode(column[i].as_py()), self.dtype)
+        return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(x) for x in parts])))
+
+    def decode_many(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+        """The UTF-8 texts of several id sequences, end to end in ``ids``."""
+        sizes = self._sizes[ids]
+        at = np.cumsum(self._sizes) - self._sizes
+        raw = self._flat[S.ragged(at[ids], sizes)].tobytes()
+        edges = np.concatenate(([0], np.cumsum(sizes)))[bounds].tolist()
+        return [raw[a:b].removeprefix(b" ") for a, b in zip(edges[:-1], edges[1:])]
+
+    def decode(self, ids) -> str:
+        """The text of ids."""
+        ids = np.asarray(ids, np.int64)
+        return self.decode_many(ids, np.array([0, len(ids)]))[0].decode("utf-8", "replace")
+
+
+_MODELS: dict[int, PieceModel] = {}
+
+
+def _model(raw: bytes) -> PieceModel:
+    """One model, with its memory, per Python worker and model file."""
     key = zlib.crc32(raw)
     if key not in _MODELS:
-        _MODELS[key] = (PieceModel(raw), {})
+        _MODELS[key] = PieceModel(raw)
     return _MODELS[key]
 
 
 def _encode(shared):
     def run(batches):
-        model, cache = _model(shared.value)
+        model = _model(shared.value)
         for batch in batches:
             for rows in T.pieces(batch, "text", 2 << 20):
-                ids, exact, crc = [], [], []
-                for text in rows.column("text").to_pylist():
-                    found = model.encode(text or "", cache)
-                    ids.append(found)
-                    exact.append(model.decode(found) == (text or ""))
-                    crc.append(zlib.crc32(found.astype("<u4").tobytes()))
-                counts = np.array([len(x) for x in ids], np.int64)
-                offsets = np.concatenate(([0], np.cumsum(counts)))
-                flat = np.concatenate(ids).astype(np.int32)
+                ids, bounds = model.encode_column(rows.column("text"))
+                back = model.decode_many(ids, bounds)
+                data, offsets = T.text_buffer(rows.column("text"))
+                raw = data.tobytes()
+                exact = [raw[a:b] == t for a, b, t in zip(offsets[:-1].tolist(), offsets[1:].tolist(), back)]
+                wide = ids.astype("<u4")
+                packed = wide.tobytes()
+                edges = (4 * bounds).tolist()
+                crc = [zlib.crc32(packed[a:b]) for a, b in zip(edges[:-1], edges[1:])]
                 yield pa.record_batch(
                     [
                         rows.column("doc_id"),
-                        pa.array(counts),
+                        pa.array(np.diff(bounds).astype(np.int64)),
                         pa.array(crc, pa.int64()),
                         pa.array(exact, pa.bool_()),
-                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
+                        pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(wide.view(np.int32))),
                     ],
                     names=["doc_id", "n_tokens", "ids_crc32", "exact", "ids"],
                 )
@@ -231,7 +247,7 @@ def decode_pieces(encoded: DataFrame, model: str = MODEL, folder: str | None = N
     shared = spark.sparkContext.broadcast(file_bytes(model, folder))
 
     def run(batches):
-        decoder, _ = _model(shared.value)
+        decoder = _model(shared.value)
         for batch in batches:
             texts = [decoder.decode(np.array(x or [], np.int64)) for x in batch.column("ids").to_pylist()]
             yield pa.record_batch([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
