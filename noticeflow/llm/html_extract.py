@@ -216,6 +216,10 @@ LAYOUTS = [
     ("<div><a href=q>^</a></div><div>%</div><div>%</div><div>^</div>", "0110"),
     ("<article><p>~<form>~</form><p>~<div class=newsletter><p>~</div><p>^</article><nav>~</nav>", "101010"),
     ("<article><h1>^</h1><p>^<p>^<p>~<p>^</article><footer>~</footer><div class=notice>~</div>", "1111100"),
+    ("<p>%", "1"),
+    ("<h1>^</h1><p>%", "11"),
+    ("<div>%</div><footer>~</footer>", "10"),
+    ("<nav>~</nav><h2>^</h2><div>%</div>", "011"),
     ("<div class=ad>%</div><div>%</div><div>%</div><div class=promo>%</div><footer>%</footer>", "01100"),
     ("<nav>%</nav><div class=sidebar>%</div><div>%</div><p>%</p><div class=comments><p>%<p>%</div>", "001100"),
     ("<header>%</header><div class=cookie>%</div><div>%</div><form>%</form><div>%</div><div class=footer>%</div>", "001010"),

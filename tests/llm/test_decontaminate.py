@@ -54,7 +54,7 @@ def planted(spark):
     vocabulary = [f"{a}{b}" for a in ("ka", "to", "mi", "ré", "lu", "ge", "no", "sa") for b in ("ri", "da", "pe", "ko", "vu", "be", "x", "th")]
     say = lambda n: [rng.choice(vocabulary) + rng.choice(["", "", "s", "n"]) for _ in range(n)]
     items = [(i, say(rng.randint(14, 60))) for i in range(30)] + [(90, say(7)), (91, []), (92, say(40))]
-    rows, truth = [], set()
+    rows, truth, changed = [], set(), set()
     for d in range(300):
         w = say(rng.randint(0, 300))
         if d % 5 == 0:
@@ -63,7 +63,8 @@ def planted(spark):
             kind = d % 4
             if kind == 1:  # one word in eight replaced
                 for k in range(3, len(item) - 6, 8):
-                    item[k] = "zzz"
+                    item[k] = say(1)[0]
+                changed.add((d, i))
             at = rng.randint(0, len(w))
             passage = [x.upper() for x in item] if kind == 2 else item
             w = w[:at] + passage + w[at:]
@@ -74,22 +75,24 @@ def planted(spark):
         rows.append((d, rng.choice([" ", ", ", ".\n"]).join(w)))
     docs = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, lcs string")
     bench = spark.createDataFrame([(i, " ".join(w), 0) for i, w in items], "item_id long, text string, doc_id long")
-    return docs, bench, truth
+    return docs, bench, truth, changed
 
 
 def test_planted_items_are_found_and_nothing_else(planted):
-    docs, bench, truth = planted
+    docs, bench, truth, changed = planted
     got = {(r.doc_id, r.item_id) for r in D.contaminated(docs, bench).collect()}
-    assert got == truth
+    # Every copy, upper-cased ones included; nearly every paraphrase.
+    assert truth - changed <= got <= truth and len(truth & changed - got) <= 0.2 * len(changed)
     kept = D.drop_contaminated(docs, bench)
     assert kept.columns == docs.columns
-    assert {r.doc_id for r in kept.collect()} == set(range(300)) - {d for d, _ in truth}
+    assert {r.doc_id for r in kept.collect()} == set(range(300)) - {d for d, _ in got}
 
 
 def test_blocks_of_items_change_nothing(planted, monkeypatch):
-    docs, bench, truth = planted
+    docs, bench, truth, changed = planted
+    whole = {(r.doc_id, r.item_id) for r in D.contaminated(docs, bench).collect()}
     monkeypatch.setattr(D, "BLOCK_ITEMS", 7)
-    assert {(r.doc_id, r.item_id) for r in D.contaminated(docs, bench).collect()} == truth
+    assert {(r.doc_id, r.item_id) for r in D.contaminated(docs, bench).collect()} == whole
 
 
 def test_registered_table_against_brute_force(spark):
