@@ -26,6 +26,7 @@ BUCKETS = 1 << BITS
 ORDERS = 3
 #: Training sample: documents per language.
 SAMPLE_ROWS = 800
+SALTS = 64
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]").search
 _K = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
@@ -178,9 +179,14 @@ def fit_languages(docs: DataFrame, buckets: int = 4, remainder: int = 2, sample_
     frequency = np.zeros(BUCKETS)
     frequency[list(table.keys())] = list(table.values())
     idf = np.log((1 + n) / (1 + frequency)) + 1
-    # The sample: the first rows of each language by a hash of doc_id.
-    hashed = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(23)), "doc_id")
-    picked = known.select("doc_id", "lang").withColumn("k", F.row_number().over(hashed)).filter(F.col("k") <= sample_rows)
+    # The sample: the first rows of each language by a hash of doc_id. Ranked
+    # within parts of a language first, so that a language that holds most
+    # rows is no hot key: its last task sees SALTS * sample_rows rows at most.
+    hashed = F.xxhash64("doc_id", F.lit(23))
+    picked = known.select("doc_id", "lang", hashed.alias("h"))
+    for key in (["lang", F.pmod(F.col("h"), F.lit(SALTS))], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*key).orderBy("h", "doc_id"))
+        picked = picked.withColumn("k", rank).filter(F.col("k") <= sample_rows).drop("k")
     picked = picked.select(F.col("doc_id").alias("_picked")).distinct()
     chosen = join_small(known.withColumn("_key", F.col("doc_id")), picked.withColumnRenamed("_picked", "_key"), "_key", "inner")
     rows = chosen.select("doc_id", "lang", "text").mapInArrow(

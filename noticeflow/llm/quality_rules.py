@@ -245,11 +245,12 @@ def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", ris
 
 def keep_quality(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.05,
                  delta: float = 0.1) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their columns. The
-    signals are computed again for the verdict rather than joined back, so
-    that texts stay where they are and rows need no key."""
-    signals = materialise(text_signals(docs, ("doc_id", stratum)), "signals")
-    tests = materialise(certified_cutoffs(signals, labels, stratum, risk, delta), "cutoff-tests")
+    """The rows of ``docs`` that the rules keep, with their columns.
+
+    Rows are written once together with their signals: texts stay where they
+    are, rows need no key, and the signals are not computed again inside the
+    final filter (which the optimizer would push below them)."""
     every = docs.select("doc_id", "text", stratum, F.struct("*").alias("_row"))
-    judged = text_signals(every, ("_row", "doc_id", stratum))
-    return with_verdict(judged, chosen_cutoffs(tests), stratum).filter("kept").select("_row.*")
+    signals = materialise(text_signals(every, ("_row", "doc_id", stratum)), "signals")
+    tests = materialise(certified_cutoffs(signals.drop("_row"), labels, stratum, risk, delta), "cutoff-tests")
+    return with_verdict(signals, chosen_cutoffs(tests), stratum).filter("kept").select("_row.*")
