@@ -20,6 +20,11 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# ---------------------------------------------------------------------------
+# FIXED VALUES - the column names, orders, types and keys below must equal the
+# source system's for results and served tables to match.
+# ---------------------------------------------------------------------------
+
 RECORD_FIELDS = [
     "recall_number", "event_id", "status", "classification", "product_type", "recalling_firm",
     "product_description", "reason_for_recall", "distribution_pattern", "state", "country", "city",
