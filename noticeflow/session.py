@@ -8,6 +8,7 @@ by ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
@@ -80,18 +81,23 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers wherever the driver
-    was started: its sources go to the executors through Spark's own file
-    server, once per application."""
+    was started: its sources are zipped into the shared scratch folder and
+    handed to the executors by Spark, once per application."""
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.abspath(__file__))
-    archive = os.path.join(tempfile.mkdtemp(prefix="noticeflow-src-"), "noticeflow_src.zip")
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
         for folder, _, names in os.walk(root):
             for name in sorted(names):
                 if name.endswith(".py"):
                     path = os.path.join(folder, name)
                     z.write(path, os.path.relpath(path, os.path.dirname(root)))
-    sc.addPyFile(archive)
+    target = sc._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "sources") + "/noticeflow_src.zip")
+    fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(target, True)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    sc.addPyFile(fs.makeQualified(target).toUri().toString())
     _SHIPPED.add(sc.applicationId)
