@@ -28,11 +28,17 @@ ORDERS = 3
 SAMPLE_ROWS = 800
 SALTS = 64
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]").search
+_LIKE_LETTERS = re.compile(r"[^\W\d_]").finditer
 _K = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 _SHIFT, _DOWN = np.uint32(15), np.uint32(32 - BITS)
 
 
+def has_letter(text: str) -> bool:
+    """True if a character is a letter (the pattern also finds signs such as
+    a superscript two)."""
+    return any(m[0].isalpha() for m in _LIKE_LETTERS(text))
+
+
 def counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(buckets, times) of a text's n-grams, buckets ascending. Long texts
     are counted piece by piece."""
@@ -100,7 +106,7 @@ class LanguageModel:
         return self.matrix[:, where] @ weights(times, self.idf[where]) + self.matrix[:, BUCKETS]
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.languages or not _LETTER(text):
+        if not text or not self.languages or not has_letter(text):
             return UNKNOWN, 0.0
         p = softmax(self.logits(*counts(text)) / self.temperature)
         best = int(p.argmax())
