@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir); its result is written as Parquet and
 read again as the next stage's ``docs``. All stages but the last return the
-columns of ``docs``.
+columns of ``docs``. As the stage before is written by then, a stage first
+deletes that one's scratch tables.
 """
 
 from __future__ import annotations
@@ -11,34 +12,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeflow.llm import decontaminate, minmax_dedup, quality_rules, substring_dedup, viterbi
-from noticeflow.llm.common import materialise, read_table, release
+from noticeflow.llm.common import free_scratch, materialise, read_table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
+    free_scratch(spark)
     return quality_rules.keep_quality(docs, read_table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays (five-word shingles,
     similarity 0.8 or more)."""
+    free_scratch(spark)
     return minmax_dedup.drop_near_duplicates(docs, shingle=5, percent=80)
 
 
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 20 words or more that occur earlier are cut from the texts;
     documents stay, n_chars follows the text."""
+    free_scratch(spark)
     cut = substring_dedup.cut_repeats(docs, window=20)
     return cut.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    free_scratch(spark)
     return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every text: doc_id, n_tokens, ids_crc32, exact, ids."""
+    free_scratch(spark)
     return viterbi.encode_pieces(docs)
 
 
@@ -58,6 +64,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
-        release(spark)
+        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}", keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, ship_package
+from ..sources.tables import remove_path
 
 #: Words: runs of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,15 +26,30 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({WORD})"), F.lit(1))
 
 
-def materialise(df: DataFrame, name: str, cluster_by: str | None = None) -> DataFrame:
+#: Scratch tables of each application that nothing has freed yet.
+_TABLES: dict[str, list[str]] = {}
+
+
+def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: cuts the
-    lineage, survives lost executors, and lets several consumers share it."""
+    lineage, survives lost executors, and lets several consumers share it.
+    ``free_scratch`` deletes the table unless ``keep``."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if not keep:
+        _TABLES.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables written so far. Call it when every result
+    that was built on them has been written."""
+    for path in _TABLES.pop(spark.sparkContext.applicationId, []):
+        remove_path(spark, path)
+    release(spark)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of finished phases now
     rather than at the driver's next garbage collection."""

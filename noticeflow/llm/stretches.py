@@ -21,7 +21,7 @@ class StretchCache:
     turns a list of stretches (str) into a list of id sequences. Beyond
     ``limit`` entries the memory starts anew; results do not depend on it."""
 
-    def __init__(self, encode: Callable[[list[str]], list], dtype: np.dtype, limit: int = 2_000_000):
+    def __init__(self, encode: Callable[[list[str]], list], dtype: np.dtype, limit: int = 1_000_000):
         self.encode, self.dtype, self.limit = encode, dtype, limit
         self._clear()
 

@@ -141,7 +141,7 @@ def slices(n_bytes: np.ndarray, limit: int):
         yield a, len(n_bytes)
 
 
-def pieces(batch: pa.RecordBatch, text: str, limit: int = 4 << 20):
+def pieces(batch: pa.RecordBatch, text: str, limit: int = 1 << 20):
     """The batch in runs of rows with bounded text (see ``slices``)."""
     n = batch.num_rows
     if not n:
