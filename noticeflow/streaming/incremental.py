@@ -64,15 +64,19 @@ def merge_batch(
     The served table is partitioned by report month and only the months
     holding replaced or new rows are rewritten (``upsert_partitioned``).
     """
-    rows = filter_report_date(silver_projection(batch_records), report_start, report_end)
-    if rows.isEmpty():
-        return
-    columns = SILVER_COLUMNS if history else SCORED_COLUMNS
-    rows = rows if history else score_recalls(rows)
-    rows = dedupe_latest(fill_keys(rows.select(*columns), KEYS), KEYS)
-    upsert_partitioned(
-        spark, served_path, rows, KEYS, PARTITION_COL, partition_value("recalls"), assume_unique=True
-    )
+    # Read by the emptiness check, the firm counts and the upsert.
+    silver = filter_report_date(silver_projection(batch_records), report_start, report_end).persist()
+    try:
+        if silver.isEmpty():
+            return
+        columns = SILVER_COLUMNS if history else SCORED_COLUMNS
+        rows = silver if history else score_recalls(silver)
+        rows = dedupe_latest(fill_keys(rows.select(*columns), KEYS), KEYS)
+        upsert_partitioned(
+            spark, served_path, rows, KEYS, PARTITION_COL, partition_value("recalls"), assume_unique=True
+        )
+    finally:
+        silver.unpersist()
 
 
 def incremental_refresh(
