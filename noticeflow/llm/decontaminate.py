@@ -11,7 +11,11 @@
 4. Passages (overlapping, every ``STRIDE`` terms) and the windows of the
    benchmark items are mapped to latent vectors; pairs with a cosine of at
    least ``cosine`` are candidates.
-5. A candidate is confirmed on the words: the longest common subsequence of
+5. A paraphrase may lie below that cosine, so stretches of text that hold
+   enough of an item's rare terms are candidates as well. An item that may
+   miss ``size - need`` of its terms holds at least ``need - (size - n)`` of
+   any n of them, so this bound loses nothing that step 6 accepts.
+6. A candidate is confirmed on the words: the longest common subsequence of
    the whole item with the text around the passage, and whether the item's
    answer (its last words) is there. A paraphrase that keeps the answer needs
    a shorter subsequence.
@@ -42,6 +46,8 @@ PASSAGE, STRIDE = 24, 8
 SHORT_PASSAGE, SHORT_STRIDE = 12, 4
 BLOCK_ITEMS = 2000
 ANSWER = 5
+#: Terms are counted per item in units of this length, in tables of CELLS counts.
+UNIT, CELLS = 16, 1 << 17
 _ROWS = 128  # rows of Z per exchanged block
 
 
@@ -198,9 +204,10 @@ def singular_vectors(z: np.ndarray, g: np.ndarray, rank: int = RANK) -> tuple[np
     return u[:, use], s[use]
 
 
-def latent_terms(tokens: DataFrame) -> np.ndarray | None:
-    """The latent vector of every term column (and of the empty one): a
-    passage's vector is the sum of its terms' vectors. None for a corpus without terms."""
+def latent_terms(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
+    """(latent, rate): the latent vector of every term column (and of the empty
+    one; a passage's vector is the sum of its terms' vectors), and the share of
+    passages that hold the column. None for a corpus without terms."""
     df = tokens.select("terms").mapInArrow(_frequencies, "term int, df long").groupBy("term").agg(F.sum("df").alias("df"))
     table = {r["term"]: r["df"] for r in df.collect()}  # COLUMNS + 1 rows at most
     n = table.pop(-1, 0)
@@ -216,7 +223,8 @@ def latent_terms(tokens: DataFrame) -> np.ndarray | None:
         z[r["block"]] = np.frombuffer(r["data"], np.float64)
     vectors, values = singular_vectors(z.reshape(COLUMNS, RANK + EXTRA), _gaussian())
     latent = (idf[:, None] * vectors / values).astype(np.float32)
-    return np.concatenate([latent, np.zeros((1, latent.shape[1]), np.float32)])  # and the empty column
+    latent = np.concatenate([latent, np.zeros((1, latent.shape[1]), np.float32)])  # and the empty column
+    return latent, (1 + frequency) / (1 + n)
 
 
 def lcs_length(masks: dict[int, int], size: int, other: list[int]) -> int:
@@ -239,10 +247,84 @@ def _masks(sequence: list[int]) -> dict[int, int]:
     return out
 
 
+def span(size: int) -> int:
+    """Terms of text that an item of ``size`` terms may be spread over."""
+    return size + size // 4 + STRIDE
+
+
+class RareTerms:
+    """For every item the terms to count and how many of them a stretch of
+    ``span`` terms must hold to reach ``paraphrase`` of the item."""
+
+    def __init__(self, words: list[list[int]], use: list[int], rate: np.ndarray, paraphrase: float):
+        use = sorted(use, key=lambda i: len(words[i]))
+        self.items = np.array(use, np.int64)
+        self.units = np.array([-(-(span(len(words[i])) + UNIT - 1) // UNIT) for i in use], np.int64)
+        self.least = np.ones(len(use), np.int64)
+        pairs = []
+        for k, i in enumerate(use):
+            size = len(words[i])
+            need = next(n for n in range(size + 1) if n >= paraphrase * size)
+            if not need:  # everything is a paraphrase
+                self.least[k] = 0
+                continue
+            order = sorted(words[i], key=lambda t: (rate[t >> (16 - TERM_BITS)], t))
+            best, expected, seen = None, 0.0, set()
+            for n, t in enumerate(order, 1):
+                if t not in seen:
+                    seen.add(t)
+                    # Twice the mean: terms come in clusters.
+                    expected += 2 * float(rate[t >> (16 - TERM_BITS)]) * self.units[k] * UNIT / PASSAGE
+                least = need - (size - n)
+                if least < 1:
+                    continue
+                # Chernoff's exponent for ``least`` of a Poisson count.
+                odds = expected - least + least * np.log(least / expected) if least > expected else 0.0
+                if best is None or odds > best[0]:
+                    best = (odds, least, n)
+            self.least[k] = best[1]
+            pairs += [(t, k) for t in set(order[: best[2]])]
+        pairs = np.array(sorted(pairs), np.int64).reshape(-1, 2)
+        self.of_term = pairs[:, 1]
+        self.begin = np.searchsorted(pairs[:, 0], np.arange((1 << 16) + 1))
+        self.times = np.diff(self.begin)
+
+    def candidates(self, hashes: np.ndarray, first: np.ndarray):
+        """(text, term place in it, item) of the stretches with enough terms;
+        the item lies in the ``UNIT + span`` terms from the place."""
+        if not len(self.items) or not len(hashes):
+            return
+        lengths = np.diff(first)
+        base = np.concatenate(([0], np.cumsum(-(-lengths // UNIT))))
+        hit = np.flatnonzero(self.times[hashes])
+        text = np.searchsorted(first, hit, side="right") - 1
+        unit_of = base[text] + (hit - first[text]) // UNIT
+        times = self.times[hashes[hit]]
+        n, widest = len(self.items), int(self.units.max())
+        step = max(CELLS // n, widest)
+        for a in range(0, int(base[-1]), step):
+            size = min(step, int(base[-1]) - a)
+            x, y = np.searchsorted(unit_of, (a, a + size + widest))
+            total = times[x:y]
+            within = np.arange(int(total.sum())) - np.repeat(np.cumsum(total) - total, total)
+            item = self.of_term[np.repeat(self.begin[hashes[hit[x:y]]], total) + within]
+            cells = np.repeat(unit_of[x:y] - a, total) * n + item
+            sums = np.zeros((size + widest + 1, n), np.int32)
+            sums[1:] = np.bincount(cells, minlength=(size + widest) * n).reshape(-1, n)
+            np.cumsum(sums, axis=0, out=sums)
+            for width in np.unique(self.units):  # ascending, as the items are
+                i, j = np.searchsorted(self.units, (width, width + 1))
+                held = sums[width : width + size, i:j] - sums[:size, i:j]
+                u, k = np.nonzero(held >= self.least[i:j])
+                text_of = np.searchsorted(base, u + a, side="right") - 1
+                place = (u + a - base[text_of]) * UNIT
+                yield from zip(text_of.tolist(), place.tolist(), self.items[i + k].tolist())
+
+
 class Query:
     """A block of benchmark items, ready to be searched."""
 
-    def __init__(self, items: list[tuple[int, str]], latent: np.ndarray):
+    def __init__(self, items: list[tuple[int, str]], latent: np.ndarray, rate: np.ndarray, paraphrase: float):
         hashes, first = terms(pa.array([t or "" for _, t in items], pa.string()))
         self.ids = [i for i, _ in items]
         self.words = [hashes[a:b].tolist() for a, b in zip(first[:-1], first[1:])]
@@ -259,6 +341,8 @@ class Query:
                 words = np.array([self.words[i][o : o + length] for i, o in windows], np.uint16)
                 vectors = latent[words >> (16 - TERM_BITS)].sum(1)
                 self.groups.append((length, stride, windows, words, unit(vectors).T.copy()))
+        searched = [i for i, w in enumerate(self.words) if len(w) >= SHORT_PASSAGE]
+        self.rare = RareTerms(self.words, searched, rate, paraphrase)
         # Items with fewer terms than any passage are looked for term by term.
         self.tiny = [i for i, w in enumerate(self.words) if 0 < len(w) < SHORT_PASSAGE]
 
@@ -290,11 +374,13 @@ def _near(hashes: np.ndarray, starts: np.ndarray, sums: np.ndarray, first: np.nd
         p, q = np.nonzero(near[rows] >= cosine)
         p = rows[p] + a
         # Shared words first: half of the window's words must be there.
-        for b in range(0, len(p), 20_000):
-            seen = padded[place[p[b : b + 20_000], None] + np.arange(length)]
-            want = words[q[b : b + 20_000]]
-            shared = (want[:, :, None] == seen[:, None, :]).any(2).sum(1)
-            for j in np.flatnonzero(2 * shared >= length) + b:
+        for b in range(0, len(p), 2000):
+            seen = padded[place[p[b : b + 2000]] + np.arange(length)[:, None]]
+            want = words[q[b : b + 2000]].T.astype(np.int32)
+            there = want == seen[0]
+            for row in seen[1:]:
+                there |= want == row
+            for j in np.flatnonzero(2 * there.sum(0) >= length) + b:
                 item, offset = windows[q[j]]
                 yield int(text[p[j]]), int(at[p[j]]), item, offset
 
@@ -306,6 +392,19 @@ def search(hashes: np.ndarray, first: np.ndarray, latent: np.ndarray, query: Que
     best: dict[tuple[int, int], tuple[int, bool, int]] = {}
     lists: dict[int, list[int]] = {}
     tried = set()
+
+    def confirm(text: int, item: int, begin: int, end: int):
+        size = len(query.words[item])
+        if text not in lists:
+            lists[text] = hashes[first[text] : first[text + 1]].tolist()
+        around = lists[text][begin:end]
+        common = lcs_length(query.masks[item], size, around)
+        if common < paraphrase * size:
+            return
+        answer = lcs_length(query.answers[item], min(ANSWER, size), around) >= min(ANSWER, size) - 1
+        if common >= share * size or answer:
+            best[text, item] = max(best.get((text, item), (0, False, 0)), (common, answer, begin))
+
     columns, starts = _padded(hashes, first, STRIDE, PASSAGE)
     sums = _block_sums(latent, columns, SHORT_STRIDE)
     for text, at, item, offset in itertools.chain.from_iterable(
@@ -319,15 +418,17 @@ def search(hashes: np.ndarray, first: np.ndarray, latent: np.ndarray, query: Que
         if (text, item, begin // STRIDE) in tried:
             continue
         tried.add((text, item, begin // STRIDE))
+        confirm(text, item, begin, max(0, at - offset) + size + slack)
+    for text, at, item in query.rare.candidates(hashes, first):
+        if (text, item) in best:
+            continue
+        size, masks = len(query.words[item]), query.masks[item]
         if text not in lists:
             lists[text] = hashes[first[text] : first[text + 1]].tolist()
-        around = lists[text][begin : max(0, at - offset) + size + slack]
-        common = lcs_length(query.masks[item], size, around)
-        if common < paraphrase * size:
-            continue
-        answer = lcs_length(query.answers[item], min(ANSWER, size), around) >= min(ANSWER, size) - 1
-        if common >= share * size or answer:
-            best[text, item] = max(best.get((text, item), (0, False, 0)), (common, answer, begin))
+        end = at + UNIT + span(size)
+        # Different terms first: a subsequence cannot have more than these and the item's repeats.
+        if len(masks.keys() & lists[text][at:end]) + size - len(masks) >= paraphrase * size:
+            confirm(text, item, at, end)
     for item in query.tiny:
         # Exact: the whole item, word for word.
         words = query.words[item]
@@ -373,7 +474,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.65, sh
 
     An item of ``benchmark(item_id, text)`` counts as found when its longest
     common subsequence with the text around a candidate passage holds
-    ``share`` of its terms, or ``paraphrase`` of them and the answer. Items of
+    ``share`` of its terms, or ``paraphrase`` of them and the answer. Every
+    stretch of ``span`` terms that satisfies this is found. Items of
     fewer than SHORT_PASSAGE terms must occur word for word; items without
     terms are never found. Null and empty texts hold nothing. Rows that share
     a doc_id are searched each by itself; rows without doc_id report null.
@@ -382,15 +484,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.65, sh
     spark: SparkSession = docs.sparkSession
     ready(spark)
     tokens = materialise(docs.select("doc_id", "text").mapInArrow(_tokenise, "doc_id long, terms binary"), "terms")
-    latent = latent_terms(tokens)
+    model = latent_terms(tokens)
     release(spark)
     out = spark.createDataFrame([], _FOUND)
-    if latent is None:
+    if model is None:
         return out
+    latent, rate = model
     found = None
     items = ((r["item_id"], r["text"]) for r in benchmark.select("item_id", "text").toLocalIterator())
     while block := list(itertools.islice(items, BLOCK_ITEMS)):
-        shared = spark.sparkContext.broadcast((latent, Query(block, latent)))  # bounded by BLOCK_ITEMS
+        shared = spark.sparkContext.broadcast((latent, Query(block, latent, rate, paraphrase)))  # bounded by BLOCK_ITEMS
         part = tokens.mapInArrow(_find(shared, cosine, share, paraphrase), _FOUND)
         found = part if found is None else found.union(part)
     return out if found is None else found

@@ -117,3 +117,51 @@ def test_edges(spark):
     assert sorted(r.doc_id or -1 for r in D.drop_contaminated(docs, bench).collect()) == [-1, 1, 2, 5, 6]
     assert D.contaminated(docs.limit(0), bench).collect() == [] == D.contaminated(docs, bench.limit(0)).collect()
     assert D.contaminated(docs.filter("doc_id < 3"), bench).collect() == []
+
+
+@pytest.mark.parametrize("share", [1 / 8, 1 / 4, 1 / 3, 0.45])
+def test_every_paraphrase_that_the_rule_accepts_is_found(spark, share):
+    sf = "/root/testdata/sf0.01"
+    docs, bench = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{sf}/benchmark.parquet")
+    rng = random.Random(int(100 * share))
+    filler = [w for r in docs.limit(200).collect() for w in brute.terms(r.text or "")]
+    rows, accepted = [], set()
+    for r in bench.collect():
+        item = brute.terms(r.text)
+        if len(item) < D.SHORT_PASSAGE:
+            continue
+        for _ in range(8):
+            copy = list(item)
+            for k in rng.sample(range(len(item) - D.ANSWER), min(round(share * len(item)), len(item) - D.ANSWER)):
+                copy[k] = rng.choice(filler)
+            at, n = rng.randrange(len(filler) - 300), rng.randint(0, 200)
+            d = 1_000_000 + len(rows)
+            rows.append((d, " ".join(filler[at : at + n] + copy + filler[at + n : at + n + 90])))
+            if brute.lcs(item, copy) >= 0.5 * len(item):
+                accepted.add((d, r.item_id))
+    planted = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in D.contaminated(docs.union(planted), bench).collect()}
+    assert len(accepted) >= 200 and not accepted - got
+
+
+def test_rare_terms_lose_no_stretch_that_holds_enough(monkeypatch):
+    rng = random.Random(3)
+    items = [rng.choices(range(0, 65536, 331), k=rng.randint(12, 70)) for _ in range(9)]
+    rate = np.random.default_rng(1).random(D.COLUMNS) / 4
+    rare = D.RareTerms(items, list(range(9)), rate, 0.5)
+    texts, planted = [], []
+    for t in range(120):
+        i = rng.randrange(9)
+        n = len(items[i])
+        kept = sorted(rng.sample(range(n), -(-n // 2)))
+        stretch = [rng.randrange(65536) for _ in range(D.span(n))]
+        for k, place in zip(kept, sorted(rng.sample(range(len(stretch)), len(kept)))):
+            stretch[place] = items[i][k]
+        at = rng.randint(0, 200)
+        texts.append([rng.randrange(65536) for _ in range(at)] + stretch + [1] * rng.randint(0, 50))
+        planted.append((t, at, i))
+    texts += [[], [5]]
+    hashes, first = np.array(sum(texts, []), np.uint16), np.concatenate(([0], np.cumsum([len(x) for x in texts])))
+    for cells in (D.CELLS, 50):  # in one table and in many
+        monkeypatch.setattr(D, "CELLS", cells)
+        assert {(t, at // D.UNIT * D.UNIT, i) for t, at, i in planted} <= set(rare.candidates(hashes, first))
