@@ -20,6 +20,11 @@
    answer (its last words) is there. A paraphrase that keeps the answer needs
    a shorter subsequence.
 
+Items of fewer than ``SHORT_PASSAGE`` terms are too short for latent vectors.
+They are searched in the texts themselves, by rare terms and then on 64-bit
+hashes: from ``LCS_LEAST`` terms on by their longest common subsequence with
+hardly longer stretches, below that word for word.
+
 The benchmark is a stated query set, taken in blocks of ``BLOCK_ITEMS``
 items; each block is searched against all passages where they lie, so there
 is no join and no shuffle of texts.
@@ -48,15 +53,26 @@ BLOCK_ITEMS = 2000
 ANSWER = 5
 #: Terms are counted per item in units of this length, in tables of CELLS counts.
 UNIT, CELLS = 16, 1 << 17
+#: Items with fewer terms must occur word for word.
+LCS_LEAST = 6
 _ROWS = 128  # rows of Z per exchanged block
 
 
-def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, first): the 16-bit term hashes of all texts, end to end."""
+def whole_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, first): the 64-bit term hashes of all texts, end to end."""
     data, offsets = T.text_buffer(pc.utf8_lower(column))
     starts, ends, first = T.word_spans(data, offsets, T.NOT_TERM)
-    hashes = T.word_hashes(data, starts, ends, between=T.NOT_TERM)
-    return (hashes >> np.uint64(48)).astype(np.uint16), first
+    return T.word_hashes(data, starts, ends, between=T.NOT_TERM), first
+
+
+def _cut(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(48)).astype(np.uint16)
+
+
+def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, first): the 16-bit term hashes of all texts, end to end."""
+    hashes, first = whole_terms(column)
+    return _cut(hashes), first
 
 
 def _tokenise(batches):
@@ -252,14 +268,19 @@ def span(size: int) -> int:
     return size + size // 4 + STRIDE
 
 
+def short_span(size: int) -> int:
+    """The same for items of fewer than SHORT_PASSAGE terms."""
+    return size + size // 4 if size >= LCS_LEAST else size
+
+
 class RareTerms:
     """For every item the terms to count and how many of them a stretch of
-    ``span`` terms must hold to reach ``paraphrase`` of the item."""
+    ``reach(size)`` terms must hold to reach ``paraphrase`` of the item."""
 
-    def __init__(self, words: list[list[int]], use: list[int], rate: np.ndarray, paraphrase: float):
+    def __init__(self, words: list[list[int]], use: list[int], rate: np.ndarray, paraphrase: float, reach=span):
         use = sorted(use, key=lambda i: len(words[i]))
         self.items = np.array(use, np.int64)
-        self.units = np.array([-(-(span(len(words[i])) + UNIT - 1) // UNIT) for i in use], np.int64)
+        self.units = np.array([-(-(reach(len(words[i])) + UNIT - 1) // UNIT) for i in use], np.int64)
         self.least = np.ones(len(use), np.int64)
         pairs = []
         for k, i in enumerate(use):
@@ -291,7 +312,7 @@ class RareTerms:
 
     def candidates(self, hashes: np.ndarray, first: np.ndarray):
         """(text, term place in it, item) of the stretches with enough terms;
-        the item lies in the ``UNIT + span`` terms from the place."""
+        the item lies in the ``UNIT + reach(size)`` terms from the place."""
         if not len(self.items) or not len(hashes):
             return
         lengths = np.diff(first)
@@ -343,8 +364,23 @@ class Query:
                 self.groups.append((length, stride, windows, words, unit(vectors).T.copy()))
         searched = [i for i, w in enumerate(self.words) if len(w) >= SHORT_PASSAGE]
         self.rare = RareTerms(self.words, searched, rate, paraphrase)
-        # Items with fewer terms than any passage are looked for term by term.
-        self.tiny = [i for i, w in enumerate(self.words) if 0 < len(w) < SHORT_PASSAGE]
+
+
+class ShortQuery:
+    """The items of a block with fewer terms than any passage."""
+
+    def __init__(self, items: list[tuple[int, str]], rate: np.ndarray, share: float):
+        hashes, first = whole_terms(pa.array([t or "" for _, t in items], pa.string()))
+        use = np.flatnonzero((np.diff(first) > 0) & (np.diff(first) < SHORT_PASSAGE)).tolist()
+        self.ids = [items[i][0] for i in use]
+        self.words = [hashes[first[i] : first[i + 1]].tolist() for i in use]
+        self.masks = [_masks(w) for w in self.words]
+        self.answers = [_masks(w[-ANSWER:]) for w in self.words]
+        self.least = [share * len(w) if len(w) >= LCS_LEAST else len(w) for w in self.words]
+        cut = [_cut(hashes[first[i] : first[i + 1]]).tolist() for i in use]
+        tiny = [i for i, w in enumerate(cut) if len(w) < LCS_LEAST]
+        others = [i for i, w in enumerate(cut) if len(w) >= LCS_LEAST]
+        self.rare = [RareTerms(cut, tiny, rate, 1.0, short_span), RareTerms(cut, others, rate, share, short_span)]
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -429,20 +465,54 @@ def search(hashes: np.ndarray, first: np.ndarray, latent: np.ndarray, query: Que
         # Different terms first: a subsequence cannot have more than these and the item's repeats.
         if len(masks.keys() & lists[text][at:end]) + size - len(masks) >= paraphrase * size:
             confirm(text, item, at, end)
-    for item in query.tiny:
-        # Exact: the whole item, word for word.
-        words = query.words[item]
-        where = np.flatnonzero(hashes == words[0])
-        for k in range(1, len(words)):
-            where = where[where + k < len(hashes)]
-            where = where[hashes[where + k] == words[k]]
-        text = np.searchsorted(first, where, side="right") - 1
-        for t, w in zip(text.tolist(), where.tolist()):
-            if w + len(words) <= first[t + 1]:
-                best.setdefault((t, item), (len(words), True, int(w - first[t])))
     return best
 
 
+def search_short(hashes: np.ndarray, first: np.ndarray, query: ShortQuery) -> dict[tuple[int, int], tuple[int, bool, int]]:
+    """The same for short items in a run of texts given by their 64-bit hashes."""
+    best: dict[tuple[int, int], tuple[int, bool, int]] = {}
+    cut = _cut(hashes)
+    for text, at, item in itertools.chain.from_iterable(r.candidates(cut, first) for r in query.rare):
+        size, masks = len(query.words[item]), query.masks[item]
+        if best.get((text, item), (0,))[0] == size:
+            continue
+        reach, least = short_span(size), min(ANSWER, size)
+        around = hashes[first[text] + at : min(first[text] + at + UNIT + reach, first[text + 1])].tolist()
+        for k, t in enumerate(around[:UNIT]):
+            if t not in masks:
+                continue
+            stretch = around[k : k + reach]
+            common = lcs_length(masks, size, stretch)
+            if common >= query.least[item]:
+                answer = lcs_length(query.answers[item], least, stretch) >= max(least - 1, 1)
+                best[text, item] = max(best.get((text, item), (0, False, 0)), (common, answer, at + k))
+    return best
+
+
+def _found(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
+    return pa.record_batch(
+        [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+        names=["doc_id", "item_id", "item_terms", "lcs", "answer_found", "place"],
+    )
+
+
+def _find_short(shared):
+    def run(batches):
+        query = shared.value
+        for batch in batches:
+            for part in T.pieces(batch, "text"):
+                ids = part.column("doc_id").to_pylist()
+                rows = [
+                    (ids[text], query.ids[item], len(query.words[item]), *hit)
+                    for (text, item), hit in search_short(*whole_terms(part.column("text")), query).items()
+                ]
+                if rows:
+                    yield _found(rows)
+
+    return run
+
+
 def _find(shared, cosine: float, share: float, paraphrase: float):
     def run(batches):
         latent, query = shared.value
@@ -453,12 +523,7 @@ def _find(shared, cosine: float, share: float, paraphrase: float):
                 for (text, item), (common, answer, place) in found.items():
                     rows.append((ids[a + text], query.ids[item], len(query.words[item]), common, answer, place))
             if rows:
-                columns = list(zip(*rows))
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
-                yield pa.record_batch(
-                    [pa.array(c, k) for c, k in zip(columns, kinds)],
-                    names=["doc_id", "item_id", "item_terms", "lcs", "answer_found", "place"],
-                )
+                yield _found(rows)
 
     return run
 
@@ -476,8 +541,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.65, sh
     common subsequence with the text around a candidate passage holds
     ``share`` of its terms, or ``paraphrase`` of them and the answer. Every
     stretch of ``span`` terms that satisfies this is found. Items of
-    fewer than SHORT_PASSAGE terms must occur word for word; items without
-    terms are never found. Null and empty texts hold nothing. Rows that share
+    fewer than SHORT_PASSAGE terms need ``share`` of their terms in order
+    within ``short_span`` terms, those of fewer than LCS_LEAST must occur word
+    for word; items without terms are never found. Null and empty texts hold nothing. Rows that share
     a doc_id are searched each by itself; rows without doc_id report null.
     Extra columns are ignored; an empty table gives an empty result.
     """
@@ -496,6 +562,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.65, sh
         shared = spark.sparkContext.broadcast((latent, Query(block, latent, rate, paraphrase)))  # bounded by BLOCK_ITEMS
         part = tokens.mapInArrow(_find(shared, cosine, share, paraphrase), _FOUND)
         found = part if found is None else found.union(part)
+        short = ShortQuery(block, rate, share)
+        if short.ids:
+            texts = docs.select("doc_id", "text")
+            found = found.union(texts.mapInArrow(_find_short(spark.sparkContext.broadcast(short)), _FOUND))
     return out if found is None else found
 
 

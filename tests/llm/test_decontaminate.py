@@ -165,3 +165,23 @@ def test_rare_terms_lose_no_stretch_that_holds_enough(monkeypatch):
     for cells in (D.CELLS, 50):  # in one table and in many
         monkeypatch.setattr(D, "CELLS", cells)
         assert {(t, at // D.UNIT * D.UNIT, i) for t, at, i in planted} <= set(rare.candidates(hashes, first))
+
+
+def test_short_items_are_judged_on_their_words(spark):
+    # Words with the same 16-bit hash as the item's: a hit by collision only.
+    pool = np.array([f"w{i}" for i in range(400_000)])
+    hashes = D.terms(pa.array([" ".join(pool)]))[0]
+    twin = lambda k: str(pool[np.flatnonzero(hashes == hashes[k])[1]])
+    one, two = str(pool[0]), [str(x) for x in pool[1:3]]
+    assert twin(0) != one
+    eight = "quiet rivers carry seven golden boats past midnight".split()
+    gone, added = eight[:2] + ["other"] + eight[3:], eight[:4] + ["very"] + eight[4:]
+    rows = [
+        (1, f"a {twin(0)} b"), (2, f"a {one} b"), (3, f"a {twin(1)} {twin(2)} b"), (4, f"a {' '.join(two)} b"), (5, " x ".join(two)),
+        (6, "so " * 30 + " ".join(eight)), (7, "so " * 15 + " ".join(gone) + " end"), (8, " ".join(added).upper()),
+        (9, " ".join(reversed(eight))), (10, " so so ".join(eight)), (11, " ".join(eight[:5])), (12, None), (None, " ".join(gone)),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, one), (2, " ".join(two)), (3, " ".join(eight))], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.lcs) for r in D.contaminated(docs, bench).collect()}
+    assert got == {(2, 1, 1), (4, 2, 2), (6, 3, 8), (7, 3, 7), (8, 3, 8), (None, 3, 7)}
