@@ -10,7 +10,8 @@ twice, so only windows built on repeated halves are looked at again.
 * Level 2 (full length): only windows whose named half is repeated are
   hashed and aggregated to the first document that holds them.
 
-Further doublings are the same step. Both levels send back to a document
+There are these two levels and no more: repeats are decided by full windows,
+and longer ones are runs of them. Both levels send back to a document
 what *it alone* (level 1) or *it first* (level 2) holds, and the document
 subtracts that from what it computes itself. So both levels are aggregates
 over (hash -> smallest doc_id) with map-side combine: a passage in a third
