@@ -53,6 +53,9 @@ _HINTS = set(
     "disclaimer skip tags byline".split()
 )
 _OUTER_HINTS = {"header", "head", "banner"}
+#: First words of names that sort an article ("tag-garden"), and words that make a name one of the layout.
+_TAXONOMY = set("tag tags category cat topic section author format type status postid".split())
+_LAYOUT = set("with has have no without is not layout page site col cols column columns grid row wrapper".split())
 _ARTICLE_HINTS = set("article content post entry story main maincontent body text".split())
 
 
@@ -62,12 +65,24 @@ def _names(attributes: str) -> set[str]:
         value = m[1] or m[2] or m[3] or ""
         for name in value.split():
             parts = [w.lower() for w in _WORDS.findall(name)]
-            # "with-sidebar", "no-comments": the layout, not the part.
-            if parts and parts[0] not in ("with", "has", "no", "without", "is", "not"):
+            # "with-sidebar", "page-no-comments": the layout, not the part; "tag-advertising": what it is about.
+            if len(parts) > 1 and (parts[0] in _TAXONOMY or _LAYOUT & set(parts)):
+                found.update(w for w in parts if w in _ARTICLE_HINTS)
+            elif parts and parts[0] not in _LAYOUT:
                 found.update(parts)
     return found
 
 
+_MAIN = re.compile(r"<(?:article|main)(?=[\s/>])", re.I)
+
+
+def _main_start(page: str) -> int:
+    """Where the page's first main element starts, or else its first article; -1 without any.
+    Later articles may be comments or teasers."""
+    starts = [(m[0].lower() != "<main", m.start()) for m in _MAIN.finditer(page)]
+    return min(starts)[1] if starts else -1
+
+
 def blocks(page: str) -> list[tuple[str, list[float]]]:
     """(text, features) of a page's blocks, in page order. Character
     references are decoded, white space inside a block is one space."""
@@ -97,7 +112,7 @@ def blocks(page: str) -> list[tuple[str, list[float]]]:
             if name == tag:
                 return
 
-    at, size = 0, len(page)
+    at, size, main_start = 0, len(page), _main_start(page)
     while at < size:
         m = _TOKEN.match(page, at)
         if m is None:  # an open quote: the rest up to the next tag end
@@ -155,6 +170,8 @@ def blocks(page: str) -> list[tuple[str, list[float]]]:
             heading = 0
         names = _names(attributes) if attributes and tag not in ("html", "body") else set()
         hinted = bool(names & _HINTS) or (not article and bool(names & _OUTER_HINTS))
+        if hinted and (m.start() == main_start or at <= main_start < _after(page, at, tag)):
+            hinted = False  # the main text itself or what it lies in
         inside = tag in ("article", "main") or (tag in ("div", "section") and bool(names & _ARTICLE_HINTS) and not hinted)
         plain = tag in _PLAIN_TAGS or (tag == "header" and not article)
         stack.append((tag, int(plain), int(hinted), int(inside)))
@@ -227,6 +244,8 @@ LAYOUTS = [
     ("<nav><ul><li><a href=a>^</a><li><a href=b>^</a></ul></nav><div class=advert>~</div><div>%</div><div>%</div><aside>%</aside>",
      "000110"),
     ("<article><p>~<aside>~</aside><p>~<ul class=comments><li>~<li>~</ul></article><div class=popup>~</div>", "101000"),
+    ("<div class='content-with-sidebar'><article class='post tag-advertising'><p>~<p>~</article><div class=sidebar>~</div></div>", "110"),
+    ("<div class='layout-sidebar-right'><nav>~</nav><main><h1>^</h1><p>~</main></div><div class=comments>~</div>", "0110"),
 ]
 FILLS = 12
 

@@ -76,3 +76,22 @@ def test_table(spark):
     odd = H.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text long")).collect()
     assert sorted((r.page_id or 0, r.n_chars) for r in odd) == [(0, 0), (1, 0), (1, 0), (2, len(P) + 200_000)]
     assert H.extract_pages(pages.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("wrapper", [
+    '<div class="content-with-sidebar">{}</div>', '<div class="layout-sidebar-right">{}</div>', '<div id="page-no-comments">{}</div>',
+    '<div class="widget"><article>{}</article></div>', '<article class="post category-search tag-advertising">{}</article>',
+    '<main class="search">{}</main>', '<section class="tag-newsletter">{}</section>',
+])
+def test_names_of_layouts_and_topics_drop_no_article(wrapper):
+    body = f"<p>{P}</p><p>{P}</p>"
+    assert text(f"<nav><a href=a>Home</a></nav>{wrapper.format(body)}<footer>{P}</footer>") == f"{P}\n{P}"
+    # The parts inside are still told apart.
+    inner = f'{body}<div class="sidebar">{P}</div><section id="comments"><p>{P}</p></section><div class="share-box">{P}</div>'
+    assert text(f"<nav><a href=a>Home</a></nav>{wrapper.format(inner)}<footer>{P}</footer>") == f"{P}\n{P}"
+
+
+def test_articles_that_are_comments_or_teasers_go():
+    page = f"""<div class="search"><article><p>{P}</p></article></div><section id="comments"><article class="comment"><p>{P}</p></article>
+    </section><div class="related"><article><p>{P}</p></article></div>"""
+    assert text(page) == P
