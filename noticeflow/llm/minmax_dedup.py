@@ -273,8 +273,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows:
 
 def drop_near_duplicates(docs: DataFrame, **params) -> DataFrame:
     """``docs`` with one document of each group (the smallest doc_id); rows
-    without doc_id stay, repeated rows of one doc_id become one."""
-    kept = near_duplicates(docs, **params).filter("kept and doc_id is not null").select("doc_id").distinct()
-    kept = kept.withColumnRenamed("doc_id", "_kept_id")
-    named = docs.join(kept, docs["doc_id"] == kept["_kept_id"], "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null"))
+    without doc_id stay, repeated rows of one doc_id and text become one.
+    Different texts under one doc_id are documents of their own: all but one
+    of them count as documents with large ids (62-bit hashes)."""
+    mark = F.xxhash64("text")
+    named = docs.filter("doc_id is not null")
+    several = named.select("doc_id", mark.alias("mark")).groupBy("doc_id").agg(
+        F.min("mark").alias("_low"), F.max("mark").alias("_high")
+    ).filter("_low < _high")
+    several = materialise(several.select(F.col("doc_id").alias("_several_id"), "_low"), "several_texts")
+    key = F.col("doc_id")
+    if several.limit(1).count():
+        named = named.join(several, named["doc_id"] == several["_several_id"], "left")
+        own = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+        key = F.when(mark != F.col("_low"), own).otherwise(key)
+    keyed = named.withColumn("_key", key)
+    kept = near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"), **params).filter("kept")
+    kept = kept.select(F.col("doc_id").alias("_kept_id")).distinct()
+    named = keyed.join(kept, keyed["_key"] == kept["_kept_id"], "left_semi").dropDuplicates(["_key"])
+    return named.select(*docs.columns).unionByName(docs.filter("doc_id is null"))

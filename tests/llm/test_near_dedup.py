@@ -102,3 +102,11 @@ def test_both_ends_of_a_hash_estimate_the_similarity():
     x, y = (np.array(v) for v in out.column("bands").to_pylist())
     assert abs((x == y).mean() - 0.6) < 0.1
     assert abs((x == y)[::2].mean() - 0.6) < 0.12 and abs((x == y)[1::2].mean() - 0.6) < 0.12
+
+
+def test_drop_judges_different_texts_of_one_doc_id_each_by_itself(spark):
+    a, b, c = "a b c d e f g", "q w e r t y u", "z x c v b n m"
+    rows = [(1, a), (1, b), (1, b), (2, b), (3, c), (3, c), (4, a), (5, None), (5, "o p"), (None, a)]
+    kept = M.drop_near_duplicates(frame(spark, rows), shingle=5, percent=80).collect()
+    assert sorted(r.text or "" for r in kept if r.doc_id is not None) == ["", a, "o p", b, c]
+    assert [r.text for r in kept if r.doc_id is None] == [a]
