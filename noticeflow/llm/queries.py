@@ -12,6 +12,7 @@ from . import (
     chat_windows,
     decontaminate,
     html_extract,
+    importance,
     language_id,
     minmax_dedup,
     quality_rules,
@@ -85,6 +86,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict_languages(read_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.importance_sample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def _cutoff_rows() -> str:
     return ", ".join(
         f"('{rule}', {i}, {c})" for rule, (_, cuts) in quality_rules.RULES.items() for i, c in enumerate(cuts)
@@ -204,3 +210,61 @@ FROM t8 GROUP BY conv_id
 
 
 ORACLE["op9_chat_windows"] = _chat_sql()
+
+
+def _importance_sql(percent: int = 5, min_words: int = 20, seed: int = 42) -> str:
+    """The same draw; CRC-32 as a join of bytes with a table by distance from the end."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    return f"""
+WITH RECURSIVE bits(i, k, c) AS (
+  SELECT i, 0, i FROM (SELECT unnest(range(0, 256))::BIGINT AS i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+step AS MATERIALIZED (SELECT i, c FROM bits WHERE k = 8),
+texts AS (
+  SELECT 0 AS corpus, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+tokens AS MATERIALIZED (
+  SELECT corpus, id, row_number() OVER () AS r,
+    regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '{word}') AS w FROM texts),
+grams AS MATERIALIZED (
+  SELECT corpus, id, r, array_to_string(w[i : i + n - 1], ' ') AS f
+  FROM (SELECT corpus, id, r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM tokens, (SELECT unnest([1, 2, 3]) AS n))),
+named AS MATERIALIZED (SELECT f, hex(encode(f)) AS x FROM (SELECT DISTINCT f FROM grams)),
+far(d, i, c) AS (
+  SELECT 0, i, c FROM step
+  UNION ALL SELECT d + 1, far.i, xor(far.c >> 8, step.c) FROM far JOIN step ON step.i = far.c & 255
+  WHERE d < (SELECT max(len(x)) // 2 + 4 FROM named)),
+bytes AS (
+  SELECT f, len(x) // 2 AS n, unnest(range(0, len(x) // 2)) AS pos, x FROM named),
+-- CRC-32 is linear: each byte adds a value that depends on its distance from the end; the first four bytes are inverted,
+-- and a shorter text keeps the rest of the starting value.
+crcs AS MATERIALIZED (
+  SELECT f, xor(xor(bit_xor(far.c), 4294967295), CASE WHEN n < 4 THEN 4294967295 >> (8 * n) ELSE 0 END) % 10000 AS bucket
+  FROM (SELECT f, n, n - 1 - pos AS d,
+          xor(('0x' || substr(x, 2 * pos + 1, 2))::BIGINT, CASE WHEN pos < 4 THEN 255 ELSE 0 END) AS i FROM bytes) b
+  JOIN far USING (d, i) GROUP BY f, n),
+feats AS MATERIALIZED (SELECT corpus, id, r, bucket FROM grams JOIN crcs USING (f)),
+counts AS (
+  SELECT b AS bucket, count(bucket) FILTER (corpus = 0) AS s, count(bucket) FILTER (corpus = 1) AS t
+  FROM (SELECT unnest(range(0, 10000)) AS b) LEFT JOIN feats ON bucket = b GROUP BY b),
+gain AS (
+  SELECT bucket, floor(1000 * ln((t + 1.0::DOUBLE) * ((SELECT sum(s) FROM counts) + 10000)
+    / ((s + 1.0::DOUBLE) * ((SELECT sum(t) FROM counts) + 10000))))::BIGINT AS g FROM counts),
+weighed AS (
+  SELECT r, count(*) AS n, sum(g) AS w FROM feats JOIN gain USING (bucket) WHERE corpus = 0 GROUP BY r),
+scored AS (
+  SELECT t.id AS doc_id, len(t.w) AS n_words, coalesce(n, 0)::BIGINT AS n_features, coalesce(weighed.w, 0)::BIGINT AS weight,
+    coalesce(weighed.w, 0)::BIGINT + floor(-1000 * ln(-ln(
+      (('0x' || substr(sha256('{seed}:' || coalesce(t.id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM tokens t LEFT JOIN weighed USING (r) WHERE corpus = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= {min_words} ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN n_words >= {min_words} AND place <= {percent} * (SELECT count(*) FROM scored WHERE n_words >= {min_words}) // 100
+    THEN place END::BIGINT AS rank
+FROM ranked
+"""
+
+
+ORACLE["op11_importance_resampling"] = _importance_sql()
