@@ -15,9 +15,11 @@ from . import (
     importance,
     language_id,
     minmax_dedup,
+    neighbours,
     quality_rules,
     substring_dedup,
     token_records,
+    vector_codes,
     viterbi,
 )
 from .common import read_table
@@ -91,6 +93,16 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.importance_sample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+@_query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(read_table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op13_cross_polytope_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 def _cutoff_rows() -> str:
     return ", ".join(
         f"('{rule}', {i}, {c})" for rule, (_, cuts) in quality_rules.RULES.items() for i, c in enumerate(cuts)
@@ -268,3 +280,43 @@ FROM ranked
 
 
 ORACLE["op11_importance_resampling"] = _importance_sql()
+
+
+def _codes_sql(entries: int = 16, rounds: int = 6) -> str:
+    """The plain rounds: every distance, in whole numbers held by doubles."""
+    squares = "list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c)"
+    ctes = [f"""
+kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+    list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT r, p, v[p * (len(v) // 8) + 1 : (p + 1) * (len(v) // 8)] AS x FROM kept, (SELECT unnest(range(0, 8)) AS p)),
+c0 AS MATERIALIZED (SELECT p, r - 1 AS e, x AS c FROM parts WHERE r <= {entries})"""]
+    for k in range(rounds + 1):
+        ctes.append(f"""
+a{k} AS MATERIALIZED (
+  SELECT r, p, any_value(x) AS x, min(({squares})::BIGINT * {entries} + e) AS best
+  FROM parts JOIN c{k} USING (p) GROUP BY r, p)""")
+        if k < rounds:
+            ctes.append(f"""
+c{k + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(any_value(m), any_value(c{k}.c)) AS c FROM c{k} LEFT JOIN (
+    SELECT p, e, list(m ORDER BY j) AS m FROM (
+      SELECT p, best % {entries} AS e, j, ((sum(x[j])::BIGINT - ((sum(x[j])::BIGINT % count(*)) + count(*)) % count(*)) // count(*))::DOUBLE AS m
+      FROM (SELECT p, best, x, unnest(range(1, len(x) + 1)) AS j FROM a{k}) GROUP BY p, best % {entries}, j)
+    GROUP BY p, e) USING (p, e) GROUP BY p, e)""")
+    last = rounds
+    return "WITH " + ",".join(ctes) + f""",
+coded AS (
+  SELECT r, string_agg(printf('%02x', (best % {entries})::BIGINT), '' ORDER BY p) AS code, sum(best // {entries})::BIGINT AS error
+  FROM a{last} GROUP BY r),
+books AS (
+  SELECT sha256(string_agg(array_to_string(list_transform(c, lambda y: y::BIGINT), ','), ',' ORDER BY p, e)) AS digest FROM c{last})
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, digest AS codebooks_sha256
+FROM kept JOIN coded USING (r), books
+"""
+
+
+ORACLE["op12_vector_codes"] = _codes_sql()
