@@ -48,7 +48,7 @@ SCALE = 4096
 #: Next closest entries with a bound of their own: at the start, and least.
 START_B, LEAST_B = ENTRIES // 4, ENTRIES // 8
 #: Share of the undecided parts that the next b must cover.
-COVERED = 0.99
+COVERED = 0.95
 _UP, _DOWN = 1 + 1e-15, 1 - 1e-15
 
 
