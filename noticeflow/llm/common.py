@@ -62,6 +62,18 @@ def ready(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+def finite_vectors(vectors: DataFrame, column: str = "embedding") -> Column:
+    """True for vectors without null, NaN or infinite components (not for a
+    null vector). Built-ins that compile: ``array_contains`` is null, not
+    false, if the value is missing beside a null."""
+    x, inf = F.col(column), F.lit(float("inf"))
+    element = vectors.schema[column].dataType.elementType
+    clean = ~F.array_contains(x, F.lit(float("nan")).cast(element))
+    return x.isNotNull() & (
+        (F.size(x) == 0) | F.coalesce(clean & (F.array_max(x) < inf) & (F.array_min(x) > -inf), F.lit(False))
+    )
+
+
 def join_small(big: DataFrame, small: DataFrame, key: str, how: str = "left", spread: str = "doc_id",
                max_rows: int = 100_000, salts: int = 32) -> DataFrame:
     """Join a table with one row per ``key`` value to a large one whose keys

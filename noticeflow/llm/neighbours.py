@@ -38,10 +38,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import join_small, materialise, ready
+from .common import finite_vectors, join_small, materialise, ready
 
 TABLES = 2
 #: Queries with brute-force answers, and the share of those that probing must find.
@@ -177,6 +177,19 @@ def _ids(column) -> np.ndarray:
     return column.to_numpy() if isinstance(column, pa.ChunkedArray) else column.to_numpy(zero_copy_only=False)
 
 
+#: Answers to one query, best first; ``minus`` is the score negated, so that
+#: the order of the structs is that of the answers.
+FOUND = "found array<struct<minus: double, vec_id: bigint>>"
+
+
+def packed(n: int, r: np.ndarray, vec_ids: np.ndarray, score: np.ndarray) -> pa.Array:
+    """The answers of n queries (r ascending) as a column of lists."""
+    ends = np.searchsorted(r, np.arange(n + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(
+        pa.array(ends), pa.StructArray.from_arrays([pa.array(-score), pa.array(vec_ids)], ["minus", "vec_id"])
+    )
+
+
 class Index:
     """Vectors, their measure, the fitted tables and the steps of a search."""
 
@@ -184,26 +197,42 @@ class Index:
         self.spark, self.k, self.every = vectors.sparkSession, k, every
         ready(self.spark)
         x = F.col("embedding")
-        bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf"))))
         kept = vectors.select(F.col("vec_id").cast("long"), x).filter(
-            F.col("vec_id").isNotNull() & x.isNotNull() & ~bad & F.exists(x, lambda v: v != 0)
+            F.col("vec_id").isNotNull() & finite_vectors(vectors) & ((F.array_max(x) != 0) | (F.array_min(x) != 0))
         )
         # One row per vec_id; vectors are shuffled for that only if some id repeats.
         if not kept.groupBy("vec_id").count().filter("count > 1").isEmpty():
             kept = materialise(kept.groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "vectors")
         self.vectors = kept
         self.kind = kept.schema["embedding"].dataType.simpleString()
-        largest = F.aggregate(x, F.lit(0.0), lambda a, v: F.greatest(a, F.abs(v).cast("double")))
-        squares = F.aggregate(x, F.lit(0.0), lambda a, v: a + v.cast("double") / largest * (v.cast("double") / largest))
-        length = largest * F.sqrt(squares)
-        row = kept.agg(F.count("*"), F.max(F.size(x)), F.max(length), F.min(length)).first()
-        self.rows, self.width, self.longest = row[0], row[1] or 1, row[2] or 1.0
+        row = self._measured().agg(F.sum("n"), F.max("width"), F.max("longest"), F.min("shortest")).first()
+        self.rows, self.width, self.longest = row[0] or 0, row[1] or 1, row[2] or 1.0
         #: Lengths differ: vectors get the coordinate that fills them up.
         self.filled = self.rows > 0 and (row[2] - row[3]) > 1e-6 * row[2]
         self.pool_ids, self.pool = self._pool()
         self.hashes = self._hashes(functions or self.functions_for(self.rows))
         self.probes = 0
 
+    def _measured(self) -> DataFrame:
+        """Each task's number of vectors, widest, longest and shortest one."""
+
+        def work(batches):
+            n, width, longest, shortest = 0, 0, 0.0, float("inf")
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                column = batch.column("embedding")
+                wide = int(column.value_lengths().to_numpy(zero_copy_only=False).max())
+                v = matrix(column, wide)
+                size = np.abs(v).max(axis=1)
+                length = size * np.sqrt(((v / size[:, None]) ** 2).sum(axis=1))
+                n, width = n + len(v), max(width, wide)
+                longest, shortest = max(longest, float(length.max())), min(shortest, float(length.min()))
+            if n:
+                yield pa.record_batch([pa.array([x]) for x in (n, width, longest, shortest)], ["n", "width", "longest", "shortest"])
+
+        return self.vectors.select("embedding").mapInArrow(work, "n long, width long, longest double, shortest double")
+
     def functions_for(self, rows: int) -> int:
         """The fewest functions that keep usual cells below BLOCK rows."""
         axes, n = CrossPolytope(self.width + self.filled, 1, 1).axes, 1
@@ -309,16 +338,16 @@ class Index:
             for batch in batches:
                 q_ids, q = _ids(batch.column("vec_id")), matrix(batch.column("embedding"), width)
                 r, c, score = best(q, q_ids, np.full(len(q), -np.inf), pool, pool_ids, k)
-                ends = np.searchsorted(r, np.arange(len(q) + 1)).astype(np.int32)
-                full = np.diff(ends) == k
-                floor = np.where(full, score[np.maximum(ends[1:] - 1, 0)] if len(score) else -np.inf, -np.inf)
+                last = np.searchsorted(r, np.arange(len(q)), side="right") - 1
+                full = np.bincount(r, minlength=len(q)) == k
+                floor = np.full(len(q), -np.inf)
+                floor[full] = score[last[full]]
                 yield pa.record_batch({
                     "query_id": batch.column("vec_id"), "embedding": batch.column("embedding"), "floor": pa.array(floor),
-                    "near": pa.ListArray.from_arrays(pa.array(ends), pa.array(pool_ids[c])),
-                    "scores": pa.ListArray.from_arrays(pa.array(ends), pa.array(score)),
+                    "found": packed(len(q), r, pool_ids[c], score),
                 })
 
-        schema = f"query_id long, embedding {self.kind}, floor double, near array<long>, scores array<double>"
+        schema = f"query_id long, embedding {self.kind}, floor double, {FOUND}"
         return materialise(self._queries().mapInArrow(work, schema), "asked")
 
     def _counted(self, asked: DataFrame) -> DataFrame:
@@ -328,7 +357,7 @@ class Index:
         def add(batches, cells_of, query):
             seen = {}
             for batch in batches:
-                found, n = np.unique(cells_of(matrix(batch.column("embedding"), self_width)), return_counts=True)
+                found, n = np.unique(cells_of(matrix(batch.column("embedding"), width)), return_counts=True)
                 for c, x in zip(found.tolist(), n.tolist()):
                     seen[c] = seen.get(c, 0) + x
             n = np.array(list(seen.values()), np.int64)
@@ -337,7 +366,7 @@ class Index:
                 "cell": pa.array(np.array(list(seen), np.int64)), "n": pa.array(none if query else n), "asked": pa.array(n if query else none),
             })
 
-        self_width, cell_rows, probe_rows = self.width, self._cell_rows(), self._probe_rows()
+        width, cell_rows, probe_rows = self.width, self._cell_rows(), self._probe_rows()
         stored = self.vectors.select("embedding").mapInArrow(lambda b: add(b, cell_rows, False), per_task)
         probed = asked.select("embedding").mapInArrow(lambda b: add(b, probe_rows, True), per_task)
         sums = stored.unionAll(probed).groupBy("cell").agg(F.sum("n").alias("n"), F.sum("asked").alias("asked"))
@@ -358,15 +387,16 @@ class Index:
     def search(self) -> DataFrame:
         """(query_id, rank, vec_id, score)."""
         asked = self._asked()
-        found = asked.select("query_id", F.explode(F.arrays_zip("near", "scores")).alias("x")).select(
-            "query_id", F.col("x.near").alias("vec_id"), F.col("x.scores").alias("score")
-        )
+        found = asked.select("query_id", "found")
         if self.probes and self.rows > len(self.pool_ids):
             found = found.unionAll(self._met(asked))
-        once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        ranked = once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= self.k)
-        return ranked.select("query_id", "rank", "vec_id", "score")
+        # A vector is found once in each table and in the pool, at most.
+        most = self.k * (self.hashes.tables + 1)
+        merged = found.groupBy("query_id").agg(F.sort_array(F.flatten(F.collect_list("found"))).alias("x"))
+        best_k = F.slice(F.array_distinct(F.slice("x", 1, most)), 1, self.k)
+        return merged.select("query_id", F.posexplode(best_k).alias("place", "x")).select(
+            "query_id", (F.col("place") + 1).alias("rank"), "x.vec_id", (-F.col("x.minus")).alias("score")
+        )
 
     def _met(self, asked: DataFrame) -> DataFrame:
         """Vectors and queries brought together by cell."""
@@ -409,17 +439,15 @@ class Index:
         right = dealt(probed, "query_block", "query_id", "block", ["query_id", "floor", "embedding"])
 
         def meet(v: pa.Table, q: pa.Table) -> pa.Table:
-            names = ["query_id", "vec_id", "score"]
             if not v.num_rows or not q.num_rows:
-                return pa.table([pa.array([], pa.int64())] * 2 + [pa.array([], pa.float64())], names)
+                return pa.table({"query_id": pa.array([], pa.int64()), "found": packed(0, *np.zeros((2, 0), np.int64), np.zeros(0))})
             v_ids, q_ids = _ids(v.column("vec_id")), _ids(q.column("query_id"))
             r, c, score = best(matrix(q.column("embedding"), width), q_ids, _ids(q.column("floor")),
                                matrix(v.column("embedding"), width), v_ids, k)
-            return pa.table([pa.array(q_ids[r]), pa.array(v_ids[c]), pa.array(score)], names)
+            some, r = np.unique(r, return_inverse=True)  # queries that found something
+            return pa.table({"query_id": pa.array(q_ids[some]), "found": packed(len(some), r, v_ids[c], score)})
 
-        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
-            meet, "query_id long, vec_id long, score double"
-        )
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, f"query_id long, {FOUND}")
 
 
 class _Unit:
@@ -440,7 +468,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, functions: int | N
     return index.search()
 
 
-def brute_force(spark: SparkSession, vectors: list[tuple[int, list[float]]], every: int = 20, k: int = 20):
+def brute_force(vectors: list[tuple[int, list[float]]], every: int = 20, k: int = 20):
     """{query_id: [(vec_id, score)]} by comparing everything, for tests."""
     ids = np.array([i for i, _ in vectors], np.int64)
     v = np.zeros((len(vectors), max((len(x) for _, x in vectors), default=1)))

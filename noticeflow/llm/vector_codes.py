@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import remove_path
-from .common import join_small, ready
+from .common import finite_vectors, join_small, ready
 
 PARTS = 8
 ENTRIES = 16
@@ -193,9 +193,7 @@ class Codes:
     def __init__(self, vectors: DataFrame, entries: int = ENTRIES, rounds: int = ROUNDS):
         self.spark = vectors.sparkSession
         ready(self.spark)
-        x = F.col("embedding")
-        bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf"))))
-        self.kept = vectors.select("vec_id", "label", x.cast("array<double>").alias("embedding")).filter(x.isNotNull() & ~bad)
+        self.kept = vectors.select("vec_id", "label", "embedding").filter(finite_vectors(vectors))
         longest = self.kept.agg(F.max(F.size("embedding"))).first()[0]
         self.width = max(-(-(longest or 0) // PARTS), 1) * PARTS
         first = self.kept.orderBy(F.asc_nulls_last("vec_id"), "embedding").select("embedding").limit(entries).collect()

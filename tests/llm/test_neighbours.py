@@ -35,7 +35,7 @@ def plain(rows, every=20, k=20):
     least = {}
     for i, v in usable:
         least[i] = min(least.get(i, v), v)
-    return N.brute_force(None, list(least.items()), every, k)
+    return N.brute_force(list(least.items()), every, k)
 
 
 def test_registered_table(spark):
