@@ -51,7 +51,7 @@ PASSAGE, STRIDE = 24, 8
 SHORT_PASSAGE, SHORT_STRIDE = 12, 4
 BLOCK_ITEMS = 2000
 ANSWER = 5
-#: Terms are counted per item in units of this length, in tables of CELLS counts.
+#: Rare terms are placed in units of this length; CELLS terms of text at a time.
 UNIT, CELLS = 16, 1 << 17
 #: Items with fewer terms must occur word for word.
 LCS_LEAST = 6
@@ -132,15 +132,16 @@ def _padded(hashes: np.ndarray, first: np.ndarray, unit: int, least: int = 0):
 
 def _block_sums(rows: np.ndarray, columns: np.ndarray, size: int) -> np.ndarray:
     """Sum of the rows of each ``size`` columns."""
-    out = rows[columns[::size]]
+    out = np.take(rows, columns[::size], axis=0, mode="clip")  # places are in range; "clip" saves a copy
+    more = np.empty_like(out)
     for k in range(1, size):
-        out += rows[columns[k::size]]
+        out += np.take(rows, columns[k::size], axis=0, out=more, mode="clip")
     return out
 
 
 def _scatter(share: np.ndarray, columns: np.ndarray, passage: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
     """share[column] += weight[column] * y[passage] for every term."""
-    order = np.argsort(columns, kind="stable")
+    order = np.argsort(columns.astype(np.uint16), kind="stable")  # 16 bits: a radix sort
     columns, passage = columns[order], passage[order]
     begin = np.flatnonzero(np.append(True, columns[1:] != columns[:-1]))
     times = np.diff(np.append(begin, len(columns)))
@@ -159,7 +160,7 @@ def _scatter(share: np.ndarray, columns: np.ndarray, passage: np.ndarray, y: np.
         if not len(use):
             break
         at = columns[use]
-        share[at] += weight[at][:, None] * y[passage[use]]
+        share[at] += weight[at][:, None] * np.take(y, passage[use], axis=0, mode="clip")
 
 
 def _sketch(idf: np.ndarray):
@@ -312,34 +313,47 @@ class RareTerms:
 
     def candidates(self, hashes: np.ndarray, first: np.ndarray):
         """(text, term place in it, item) of the stretches with enough terms;
-        the item lies in the ``UNIT + reach(size)`` terms from the place."""
+        the item lies in the ``UNIT + reach(size)`` terms from the place.
+
+        Only hits are looked at: each is a number (item, unit of text), and
+        once these are sorted, the ``least`` hits of an item that lie within
+        its units of each other are neighbours in that order."""
         if not len(self.items) or not len(hashes):
             return
         lengths = np.diff(first)
-        base = np.concatenate(([0], np.cumsum(-(-lengths // UNIT))))
+        n_units = -(-lengths // UNIT)
+        widest = int(self.units.max())
+        # A gap before each text, so that no stretch spans two.
+        base = widest + np.concatenate(([0], np.cumsum(n_units + widest)))
+        total = int(base[-1])
         hit = np.flatnonzero(self.times[hashes])
         text = np.searchsorted(first, hit, side="right") - 1
         unit_of = base[text] + (hit - first[text]) // UNIT
-        times = self.times[hashes[hit]]
-        n, widest = len(self.items), int(self.units.max())
-        step = max(CELLS // n, widest)
-        for a in range(0, int(base[-1]), step):
-            size = min(step, int(base[-1]) - a)
-            x, y = np.searchsorted(unit_of, (a, a + size + widest))
-            total = times[x:y]
-            within = np.arange(int(total.sum())) - np.repeat(np.cumsum(total) - total, total)
-            item = self.of_term[np.repeat(self.begin[hashes[hit[x:y]]], total) + within]
-            cells = np.repeat(unit_of[x:y] - a, total) * n + item
-            sums = np.zeros((size + widest + 1, n), np.int32)
-            sums[1:] = np.bincount(cells, minlength=(size + widest) * n).reshape(-1, n)
-            np.cumsum(sums, axis=0, out=sums)
-            for width in np.unique(self.units):  # ascending, as the items are
-                i, j = np.searchsorted(self.units, (width, width + 1))
-                held = sums[width : width + size, i:j] - sums[:size, i:j]
-                u, k = np.nonzero(held >= self.least[i:j])
-                text_of = np.searchsorted(base, u + a, side="right") - 1
-                place = (u + a - base[text_of]) * UNIT
-                yield from zip(text_of.tolist(), place.tolist(), self.items[i + k].tolist())
+        step = max(CELLS // UNIT, widest)
+        for a in range(0, total, step):
+            x, y = np.searchsorted(unit_of, (a, a + step + widest))
+            times = self.times[hashes[hit[x:y]]]
+            within = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+            item = self.of_term[np.repeat(self.begin[hashes[hit[x:y]]], times) + within]
+            keys = np.sort(item * total + np.repeat(unit_of[x:y], times))
+            item = keys // total
+            last = np.arange(len(keys)) + self.least[item] - 1
+            some = np.flatnonzero((last < len(keys)) & (self.least[item] > 0))
+            some = some[keys[last[some]] - keys[some] < self.units[item[some]]]
+            # Every start of a stretch that holds these hits, once.
+            low = keys[last[some]] - self.units[item[some]] + 1
+            counts = keys[some] - low + 1
+            starts = np.unique(np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(int(counts.sum())))
+            k, u = np.divmod(starts, total)
+            mine = (a <= u) & (u < a + step)
+            k, u = k[mine], u[mine]
+            # A start in the gap stands for the beginning of the text after it.
+            of = np.searchsorted(base, u + widest, side="right") - 1
+            place = np.maximum(u - base[of], 0) * UNIT
+            yield from zip(of.tolist(), place.tolist(), self.items[k].tolist())
+        for k in np.flatnonzero(self.least == 0).tolist():  # items of which nothing is asked
+            for t, n in enumerate(n_units.tolist()):
+                yield from ((t, UNIT * u, int(self.items[k])) for u in range(n))
 
 
 class Query:
@@ -396,23 +410,27 @@ def _near(hashes: np.ndarray, starts: np.ndarray, sums: np.ndarray, first: np.nd
     n = (n_blocks - per) // hop + 1
     text = np.repeat(np.arange(len(n)), n)
     k = (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)) * hop
-    block = starts[text] // SHORT_STRIDE + k
-    passages = sums[block]
-    for step in range(1, per):
-        passages += sums[block + step]
-    passages = unit(passages)
+    # Every ``hop`` blocks from the run's start on (texts start there too), then
+    # those that lie in one text.
+    hops = sums if hop == 1 else sum(sums[i::hop] for i in range(hop))
+    passages = hops[: len(hops) - per // hop + 1].copy()
+    for step in range(1, per // hop):
+        passages += hops[step : step + len(passages)]
+    passages = passages[(starts[text] // SHORT_STRIDE + k) // hop]
+    least = cosine * np.sqrt(np.einsum("nd,nd->n", passages, passages))
     at = k * SHORT_STRIDE
-    padded = np.concatenate([hashes.astype(np.int32), np.full(length, -1, np.int32)])
+    padded = np.concatenate([hashes, np.zeros(length, np.uint16)])
     place = np.minimum(first[text] + at, len(hashes))
     for a in range(0, len(passages), 2048):
         near = passages[a : a + 2048] @ vectors
-        rows = np.flatnonzero(near.max(1) >= cosine)
-        p, q = np.nonzero(near[rows] >= cosine)
+        bound = least[a : a + 2048]
+        rows = np.flatnonzero((near.max(1) >= bound) & (bound > 0))
+        p, q = np.nonzero(near[rows] >= bound[rows, None])
         p = rows[p] + a
         # Shared words first: half of the window's words must be there.
         for b in range(0, len(p), 2000):
             seen = padded[place[p[b : b + 2000]] + np.arange(length)[:, None]]
-            want = words[q[b : b + 2000]].T.astype(np.int32)
+            want = np.ascontiguousarray(words[q[b : b + 2000]].T)
             there = want == seen[0]
             for row in seen[1:]:
                 there |= want == row
@@ -421,6 +439,19 @@ def _near(hashes: np.ndarray, starts: np.ndarray, sums: np.ndarray, first: np.nd
                 yield int(text[p[j]]), int(at[p[j]]), item, offset
 
 
+def _runs(candidates):
+    """(text, item, places) of candidates of one item whose places follow each other."""
+    held, places = None, []
+    for text, at, item in candidates:
+        if (text, item) != held or at != places[-1] + UNIT:
+            if places:
+                yield *held, places
+            held, places = (text, item), []
+        places.append(at)
+    if places:
+        yield *held, places
+
+
 def search(hashes: np.ndarray, first: np.ndarray, latent: np.ndarray, query: Query, cosine: float, share: float,
            paraphrase: float) -> dict[tuple[int, int], tuple[int, bool, int]]:
     """(text, item index) -> (lcs, answer found, place) of the items found in
@@ -455,16 +486,19 @@ def search(hashes: np.ndarray, first: np.ndarray, latent: np.ndarray, query: Que
             continue
         tried.add((text, item, begin // STRIDE))
         confirm(text, item, begin, max(0, at - offset) + size + slack)
-    for text, at, item in query.rare.candidates(hashes, first):
-        if (text, item) in best:
-            continue
+    for text, item, places in _runs(query.rare.candidates(hashes, first)):
         size, masks = len(query.words[item]), query.masks[item]
         if text not in lists:
             lists[text] = hashes[first[text] : first[text + 1]].tolist()
-        end = at + UNIT + span(size)
-        # Different terms first: a subsequence cannot have more than these and the item's repeats.
-        if len(masks.keys() & lists[text][at:end]) + size - len(masks) >= paraphrase * size:
-            confirm(text, item, at, end)
+        words, reach = lists[text], UNIT + span(size)
+        # Different terms first: a subsequence cannot have more than these and
+        # the item's repeats; of all places that follow each other, then of each.
+        least = paraphrase * size - size + len(masks)
+        if len(masks.keys() & words[places[0] : places[-1] + reach]) < least:
+            continue
+        for at in places:
+            if best.get((text, item), (0,))[0] < size and len(masks.keys() & words[at : at + reach]) >= least:
+                confirm(text, item, at, at + reach)
     return best
 
 
