@@ -166,24 +166,37 @@ def _set_id(keys: list[str]) -> int:
     return sum(1 << (n - 1 - i) for i, k in enumerate(_SET_KEYS) if k not in keys)
 
 
+def _set_rows(scored: DataFrame, *more: str) -> DataFrame:
+    """The columns that the summaries read."""
+    c = F.col
+    return scored.select(
+        *[c(k) for k in _SET_KEYS if k != "recall_month"],
+        dates.recall_month("recall_initiation_date").alias("recall_month"),
+        "risk_score", "recall_initiation_date", "status", *more,
+    )
+
+
+def _flags():
+    """The counted conditions of a company's summary."""
+    c = F.col
+    return {
+        "class_i_recalls": c("classification") == "Class I",
+        "high_risk_recalls": c("risk_tier").isin(HIGH_TIERS),
+        "ongoing_recalls": c("status").rlike("(?i)ongoing"),
+    }
+
+
 def summary_sets(scored: DataFrame) -> DataFrame:
     """All seven summaries in one pass: GROUPING SETS over a single scan,
     partially aggregated map-side, one shuffle of (groups x tasks) rows.
     ``_set`` tells the sets apart (a NULL key stays a real NULL group)."""
     c = F.col
-    base = scored.select(
-        *[c(k) for k in _SET_KEYS if k != "recall_month"],
-        dates.recall_month("recall_initiation_date").alias("recall_month"),
-        "risk_score", "recall_initiation_date", "status",
-    )
-    return base.groupingSets([[c(k) for k in ks] for ks in SUMMARY_SETS.values()], *[c(k) for k in _SET_KEYS]).agg(
+    return _set_rows(scored).groupingSets([[c(k) for k in ks] for ks in SUMMARY_SETS.values()], *[c(k) for k in _SET_KEYS]).agg(
         F.grouping_id().alias("_set"),
         F.count(F.lit(1)).alias("n"),
         F.avg("risk_score").alias("avg_risk_score"),
         F.max("recall_initiation_date").alias("latest_recall_date"),
-        F.count_if(c("classification") == "Class I").alias("class_i_recalls"),
-        F.count_if(c("risk_tier").isin(HIGH_TIERS)).alias("high_risk_recalls"),
-        F.count_if(c("status").rlike("(?i)ongoing")).alias("ongoing_recalls"),
+        *[F.count_if(flag).alias(name) for name, flag in _flags().items()],
     )
 
 
@@ -193,3 +206,40 @@ def summary_from_sets(sets: DataFrame, name: str) -> DataFrame:
     return sets.filter(F.col("_set") == F.lit(_set_id(keys))).select(
         *keys, *[F.col(src).alias(dst) for src, dst in SUMMARY_MEASURES[name]]
     )
+
+
+# ------------------------------------------------- maintained summaries
+#: Keys of a table of sums: the set and its group (NULL where not grouped).
+SUM_KEYS = ["_set", *_SET_KEYS]
+DATE_KEYS = ["recalling_firm_clean", "recall_initiation_date"]
+
+
+def summary_sums(signed: DataFrame) -> DataFrame:
+    """What scored rows add to (``sign`` 1) or take from (-1) the seven
+    summaries: only sums, so that contributions of any batches add up."""
+    c = F.col
+    sign = c("sign").cast("long")
+    return _set_rows(signed, "sign").groupingSets(
+        [[c(k) for k in ks] for ks in SUMMARY_SETS.values()], *[c(k) for k in _SET_KEYS]
+    ).agg(
+        F.grouping_id().alias("_set"),
+        F.sum(sign).alias("n"),
+        F.sum(sign * c("risk_score")).alias("risk_sum"),
+        *[F.sum(F.when(flag, sign).otherwise(F.lit(0))).alias(name) for name, flag in _flags().items()],
+    ).select(*SUM_KEYS, "n", "risk_sum", *_flags())
+
+
+def date_sums(signed: DataFrame) -> DataFrame:
+    """Rows of each firm and initiation date: the greatest date that is left
+    is a firm's latest one, also after rows went."""
+    return signed.groupBy(*DATE_KEYS).agg(F.sum(F.col("sign").cast("long")).alias("n"))
+
+
+def summary_from_sums(sums: DataFrame, by_date: DataFrame, name: str) -> DataFrame:
+    """One gold summary from the maintained sums (and, for companies, dates)."""
+    keys, measures = SUMMARY_SETS[name], SUMMARY_MEASURES[name]
+    rows = sums.filter(F.col("_set") == F.lit(_set_id(keys))).withColumn("avg_risk_score", F.col("risk_sum") / F.col("n"))
+    if ("latest_recall_date", "latest_recall_date") in measures:
+        latest = by_date.groupBy(F.col(keys[0]).alias("_firm")).agg(F.max("recall_initiation_date").alias("latest_recall_date"))
+        rows = rows.join(latest, rows[keys[0]].eqNullSafe(latest["_firm"]), "left")
+    return rows.select(*keys, *[F.col(src).alias(dst) for src, dst in measures])

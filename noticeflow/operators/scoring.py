@@ -16,16 +16,18 @@ def repeated_company_count(
     history: DataFrame | None = None,
     key: str = FIRM_KEY,
     method: str = "auto",
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Rows sharing the clean firm name, minus the row itself.
 
     With ``history`` the count is taken over that table (e.g. everything
     served so far, including this batch) instead of only ``df``, so an
-    incremental batch scores like a full rebuild.
+    incremental batch scores like a full rebuild. ``counts`` is a maintained
+    table (key, n) of such counts.
     """
-    counted = attach_group_count(df, [key], out="_firm_rows", counts_from=history, method=method)
+    counted = attach_group_count(df, [key], out="_firm_rows", counts_from=history, method=method, counts=counts)
     n = F.col("_firm_rows") - F.lit(1)
-    if history is not None:
+    if history is not None or counts is not None:
         # A batch row whose firm is not in history counts itself only.
         n = F.coalesce(n, F.lit(0).cast("bigint"))
     return counted.withColumn("repeated_company_count", n).drop("_firm_rows")
@@ -54,6 +56,8 @@ def add_scores(df: DataFrame) -> DataFrame:
     )
 
 
-def score_recalls(silver: DataFrame, history: DataFrame | None = None, method: str = "auto") -> DataFrame:
+def score_recalls(
+    silver: DataFrame, history: DataFrame | None = None, method: str = "auto", counts: DataFrame | None = None
+) -> DataFrame:
     """Silver + 9 score columns (35 columns)."""
-    return add_scores(repeated_company_count(silver, history=history, method=method))
+    return add_scores(repeated_company_count(silver, history=history, method=method, counts=counts))

@@ -47,9 +47,11 @@ def attach_group_count(
     method: str = "auto",
     broadcast_max_keys: int = BROADCAST_MAX_KEYS,
     broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``out`` = number of rows of ``counts_from`` (default ``df``) with
-    the same ``keys`` (NULL keys form one group, as in a window).
+    the same ``keys`` (NULL keys form one group, as in a window). ``counts``
+    is a table (keys, n) that already holds these numbers: nothing is counted then.
 
     ``method``: 'auto' (broadcast the counts when the size check passes,
     else salted), 'salted', or 'window' (the plain window, for checks).
@@ -64,19 +66,28 @@ def attach_group_count(
         raise ValueError(f"unknown method {method!r}")
 
     spark = df.sparkSession
+    key_bytes = sum(F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys)
+    if counts is not None:
+        counts = counts.select(*keys, F.col("n").alias("_gc_n"))
+        size = counts.agg(F.count(F.lit(1)).alias("n"), F.sum(key_bytes + F.lit(8)).alias("b")).first().asDict()
+        return _attach(df, keys, counts, out, size, hot_keys, salt_buckets, method, broadcast_max_keys, broadcast_max_bytes)
     path = scratch_path(spark, "group-counts")
     # The size of the counts table is observed while it is written (rows
     # and key bytes), so the check costs no extra job.
     size = Observation(f"group-counts-{path.rsplit('-', 1)[-1]}")
-    key_bytes = sum(F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys)
     (
         source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_gc_n"))
         .observe(size, F.count(F.lit(1)).alias("n"), F.sum(key_bytes + F.lit(8)).alias("b"))
         .write.parquet(path)
     )
     counts = spark.read.parquet(path)
+    return _attach(df, keys, counts, out, size.get, hot_keys, salt_buckets, method, broadcast_max_keys, broadcast_max_bytes)
+
+
+def _attach(df, keys, counts, out, size, hot_keys, salt_buckets, method, broadcast_max_keys, broadcast_max_bytes) -> DataFrame:
+    """The join of rows with a table (keys, _gc_n) of the given size."""
     if method == "auto":
-        n, b = size.get.get("n", 0), size.get.get("b") or 0
+        n, b = size.get("n", 0), size.get("b") or 0
         if n <= broadcast_max_keys and b <= broadcast_max_bytes:
             return _broadcast_counts(df, keys, counts, out)
     hk = [f"_gc_hot_k{i}" for i in range(len(keys))]

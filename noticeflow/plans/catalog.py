@@ -670,6 +670,46 @@ register(
 )(lambda s, d: B.bronze_meta(s, _bronze(s, d)).groupBy("source").agg(F.sum("records_fetched").alias("records_fetched")))
 
 
+# Documents of three kinds in one landing: JSON Lines, one document over many
+# lines per file, and documents that were cut off on the way.
+_KIND = "CAST(event_id AS INTEGER) % 10"
+
+
+def _mixed_landing(s, d) -> list[str]:
+    base = scratch_path(s, "mixed")
+    r = records(s, d).withColumn("_kind", F.expr(_KIND))
+    B.write_bronze(r.filter("_kind < 8").drop("_kind"), f"{base}/lines", BRONZE_META)
+    record = F.struct(*O.RECORD_FIELDS)
+    pretty = r.filter("_kind = 8").groupBy("event_id").agg(F.collect_list(record).alias("results")).withColumn(
+        "meta", F.struct(F.lit(SOURCE).alias("source"), F.size("results").alias("records_fetched"))
+    )
+    pretty.select("event_id", F.to_json(F.struct("meta", "results"), {"pretty": "true"}).alias("value")).write.partitionBy(
+        "event_id"
+    ).text(f"{base}/pretty")
+    whole = F.to_json(F.struct(F.array(record).alias("results")))
+    r.filter("_kind = 9").select(F.substring(whole, F.lit(1), F.length(whole) - 3).alias("value")).write.text(f"{base}/cut")
+    return [f"{base}/lines", f"{base}/pretty/*", f"{base}/cut"]
+
+
+register("read_bronze_quarantine", with_base(f"SELECT * FROM fx WHERE {_KIND} < 9"))(
+    lambda s, d: B.land_bronze(s, _mixed_landing(s, d), on_loss="warn").records
+)
+
+
+def _bronze_rejects(s, d):
+    found = B.land_bronze(s, _mixed_landing(s, d), on_loss="warn")
+    return found.rejects.groupBy("reason").agg(F.count("*").alias("rejects"), F.count_distinct("file").cast("boolean").alias("named")).select(
+        "reason", "rejects", "named", F.lit(found.held).cast("long").alias("held"), F.lit(found.announced).cast("long").alias("announced")
+    )
+
+
+register(
+    "bronze_rejects",
+    with_base(f"""SELECT 'no whole JSON document' AS reason, count(*) FILTER ({_KIND} = 9) AS rejects, true AS named,
+  count(*) FILTER ({_KIND} < 9) AS held, count(*) FILTER ({_KIND} < 9) AS announced FROM fx"""),
+)(_bronze_rejects)
+
+
 def _union_batches(s, d):
     r = records(s, d)
     first = r.filter(F.col("report_date") < "19980101")
@@ -729,6 +769,17 @@ register(
 )(_staged_overwrite)
 
 
+def _read_version(s, d):
+    """The version that a rewrite has replaced, read after it."""
+    path = scratch_path(s, "silver")
+    T.committed_write(silver(s, d), path)
+    T.staged_overwrite(s, path, lambda df: explore.filter_report_date(df, REPORT_START, REPORT_END))
+    return T.read_table(s, path, version=T.table_versions(s, path)[0]["number"])
+
+
+register("read_table_version", with_base("SELECT * FROM silver"))(_read_version)
+
+
 def _window_scored(s, d, window):
     return score_recalls(explore.filter_report_date(silver(s, d), *window))
 
@@ -775,6 +826,17 @@ register(
 )(_keyed_upsert)
 
 
+def _keyed_upsert_bucketed(s, d):
+    """Tables kept in hash buckets: only the second load's buckets are rewritten."""
+    path = scratch_path(s, "recalls")
+    S.upsert_table(s, path, _window_scored(s, d, WINDOW_A), ["recall_number"], FIXED_NOW, buckets=32)
+    S.upsert_table(s, path, _window_scored(s, d, WINDOW_B), ["recall_number"], FIXED_NOW)
+    return T.read_table(s, path).drop("updated_at")
+
+
+register("keyed_upsert_bucketed", ORACLE["keyed_upsert"])(_keyed_upsert_bucketed)
+
+
 def _replace_load(s, d):
     path = scratch_path(s, "recalls")
     S.replace_load(s, path, _window_scored(s, d, WINDOW_A), ["recall_number"], FIXED_NOW)
@@ -945,6 +1007,47 @@ register("run_all_stages", _LOAD_A_TYPED)(_run_all)
 register("run_pipeline", _LOAD_A_TYPED)(_run_all)
 
 
+def _run_commit(s, d):
+    """A second load that dies before its run is committed changes nothing."""
+    out = scratch_path(s, "store")
+    load = lambda window, run=None: S.load_tables(
+        s, {"recalls": _window_scored(s, d, window)}, out, ["recalls"], now=FIXED_NOW, run=run
+    )
+    load(WINDOW_A)
+    load(WINDOW_B, T.Run(s, out))  # never committed
+    return S.read_store(s, out)["recalls"].drop("updated_at", "report_month")
+
+
+register("run_commit", _LOAD_A_TYPED)(_run_commit)
+
+EMPTY_WINDOW = "2030-01-01"
+
+
+def _run_empty_window(s, d):
+    """A run whose report window holds no record: its row in the log, and
+    how many rows its nine summaries and eight served tables hold."""
+    from .stages import run_stages
+
+    out = scratch_path(s, "run")
+    res = run_stages(s, _bronze(s, d), out, report_start=EMPTY_WINDOW, load=True, now=FIXED_NOW)
+    again = run_stages(s, _bronze(s, d), scratch_path(s, "run"), report_start=EMPTY_WINDOW)
+    tables = [T.read_table(s, p) for r in (res, again) for p in r["gold"].values()]
+    held = [df.select(F.lit(1)) for df in [*tables, *S.read_store(s, f"{out}/serving").values()]]
+    rows = held[0]
+    for df in held[1:]:
+        rows = rows.unionAll(df)
+    log = T.read_table(s, f"{out}/pipeline_runs").select("source", "records_fetched", "records_loaded", "status", "warning", "error")
+    return log.crossJoin(rows.agg(F.count("*").alias("rows"))).withColumn("tables", F.lit(len(held)))  # one row each
+
+
+register(
+    "run_pipeline_empty_window",
+    with_base(f"""SELECT {q(SOURCE)} AS source, count(*) AS records_fetched, CAST(0 AS BIGINT) AS records_loaded,
+  'success' AS status, 'No records found for requested date window.' AS warning, CAST(NULL AS VARCHAR) AS error,
+  CAST(0 AS BIGINT) AS rows, 26 AS "tables" FROM fx"""),
+)(_run_empty_window)
+
+
 def _run_without_meta(s, d):
     """Documents without metadata announce nothing and are read in full."""
     from .stages import run_stages
@@ -1026,6 +1129,54 @@ _INCR_CTES = (
 )
 register("incremental_refresh", with_base("SELECT * FROM scored2", _INCR_CTES))(_incremental)
 
+
+
+def _firm_counts(s, d):
+    """The records per firm that two drops leave, maintained by deltas."""
+    from ..streaming.incremental import counts_path, incremental_refresh
+
+    land, served, ckpt = scratch_path(s, "landing"), scratch_path(s, "served"), scratch_path(s, "stream-ckpt")
+    r = records(s, d)
+    for k, drop in enumerate((r, _corrections(r))):
+        B.write_bronze(drop, f"{land}/drop-{k}", BRONZE_META)
+        incremental_refresh(s, f"{land}/*", served, ckpt, history=True)
+    return T.read_table(s, counts_path(served))
+
+
+register(
+    "incremental_firm_counts",
+    with_base("SELECT recalling_firm_clean, count(*) AS n FROM silver2d GROUP BY 1", _INCR_CTES),
+)(_firm_counts)
+
+
+
+def _maintained(name: str):
+    def run(s, d):
+        """A gold table kept up to date over two drops, never rebuilt."""
+        from ..streaming.incremental import incremental_refresh, maintained_gold
+
+        land, served, ckpt = scratch_path(s, "landing"), scratch_path(s, "served"), scratch_path(s, "stream-ckpt")
+        r = records(s, d)
+        for k, drop in enumerate((r, _corrections(r))):
+            B.write_bronze(drop, f"{land}/drop-{k}", BRONZE_META)
+            incremental_refresh(s, f"{land}/*", served, ckpt, history=True, gold=True)
+        return maintained_gold(s, served)[name]
+
+    return run
+
+
+register(
+    "build_gold_incremental_company_risk",
+    with_base(COMPANY_RISK_SQL.replace("scored", "scored2"), _INCR_CTES),
+)(_maintained("company_risk"))
+register(
+    "build_gold_incremental_geographic",
+    with_base(
+        "SELECT state, country, count(*) AS total_recalls, avg(risk_score) AS avg_risk_score FROM scored2 GROUP BY state, country",
+        _INCR_CTES,
+    ),
+)(_maintained("geographic_recall_summary"))
+
 # ============================================ single-pass gold summaries
 register("summary_sets_company_risk", with_base(COMPANY_RISK_SQL))(
     lambda s, d: gold.summary_from_sets(gold.summary_sets(scored(s, d)), "company_risk")

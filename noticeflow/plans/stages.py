@@ -7,6 +7,8 @@ cut - a lost executor recomputes from the last written table.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import gold, quality
@@ -15,22 +17,27 @@ from ..operators.scoring import score_recalls
 from ..operators.silver import silver_projection
 from ..schemas import SERVING_TABLES
 from ..sources import bronze, serving
-from ..sources.tables import read_table, remove_path, write_table
+from ..sources.tables import Run, read_table, remove_path, write_table
 
 
 def bronze_to_silver(
     spark: SparkSession,
     bronze_path,
     silver_path: str,
-    multiline: bool = False,
+    multiline: bool | None = None,
     report_start: str | None = None,
     report_end: str | None = None,
 ) -> DataFrame:
     """Read bronze documents, project to silver (optionally keeping a
-    report-date window), write Parquet; returns the written table."""
-    silver = filter_report_date(silver_projection(bronze.read_bronze(spark, bronze_path, multiline)), report_start, report_end)
+    report-date window), write Parquet; returns the written table. A document
+    that cannot be read is an error."""
+    return write_silver(bronze.read_bronze(spark, bronze_path, multiline), silver_path, report_start, report_end)
+
+
+def write_silver(records: DataFrame, silver_path: str, report_start: str | None = None, report_end: str | None = None) -> DataFrame:
+    silver = filter_report_date(silver_projection(records), report_start, report_end)
     write_table(silver, silver_path)
-    return read_table(spark, silver_path)
+    return read_table(silver.sparkSession, silver_path)
 
 
 def build_gold(spark: SparkSession, scored_path: str, gold_dir: str) -> dict[str, str]:
@@ -45,8 +52,9 @@ def build_gold(spark: SparkSession, scored_path: str, gold_dir: str) -> dict[str
     base = gold_dir.rstrip("/")
     sets_path = f"{base}/_summary_sets"
     # By summary, so that each table reads its own rows only.
-    write_table(gold.summary_sets(read_table(spark, scored_path)), sets_path, partition_by=["_set"])
-    sets = read_table(spark, sets_path)
+    summary = gold.summary_sets(read_table(spark, scored_path))
+    write_table(summary, sets_path, partition_by=["_set"])
+    sets = spark.read.schema(summary.schema).parquet(sets_path)  # without rows there is no file to tell it
     paths = {name: f"{base}/{name}" for name in gold.SUMMARY_SETS}
     writes = [(gold.summary_from_sets(sets, name), paths[name]) for name in gold.SUMMARY_SETS]
     paths["open_recall_aging"] = f"{base}/open_recall_aging"
@@ -87,48 +95,77 @@ def run_stages(
     load: bool = False,
     replace: bool = False,
     tables: list[str] | None = None,
-    multiline: bool = False,
+    multiline: bool | None = None,
     now=None,
     archives: bool = False,
+    on_loss: str = "error",
 ) -> dict:
     """The full batch run. It ends early, as success, only if every document
     announces exactly 0 records; documents without that number are read.
-    The documents' warning is passed on to the result and the run log.
-    ``archives`` takes ``bronze_path`` as a folder of ZIP exports."""
+    A window that holds no record gives empty tables and a warning. The
+    documents' warning is passed on to the result and the run log.
+    ``archives`` takes ``bronze_path`` as a folder of ZIP exports.
+
+    Documents are parsed once; unreadable ones go to ``<out_dir>/rejects``
+    and are an error, or with ``on_loss="warn"`` a warning. With ``load`` the serving
+    tables and the row of the run log become current in one commit; a
+    failed run changes no table and is logged with its error.
+    """
     base = out_dir.rstrip("/")
+    args = (report_start, report_end, load, replace, tables, multiline, now, archives, on_loss)
+    started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    try:
+        return _run(spark, bronze_path, base, started, *args)
+    except Exception as e:
+        if load:
+            serving.append_run_log(
+                spark, f"{base}/pipeline_runs", None, bronze_path, None, 0, "failed", error=f"{type(e).__name__}: {e}"[:2000],
+                started_at=started,
+            )
+        raise
+
+
+def _run(spark, bronze_path, base, started, report_start, report_end, load, replace, tables, multiline, now, archives, on_loss):
+    run = Run(spark, f"{base}/serving")
+    log = lambda *args: serving.append_run_log(
+        spark, f"{base}/pipeline_runs", source, bronze_path, *args, started_at=started, run=run
+    )
     documents_path = bronze.unpack_archives(spark, bronze_path) if archives else bronze_path
-    summary = bronze.meta_summary(spark, documents_path, multiline)
-    source, warning, fetched = summary["source"], summary["warning"], summary["records_fetched"]
-    if summary["announces_nothing"]:
-        warning = warning or EMPTY_WARNING
+    landed = bronze.land_bronze(spark, documents_path, False if archives else multiline, on_loss, f"{base}/rejects")
+    if archives:
+        remove_path(spark, documents_path)
+    source, fetched = landed.source, landed.announced
+    warnings = [w for w in (landed.warning, landed.loss) if w]
+    result = {"status": "success", "bronze_path": bronze_path, "records_fetched": fetched, "loaded": {}}
+    if landed.announces_nothing:
+        warning = "; ".join(warnings) or EMPTY_WARNING
         if load:
-            serving.append_run_log(spark, f"{base}/pipeline_runs", source, bronze_path, 0, 0, "success", warning)
-        return {"status": "success", "bronze_path": bronze_path, "records_fetched": 0, "loaded": {}, "warning": warning}
+            log(0, 0, "success", warning)
+            run.commit()
+        landed.discard()
+        return result | {"records_fetched": 0, "warning": warning}
 
     silver_path, scored_path = f"{base}/silver", f"{base}/scored"
     # The report-date window is applied before silver is written (one write,
     # the same table as writing everything and rewriting it filtered).
-    silver = bronze_to_silver(spark, documents_path, silver_path, multiline, report_start, report_end)
+    silver = write_silver(landed.records, silver_path, report_start, report_end)
+    landed.discard()
+    if silver.isEmpty():
+        warnings.append(EMPTY_WARNING)
+    warning = "; ".join(warnings) or None
     write_table(quality.dq_report(silver), f"{base}/data_quality_report")
     write_table(score_recalls(silver), scored_path)
     gold_paths = build_gold(spark, scored_path, f"{base}/gold")
-    loaded = {}
     if load:
         counts = serving.load_tables(
-            spark, serving_sources(spark, scored_path, gold_paths), f"{base}/serving", tables, replace, now
-        )
-        loaded = {r["table"]: r["loaded"] for r in counts.collect()}
-        serving.append_run_log(
-            spark, f"{base}/pipeline_runs", source, bronze_path, fetched, loaded.get("recalls", 0), "success", warning
+            spark, serving_sources(spark, scored_path, gold_paths), f"{base}/serving", tables, replace, now, run
         )
-    if archives:
-        remove_path(spark, documents_path)
-    return {
-        "status": "success", "bronze_path": bronze_path, "records_fetched": fetched,
-        "loaded": loaded, "warning": warning, "scored_path": scored_path, "gold": gold_paths,
-    }
+        result["loaded"] = {r["table"]: r["loaded"] for r in counts.collect()}
+        log(fetched, result["loaded"].get("recalls", 0), "success", warning)
+        run.commit()
+    return result | {"warning": warning, "scored_path": scored_path, "gold": gold_paths}
 
 
-def refresh_stages(spark: SparkSession, bronze_path: str, out_dir: str, multiline: bool = False) -> dict:
+def refresh_stages(spark: SparkSession, bronze_path: str, out_dir: str, multiline: bool | None = None) -> dict:
     """Rebuild silver, quality, scores and gold with no date window and no load."""
     return run_stages(spark, bronze_path, out_dir, multiline=multiline)

@@ -1,29 +1,136 @@
 """Bronze sources: landed JSON documents ``{meta, results[]}`` and ZIP exports.
 
-Documents are read with an explicit schema. A multiline JSON file is one
-split (one task), so writers here produce *JSON Lines* documents of
-bounded size instead (one document per line, many per file), which Spark
-splits freely; ``multiline=True`` reads the single-document layout.
+Documents come as *JSON Lines* (one document per line, many per file), which
+Spark splits freely, or as one document per file over many lines
+(pretty-printed). The layout is found out, not assumed. A multi-line file is one
+split (one task), so writers here produce JSON Lines documents of bounded size.
+
+Nothing is lost silently. A line or file that is no whole document - cut off,
+followed by something else, of other types, without ``meta`` and ``results`` - is
+a *reject*: :func:`read_bronze` fails on it, :func:`land_bronze` reads
+everything in one parse, keeps rejects with their file and text, and compares the
+records that documents announce with those they hold.
 """
 
 from __future__ import annotations
 
 import io
 import json
+import logging
+import uuid
 import zipfile
+from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions import dates
-from ..schemas import BRONZE_DOCUMENT, RECORD_FIELDS
+from ..schemas import BRONZE_DOCUMENT, META, RECORD, RECORD_FIELDS
 from ..session import scratch_path, ship_package
-from .tables import qualified_path
+from .tables import _hadoop_fs, qualified_path, remove_path, write_table
+
+_LOG = logging.getLogger(__name__)
+
+#: Metadata is read as text and cast, so that a number written as text makes
+#: no document unreadable.
+_META_TEXT = StructType([StructField(f.name, StringType(), True) for f in META])
+_DOCUMENTS = StructType([
+    StructField("d", ArrayType(StructType([StructField("meta", _META_TEXT), StructField("results", ArrayType(RECORD))]))),
+    StructField("_corrupt", StringType()),
+])
+#: What the layout test reads: so many files, so many bytes of each.
+PEEK_FILES, PEEK_BYTES = 16, 1 << 16
+REJECT_COLUMNS = "file string, reason string, text string"
+
+
+class LostRecords(RuntimeError):
+    """Documents could not be read, or hold fewer records than they announce."""
+
+
+def _typed_meta(meta):
+    strings = ArrayType(StringType())
+    return F.when(meta.isNotNull(), F.struct(*[
+        (F.from_json(meta[f.name], strings) if f.dataType == strings else meta[f.name].try_cast(f.dataType)).alias(f.name)
+        for f in META
+    ]))
+
+
+def parse_documents(lines: DataFrame) -> DataFrame:
+    """(file, text) of lines or whole files -> (file, text, reason, meta,
+    results): ``reason`` says why a text is no document, else it is null. Blank texts
+    are dropped."""
+    text = F.regexp_replace("text", "^\ufeff", "")
+    # As the one element of an array: what follows a document is then an error
+    # instead of being passed over.
+    wrapped = F.concat(F.lit('{"d":['), text, F.lit("\n]}"))
+    parsed = F.from_json(wrapped, _DOCUMENTS, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    blank = ~F.col("text").rlike(r"[^\ufeff\s]")
+    out = lines.filter(~blank).withColumn("p", parsed)
+    document = F.get("p.d", F.lit(0))
+    # Filters may be evaluated in any order: a blank text has no reason either.
+    reason = F.when(blank, F.lit(None)).when(F.col("p._corrupt").isNotNull() | F.col("p").isNull(), F.lit("no whole JSON document")).when(
+        (F.size("p.d") != 1) | document.isNull() | (document["meta"].isNull() & document["results"].isNull()),
+        F.lit("not one object with meta or results"),
+    )
+    return out.select(
+        "file", "text", reason.alias("reason"), _typed_meta(document["meta"]).alias("meta"), document["results"].alias("results")
+    )
 
 
-def read_bronze_documents(spark: SparkSession, path, multiline: bool = False) -> DataFrame:
-    return spark.read.schema(BRONZE_DOCUMENT).option("multiLine", multiline).json(path)
+def _texts(reader, path, multiline: bool) -> DataFrame:
+    """(file, text) of every line, or of every file."""
+    return reader.option("wholetext", multiline).format("text").load(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("value").alias("text")
+    )
+
+
+def find_layout(spark: SparkSession, path) -> bool:
+    """True if the files at ``path`` hold one document over many lines each,
+    judged by the first lines of up to PEEK_FILES files spread over the listing:
+    no line of any of them is a document. Files of another layout than the
+    others are rejects later, not lost."""
+    files = sorted(spark.read.format("text").load(path).inputFiles())
+    step = max(1, -(-len(files) // PEEK_FILES))
+    return bool(files) and all(not _has_document_line(spark, f) for f in files[::step])
+
+
+def _has_document_line(spark: SparkSession, file: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    fs, _ = _hadoop_fs(spark, file)
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file)))
+    try:
+        head = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(
+            jvm.org.apache.commons.io.input.BoundedInputStream(stream, PEEK_BYTES)
+        )).decode("utf-8", "replace")
+    finally:
+        stream.close()
+    lines = [x for x in head.lstrip("\ufeff").split("\n") if x.strip()]
+    if len(lines) <= 1:  # one line, or a first line longer than what was read
+        return True
+    for line in lines:
+        try:
+            value = json.loads(line)
+        except ValueError:
+            continue
+        if isinstance(value, dict) and value.keys() & {"meta", "results"}:
+            return True
+    return False
+
+
+def read_bronze_documents(spark: SparkSession, path, multiline: bool | None = None, strict: bool = True) -> DataFrame:
+    """(meta, results) of every document. ``multiline`` None finds the layout
+    out. A text that is no document fails the query, or with
+    ``strict=False`` gives no row."""
+    if multiline is None:
+        multiline = find_layout(spark, path)
+    parsed = parse_documents(_texts(spark.read, path, multiline))
+    if not strict:
+        return parsed.filter("reason is null").select("meta", "results")
+    complaint = F.concat(F.lit("unreadable document ("), "reason", F.lit(") in "), "file", F.lit(": "), F.substring("text", 1, 200))
+    checked = F.when(F.col("reason").isNotNull(), F.raise_error(complaint).cast(BRONZE_DOCUMENT["results"].dataType))
+    return parsed.select("meta", checked.otherwise(F.col("results")).alias("results"))
 
 
 def explode_records(documents: DataFrame) -> DataFrame:
@@ -33,8 +140,10 @@ def explode_records(documents: DataFrame) -> DataFrame:
     )
 
 
-def read_bronze(spark: SparkSession, path, multiline: bool = False, repartition: int | None = None) -> DataFrame:
-    """Bronze document(s) -> 19 flat string fields, one row per record.
+def read_bronze(spark: SparkSession, path, multiline: bool | None = None, repartition: int | None = None) -> DataFrame:
+    """Bronze document(s) -> 19 flat string fields, one row per record. A
+    document that cannot be read fails the query; :func:`land_bronze` puts it
+    aside instead.
 
     ``repartition`` spreads records after the explode, for inputs made of
     a few very large multiline files (each of which is a single task).
@@ -43,7 +152,132 @@ def read_bronze(spark: SparkSession, path, multiline: bool = False, repartition:
     return out.repartition(repartition) if repartition else out
 
 
-def bronze_meta(spark: SparkSession, path, multiline: bool = False) -> DataFrame:
+@dataclass
+class Landed:
+    """What one parse of landed documents found."""
+
+    records: DataFrame  # 19 flat string fields
+    rejects: DataFrame  # file, reason, text
+    documents: int
+    rejected: int
+    announced: int  # as the documents say; what they hold where they do not
+    held: int
+    source: str | None
+    warning: str | None
+    announces_nothing: bool
+    paths: list[str]
+
+    @property
+    def loss(self) -> str | None:
+        """What is missing, in words."""
+        said = []
+        if self.rejected:
+            files = ", ".join(sorted(r["file"] for r in self.rejects.select("file").distinct().limit(5).collect()))
+            said.append(f"{self.rejected} unreadable document(s), in {files}")
+        if self.held < self.announced:
+            said.append(f"{self.announced} records announced, {self.held} read")
+        return "; ".join(said) or None
+
+    def discard(self) -> None:
+        """Delete the written parse, once what was made of it is written."""
+        for path in self.paths:
+            remove_path(self.records.sparkSession, path)
+
+
+_PARSED = StructType([StructField("kind", StringType()), StructField("announced", META["records_fetched"].dataType),
+                      StructField("held", META["records_fetched"].dataType), StructField("source", StringType()),
+                      StructField("warning", StringType()), StructField("reason", StringType()),
+                      StructField("text", StringType()), StructField("r", RECORD)])
+
+
+def _tagged(kind: str, **values):
+    return F.struct(*[
+        (F.lit(kind) if f.name == "kind" else values.get(f.name, F.lit(None))).cast(f.dataType).alias(f.name) for f in _PARSED
+    ])
+
+
+def _write_parsed(texts: DataFrame, path: str) -> dict:
+    """Parse once: a row for every document, record and reject is written,
+    and the counts are observed on the way."""
+    held = F.coalesce(F.array_size("results"), F.lit(0)).cast("long")
+    parsed = parse_documents(texts).withColumn("held", held).withColumn(
+        "announced", F.when(F.col("reason").isNull(), F.coalesce("meta.records_fetched", "held"))
+    )
+    seen = Observation(f"bronze-{uuid.uuid4().hex[:8]}")
+    good = F.col("reason").isNull()
+    parsed = parsed.observe(
+        seen, F.count_if(good).alias("documents"), F.count_if(~good).alias("rejected"), F.sum("announced").alias("announced"),
+        F.sum(F.when(good, F.col("held"))).alias("held"), F.min("meta.source").alias("source"),
+        F.min("meta.warning").alias("warning"),
+        F.count_if(good & ~F.coalesce(F.col("meta.records_fetched") == 0, F.lit(False))).alias("with_records"),
+    )
+    document = _tagged("document", announced=F.col("announced"), held=F.col("held"), source=F.col("meta.source"),
+                       warning=F.col("meta.warning"))
+    records = F.transform(F.coalesce("results", F.array().cast(ArrayType(RECORD))), lambda r: _tagged("record", r=r))
+    reject = _tagged("reject", reason=F.col("reason"), text=F.col("text"))
+    parsed.select("file", F.explode(F.when(good, F.concat(F.array(document), records)).otherwise(F.array(reject))).alias("x")).select(
+        "file", "x.*"
+    ).write.parquet(path)
+    return {k: v or 0 if k not in ("source", "warning") else v for k, v in seen.get.items()}
+
+
+def land_texts(spark: SparkSession, texts: DataFrame, whole: bool, on_loss: str = "error", rejects_path: str | None = None) -> Landed:
+    """Parse (file, text) once into scratch. Files of which no line is a
+    document are read again, each as one document (unless ``whole`` texts were given)."""
+    if on_loss not in ("error", "warn"):
+        raise ValueError(f"on_loss is 'error' or 'warn', not {on_loss!r}")
+    schema = StructType([StructField("file", StringType()), *_PARSED.fields])
+    path = scratch_path(spark, "landed")
+    seen, paths = _write_parsed(texts, path), [path]
+    rows = spark.read.schema(schema).parquet(path)
+    if seen["rejected"] and not whole:
+        per_file = rows.groupBy("file").agg(
+            F.count_if(F.col("kind") == "document").alias("good"), F.count_if(F.col("kind") == "reject").alias("bad")
+        )
+        again = [r["file"] for r in per_file.filter("good = 0 and bad > 1").select("file").collect()]
+        if again:
+            path = scratch_path(spark, "landed")
+            more = _write_parsed(_texts(spark.read, again, True), path)
+            paths.append(path)
+            named = spark.createDataFrame([(f,) for f in again], "file string")
+            gone = rows.join(named, "file", "left_semi").filter("kind = 'reject'").count()
+            rows = rows.join(named, "file", "left_anti").unionByName(spark.read.schema(schema).parquet(path))
+            seen["rejected"] -= gone
+            for k in ("documents", "rejected", "announced", "held", "with_records"):
+                seen[k] += more[k]
+            for k in ("source", "warning"):
+                seen[k] = min((x for x in (seen[k], more[k]) if x is not None), default=None)
+    found = Landed(
+        rows.filter("kind = 'record'").select(*[F.col(f"r.{f}").alias(f) for f in RECORD_FIELDS]),
+        rows.filter("kind = 'reject'").select("file", "reason", "text"),
+        int(seen["documents"]), int(seen["rejected"]), int(seen["announced"]), int(seen["held"]), seen["source"], seen["warning"],
+        not seen["with_records"] and not seen["rejected"], paths,
+    )
+    if found.rejected and rejects_path:
+        write_table(found.rejects, rejects_path)
+    if found.loss:
+        if on_loss == "error":
+            raise LostRecords(found.loss)
+        _LOG.warning("bronze: %s", found.loss)
+    return found
+
+
+def land_bronze(
+    spark: SparkSession, path, multiline: bool | None = None, on_loss: str = "error", rejects_path: str | None = None
+) -> Landed:
+    """Read every document at ``path`` in one parse, whatever its layout:
+    records, rejects and counts (:class:`Landed`), in the shared scratch folder.
+
+    If documents could not be read, or hold fewer records than they announce,
+    that is an error (:class:`LostRecords`), or with ``on_loss="warn"`` a warning
+    and ``Landed.loss``. Rejects are written to ``rejects_path`` either way.
+    """
+    if multiline is None:
+        multiline = find_layout(spark, path)
+    return land_texts(spark, _texts(spark.read, path, multiline), multiline, on_loss, rejects_path)
+
+
+def bronze_meta(spark: SparkSession, path, multiline: bool | None = None) -> DataFrame:
     """Run metadata of each document."""
     return read_bronze_documents(spark, path, multiline).select("meta.*")
 
@@ -57,24 +291,6 @@ def records_fetched(meta: DataFrame) -> int | None:
     return None if row["unknown"] else int(row["n"] or 0)
 
 
-def meta_summary(spark: SparkSession, path, multiline: bool = False) -> dict:
-    """What the documents say about the run, in one pass: source and warning
-    (the first that is set), records_fetched (announced, or counted where a
-    document does not say) and whether all of them announce nothing."""
-    row = read_bronze_documents(spark, path, multiline).select(
-        "meta.source", "meta.warning", "meta.records_fetched", F.coalesce(F.size("results"), F.lit(0)).alias("held")
-    ).agg(
-        F.min("source").alias("source"),
-        F.min("warning").alias("warning"),
-        F.sum(F.coalesce("records_fetched", F.greatest("held", F.lit(0)))).alias("fetched"),
-        F.count_if(~F.coalesce(F.col("records_fetched") == 0, F.lit(False))).alias("with_records"),
-    ).first()
-    return {
-        "source": row["source"], "warning": row["warning"], "records_fetched": int(row["fetched"] or 0),
-        "announces_nothing": row["with_records"] == 0,
-    }
-
-
 def union_batches(*batches: DataFrame) -> DataFrame:
     """Concatenate pages / partitions of one source by column name; a column
     missing from a batch reads as NULL."""
@@ -148,13 +364,16 @@ def write_bronze(records: DataFrame, path: str, meta: dict | None = None, mode:
         spark.createDataFrame([(_doc_json(meta, []),)], "value string").write.mode("append").text(path)
 
 
-def _arrow_fs(uri: str):
-    """(pyarrow filesystem, path) of a qualified path."""
+def arrow_file_system(uri: str):
+    """(pyarrow file system, path) of a path as Spark qualifies it. Spark's
+    names of one store (s3a, s3n; abfss) are turned into pyarrow's."""
     from pyarrow import fs as pafs
 
     if uri.startswith("file:"):
         return pafs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
-    return pafs.FileSystem.from_uri(uri)
+    scheme, rest = uri.split("://", 1) if "://" in uri else ("", uri)
+    scheme = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}.get(scheme, scheme)
+    return pafs.FileSystem.from_uri(f"{scheme}://{rest}" if scheme else uri)
 
 
 def _zip_batches(batches, base: str, meta: dict):
@@ -162,7 +381,7 @@ def _zip_batches(batches, base: str, meta: dict):
 
     ctx = TaskContext.get()
     pid, attempt = ctx.partitionId(), ctx.attemptNumber()
-    filesystem, root = _arrow_fs(base)
+    filesystem, root = arrow_file_system(base)
     filesystem.create_dir(root, recursive=True)
     for i, pdf in enumerate(batches):
         if not len(pdf):
@@ -260,14 +479,13 @@ def _json_values(stream, chunk: int = 1 << 20):
 def _unzip_batches(batches):
     for pdf in batches:
         for path in pdf["path"]:
-            filesystem, name = _arrow_fs(path)
+            filesystem, name = arrow_file_system(path)
             with filesystem.open_input_file(name) as raw, zipfile.ZipFile(raw) as zf:
                 members = [n for n in zf.namelist() if n.endswith(".json")]
                 if not members:
                     raise RuntimeError(f"No JSON file found inside {path}")
-                meta, held = "null", []
+                meta, held, total = "null", [], 0
                 with io.TextIOWrapper(zf.open(members[0]), encoding="utf-8") as stream:
-                    lines = 0
                     for key, value in _json_values(stream):
                         if key == "meta":
                             meta = value
@@ -275,9 +493,13 @@ def _unzip_batches(batches):
                             held.append(" ".join(value.splitlines()))
                             if len(held) == DOCUMENT_RECORDS:
                                 yield pd.DataFrame({"value": ['{"results":[' + ",".join(held) + "]}"]})
-                                held, lines = [], lines + 1
-                # The last line carries the metadata (a key may follow the results).
-                rest = " ".join(meta.splitlines())
+                                held, total = [], total + DOCUMENT_RECORDS
+                # The last line carries the metadata (a key may follow the
+                # results), and announces what the lines before do not hold.
+                rest = json.loads(meta)
+                if isinstance(rest, dict) and isinstance(rest.get("records_fetched"), int) and rest["records_fetched"]:
+                    rest["records_fetched"] -= total
+                rest = json.dumps(rest)
                 yield pd.DataFrame({"value": ['{"meta":' + rest + ',"results":[' + ",".join(held) + "]}"]})
 
 
@@ -289,8 +511,7 @@ def unpack_archives(spark: SparkSession, directory: str) -> str:
 
     Tasks get *paths* and stream: neither an archive nor a document is ever
     held whole, and the result is split by lines, so a single huge export
-    is read by many tasks afterwards. Announced record counts of the lines
-    without metadata are unknown.
+    is read by many tasks afterwards.
     """
     ship_package(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(directory)

@@ -1,9 +1,17 @@
 """Serving sinks: keyed upsert, replace load, multi-table load, run log.
 
 The serving store is a set of Parquet tables under one directory. An
-upsert is one plan - fill keys, de-duplicate the batch, anti-join the
-target, union - written beside the table and made current by one commit
-(see ``tables``), so a job that dies anywhere leaves the old table.
+upsert is one plan - fill keys, de-duplicate the batch, anti-join the part of
+the target that can hold its keys, union - written beside the table and made
+current by one commit (see ``tables``), so a job that dies anywhere leaves the
+old table. All tables of a load, and its row in the run log, become current
+together (``tables.Run``).
+
+Tables without a partition column of their own are kept in hash buckets of
+their keys, so that an upsert reads and rewrites the buckets of its keys only.
+Primary keys are proven where rows are written: on the touched partitions or
+buckets, before the commit, which then records what it knows. A table whose
+newest commit does not is checked as a whole, once.
 """
 
 from __future__ import annotations
@@ -19,16 +27,23 @@ from ..functions import dates, rules, text
 from ..operators.partitioning import checked_broadcast
 from ..schemas import RUN_LOG, SERVING_TABLES
 from .tables import (
+    Run,
+    _scan,
     commit,
+    committed_append,
     committed_write,
     current_commit,
     new_version,
     partition_dirs,
-    path_exists,
     read_table,
+    table_exists,
     write_clustered,
 )
 
+#: Hidden column of tables kept in hash buckets, and their usual size in rows.
+BUCKET = "_bucket"
+BUCKET_ROWS, MOST_BUCKETS = 250_000, 4096
+
 # ------------------------------------------------------------- row shaping
 
 
@@ -149,14 +164,128 @@ def _observed(df: DataFrame):
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], now=None) -> int:
-    """Upsert into the Parquet table at ``path``; returns the number of
-    *input* rows (not distinct keys). Rows are counted while the upsert is
-    written; an empty batch leaves the table's rows as they were."""
+class BrokenKey(RuntimeError):
+    """A write would break the primary key of its table; nothing was committed."""
+
+
+def prove_keys(rows: DataFrame, keys: list[str], name: str) -> None:
+    """Raise unless every row has its key and no key occurs twice."""
+    some_null = F.lit(False)
+    for k in keys:
+        some_null = some_null | F.col(k).isNull()
+    twice = rows.groupBy(*keys).agg(F.count("*").alias("_n")).agg(
+        F.count_if(some_null).alias("null_keys"), F.count_if((F.col("_n") > 1) & ~some_null).alias("duplicate_keys")
+    ).first()
+    if twice["null_keys"] or twice["duplicate_keys"]:
+        raise BrokenKey(f"primary key of {name} is broken: {twice.asDict()}")
+
+
+def _proven(state: dict | None, keys: list[str]) -> bool:
+    return state is not None and state.get("unique") == list(keys)
+
+
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def _buckets_for(rows: int) -> int:
+    """A power of two that keeps buckets near BUCKET_ROWS."""
+    return min(MOST_BUCKETS, 1 << max(0, -(-rows // BUCKET_ROWS) - 1).bit_length())
+
+
+def _write_bucketed(rows: DataFrame, path: str, keys: list[str], buckets: int, run: Run | None) -> None:
+    """The whole table anew, in ``buckets`` buckets."""
+    prove_keys(rows.select(*keys), keys, path)
+    bucketed = rows.withColumn(BUCKET, bucket_of(keys, buckets))
+    committed_write(bucketed, path, BUCKET, run, {"hidden": [BUCKET], "buckets": buckets, "unique": list(keys)})
+
+
+def upsert_table(
+    spark: SparkSession, path: str, updates: DataFrame, keys: list[str], now=None, buckets: int | None = None,
+    run: Run | None = None,
+) -> int:
+    """Upsert into the Parquet table at ``path``, kept in hash buckets of its
+    keys: only the buckets that hold a key of the batch are read, joined and
+    rewritten. Returns the number of *input* rows (not distinct keys), counted
+    while the batch is built. An empty batch leaves the table's rows as they
+    were. ``buckets`` is fixed when a table is first written (default: by its
+    rows, BUCKET_ROWS each) and changed by :func:`rebucket`; a table in another layout
+    is written anew once."""
     counted, obs = _observed(updates)
-    target = read_table(spark, path) if path_exists(spark, path) else None
-    committed_write(keyed_upsert(target, counted, keys, now), path)
-    return int(obs.get.get("rows", 0))
+    batch = keyed_upsert(None, counted, keys, now).persist()
+    try:
+        n_batch = batch.count()
+        state = current_commit(spark, path)
+        if state is None or state.get("buckets") is None or not _proven(state, keys):
+            target = _scan(spark, path, state) if table_exists(spark, path) else None
+            if target is not None:
+                prove_keys(target.select(*keys), keys, path)
+                target = target.withColumn("updated_at", F.lit(None).cast("timestamp")) if "updated_at" not in target.columns else target
+            rows = batch if target is None else target.join(
+                checked_broadcast(batch.select(*keys)), keys, "left_anti"
+            ).unionByName(batch, allowMissingColumns=True)
+            n_all = n_batch if target is None else target.count() + n_batch
+            _write_bucketed(rows, path, keys, buckets or _buckets_for(n_all), run)
+            return int(obs.get.get("rows", 0))
+        bucketed = batch.withColumn(BUCKET, bucket_of(keys, state["buckets"]))
+        touched = {f"{BUCKET}={r[0]}" for r in bucketed.select(BUCKET).distinct().collect()}  # at most MOST_BUCKETS
+        mine = [d for d in state["dirs"] if d.split("/")[-1] in touched]
+        current = _scan(spark, path, state | {"dirs": mine}, hidden=True)
+        kept = current.join(checked_broadcast(batch.select(*keys)), keys, "left_anti")
+        _commit_part(spark, path, kept.unionByName(bucketed, allowMissingColumns=True), BUCKET, keys,
+                     [d for d in state["dirs"] if d not in mine], run, {"hidden": [BUCKET], "buckets": state["buckets"]})
+        return int(obs.get.get("rows", 0))
+    finally:
+        batch.unpersist()
+
+
+def add_to_table(
+    spark: SparkSession, path: str, deltas: DataFrame, keys: list[str], buckets: int | None = None, run: Run | None = None
+) -> None:
+    """Add signed ``deltas`` (keys, and columns to add up) to a keyed table of
+    sums kept in hash buckets; only the deltas' buckets are read and rewritten. A
+    key whose sums are all 0 goes. Keys may be null."""
+    sums = [c for c in deltas.columns if c not in keys]
+    totals = [F.sum(c).cast(deltas.schema[c].dataType).alias(c) for c in sums]
+    some = F.lit(False)
+    for c in sums:
+        some = some | (F.col(c) != 0)
+    batch = deltas.groupBy(*keys).agg(*totals).filter(some).persist()
+    try:
+        state = current_commit(spark, path)
+        n = state["buckets"] if state else buckets or _buckets_for(batch.count())
+        facts = {"hidden": [BUCKET], "buckets": n}
+        bucketed = batch.withColumn(BUCKET, bucket_of(keys, n))
+        if state is None:
+            return committed_write(bucketed, path, BUCKET, run, facts)
+        touched = {f"{BUCKET}={r[0]}" for r in bucketed.select(BUCKET).distinct().collect()}  # at most MOST_BUCKETS
+        mine = [d for d in state["dirs"] if d.split("/")[-1] in touched]
+        both = _scan(spark, path, state | {"dirs": mine}, hidden=True).unionByName(bucketed)
+        version = new_version()
+        write_clustered(both.groupBy(BUCKET, *keys).agg(*totals).filter(some).select(*bucketed.columns),
+                        f"{path.rstrip('/')}/{version}", BUCKET)
+        others = [d for d in state["dirs"] if d not in mine]
+        commit(spark, path, bucketed.schema, others + partition_dirs(spark, path, version), run, facts)
+    finally:
+        batch.unpersist()
+
+
+def rebucket(spark: SparkSession, path: str, keys: list[str], buckets: int | None = None) -> None:
+    """Write the table anew in another number of buckets (default: by its rows)."""
+    rows = read_table(spark, path)
+    _write_bucketed(rows, path, keys, buckets or _buckets_for(rows.count()), None)
+
+
+def _commit_part(spark, path, rows, partition_col, keys, others, run, facts) -> None:
+    """Write the new contents of the touched partitions, prove their keys and
+    commit them beside the folders ``others``."""
+    version = new_version()
+    folder = f"{path.rstrip('/')}/{version}"
+    write_clustered(rows, folder, partition_col)
+    written = partition_dirs(spark, path, version)
+    if written:
+        prove_keys(spark.read.schema(rows.select(*keys).schema).parquet(folder), keys, path)
+    commit(spark, path, rows.schema, others + written, run, facts | {"unique": list(keys)})
 
 
 def partition_value(table: str) -> Column | None:
@@ -193,6 +322,8 @@ def upsert_partitioned(
     partition_expr: Column,
     now=None,
     assume_unique: bool = False,
+    run: Run | None = None,
+    replaced: DataFrame | None = None,
 ) -> int:
     """Keyed upsert into a table partitioned by ``partition_col`` (derived
     from each row by ``partition_expr``, never NULL) that rewrites only the
@@ -203,49 +334,56 @@ def upsert_partitioned(
     The touched partitions are listed on the driver (the commit file lists
     the table's partitions anyway), their new contents are written as a new
     version, and one commit replaces them together - a partition that ends
-    up empty is simply not named any more.
+    up empty is simply not named any more. A caller that has looked up the
+    rows the batch replaces gives them as ``replaced`` (with ``partition_col``).
     """
     counted, obs = _observed(updates)
     batch = keyed_upsert(None, counted, keys, now, assume_unique=assume_unique).withColumn(partition_col, partition_expr)
-    if not path_exists(spark, path):
-        committed_write(batch, path, partition_col)
+    if not table_exists(spark, path):
+        committed_write(batch, path, partition_col, run, {"unique": list(keys)})  # one row per key by construction
         return int(obs.get.get("rows", 0))
     batch = batch.persist()
     try:
-        target = read_table(spark, path)
         state = current_commit(spark, path)
+        target = _scan(spark, path, state)
         batch_keys = checked_broadcast(batch.select(*keys))
+        if not _proven(state, keys):
+            prove_keys(target.select(*keys), keys, path)
         if state is None:  # a plain folder becomes a committed table
             kept_rows = target.join(batch_keys, keys, "left_anti")
-            committed_write(kept_rows.unionByName(batch, allowMissingColumns=True), path, partition_col)
+            committed_write(
+                kept_rows.unionByName(batch, allowMissingColumns=True), path, partition_col, run, {"unique": list(keys)}
+            )
             return int(obs.get.get("rows", 0))
-        touched = touched_partitions(target, batch, batch_keys, keys, partition_col)
+        if replaced is None:
+            touched = touched_partitions(target, batch, batch_keys, keys, partition_col)
+        else:
+            touched = replaced.select(partition_col).unionByName(batch.select(partition_col)).distinct()
         parts = [r[0] for r in touched.collect()]
         # Literal IN list: the scan reads only the touched partitions.
         current = target.filter(F.col(partition_col).isin(parts))
         new_rows = current.join(batch_keys, keys, "left_anti").unionByName(batch, allowMissingColumns=True)
-        version = new_version()
-        write_clustered(new_rows, f"{path.rstrip('/')}/{version}", partition_col)
-        n = int(obs.get.get("rows", 0))
+        rewritten = {partition_dir(spark, partition_col, value) for value in parts}
+        kept = [d for d in state["dirs"] if d.split("/")[-1] not in rewritten]
+        _commit_part(spark, path, new_rows, partition_col, keys, kept, run, {})
+        return int(obs.get.get("rows", 0))
     finally:
         batch.unpersist()
-    replaced = {partition_dir(spark, partition_col, value) for value in parts}
-    kept = [d for d in state["dirs"] if d.split("/")[-1] not in replaced]
-    commit(spark, path, new_rows.schema, kept + partition_dirs(spark, path, version))
-    return n
 
 
 def replace_load(
-    spark: SparkSession, path: str, rows: DataFrame, keys: list[str], now=None, partition: tuple | None = None
+    spark: SparkSession, path: str, rows: DataFrame, keys: list[str], now=None, partition: tuple | None = None,
+    run: Run | None = None,
 ) -> int:
     """The table becomes exactly the (keyed) input, in one commit.
     ``partition`` = (column, expression) writes it partitioned."""
     counted, obs = _observed(rows)
     out = keyed_upsert(None, counted, keys, now)
+    facts = {"unique": list(keys)}  # one row per filled key by construction
     if partition:
-        committed_write(out.withColumn(partition[0], partition[1]), path, partition[0])
+        committed_write(out.withColumn(partition[0], partition[1]), path, partition[0], run, facts)
     else:
-        committed_write(out, path)
+        committed_write(out, path, None, run, facts)
     return int(obs.get.get("rows", 0))
 
 
@@ -256,14 +394,18 @@ def load_tables(
     tables: list[str] | None = None,
     replace: bool = False,
     now=None,
+    run: Run | None = None,
 ) -> DataFrame:
     """Load all eight serving tables (or a subset): fill the keys, keep one
     row per key, enforce the declared columns and types, write. Returns
-    (table, loaded) with the per-table input row counts. A table whose
-    result breaks its primary key is an error."""
+    (table, loaded) with the per-table input row counts. A write that would
+    break a primary key is an error. The tables become current together,
+    when all are written: by this call, or with ``run``, which the caller then
+    commits."""
     from concurrent.futures import ThreadPoolExecutor
 
     names = tables or list(SERVING_TABLES)
+    own = run or Run(spark, serving_dir)
 
     def load(name):
         path = f"{serving_dir.rstrip('/')}/{name}"
@@ -271,22 +413,39 @@ def load_tables(
         part = SERVING_TABLES[name].get("partition")
         rows = enforce_serving_schema(sources[name], name)
         if replace:
-            n = replace_load(spark, path, rows, keys, now, part and (part, partition_value(name)))
+            n = replace_load(spark, path, rows, keys, now, part and (part, partition_value(name)), own)
         elif part:
-            n = upsert_partitioned(spark, path, rows, keys, part, partition_value(name), now)
+            n = upsert_partitioned(spark, path, rows, keys, part, partition_value(name), now, run=own)
         else:
-            n = upsert_table(spark, path, rows, keys, now)
-        report = key_report(read_table(spark, path), name).first()
-        if report["null_keys"] or report["duplicate_keys"]:
-            raise RuntimeError(f"primary key of {name} is broken: {report.asDict()}")
+            n = upsert_table(spark, path, rows, keys, now, run=own)
         return name, n
 
     # Independent tables: submit the loads concurrently.
     with ThreadPoolExecutor(max_workers=len(names)) as pool:
         loaded = list(pool.map(load, names))
+    if run is None:
+        own.commit()
     return spark.createDataFrame(loaded, "table string, loaded long")
 
 
+def read_store(spark: SparkSession, serving_dir: str, tables: list[str] | None = None) -> dict[str, DataFrame]:
+    """The serving tables as one run left them: if a run becomes current
+    while they are looked up, they are looked up again."""
+    names = tables or list(SERVING_TABLES)
+    base = serving_dir.rstrip("/")
+
+    def look():
+        return {n: current_commit(spark, f"{base}/{n}") for n in names if table_exists(spark, f"{base}/{n}")}
+
+    def numbers(states):
+        return {n: s and s["number"] for n, s in states.items()}
+
+    states, again = look(), look()
+    while numbers(states) != numbers(again):
+        states, again = again, look()
+    return {n: _scan(spark, f"{base}/{n}", s) for n, s in states.items()}
+
+
 def append_run_log(
     spark: SparkSession,
     log_path: str,
@@ -299,12 +458,13 @@ def append_run_log(
     error: str | None = None,
     started_at: _dt.datetime | None = None,
     finished_at: _dt.datetime | None = None,
+    run: Run | None = None,
 ) -> None:
-    """Append one audit row (Parquet, append mode)."""
+    """Append one audit row, in a commit of its own or together with ``run``."""
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     row = (
-        uuid.uuid4().hex, started_at or now, finished_at or now, source, bronze_path,
+        run.id if run else uuid.uuid4().hex, started_at or now, finished_at or now, source, bronze_path,
         None if records_fetched is None else int(records_fetched),
         int(records_loaded or 0), status, warning, error,
     )
-    spark.createDataFrame([row], RUN_LOG).write.mode("append").parquet(log_path)
+    committed_append(spark.createDataFrame([row], RUN_LOG).coalesce(1), log_path, run)

@@ -15,6 +15,12 @@ from noticeflow.streaming import incremental as I
 KEYS = ["k"]
 
 
+@pytest.fixture(autouse=True)
+def nothing_retained(monkeypatch):
+    """Here a commit deletes what it replaces; test_snapshots.py has the rest."""
+    monkeypatch.setattr(T, "RETAIN_SECONDS", 0)
+
+
 def month():
     return F.date_format("report_date", "yyyy-MM")
 
