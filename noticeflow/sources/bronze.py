@@ -223,7 +223,8 @@ def _write_parsed(texts: DataFrame, path: str) -> dict:
 
 def land_texts(spark: SparkSession, texts: DataFrame, whole: bool, on_loss: str = "error", rejects_path: str | None = None) -> Landed:
     """Parse (file, text) once into scratch. Files of which no line is a
-    document are read again, each as one document (unless ``whole`` texts were given)."""
+    document, and some line does not even begin one, are read again, each as one
+    document (unless ``whole`` texts were given)."""
     if on_loss not in ("error", "warn"):
         raise ValueError(f"on_loss is 'error' or 'warn', not {on_loss!r}")
     schema = StructType([StructField("file", StringType()), *_PARSED.fields])
@@ -232,9 +233,11 @@ def land_texts(spark: SparkSession, texts: DataFrame, whole: bool, on_loss: str
     rows = spark.read.schema(schema).parquet(path)
     if seen["rejected"] and not whole:
         per_file = rows.groupBy("file").agg(
-            F.count_if(F.col("kind") == "document").alias("good"), F.count_if(F.col("kind") == "reject").alias("bad")
+            F.count_if(F.col("kind") == "document").alias("good"), F.count_if(F.col("kind") == "reject").alias("bad"),
+            F.count_if((F.col("kind") == "reject") & F.col("text").rlike(r'^[\ufeff\s]*\{\s*"')).alias("begun"),
         )
-        again = [r["file"] for r in per_file.filter("good = 0 and bad > 1").select("file").collect()]
+        # Where every line begins a document, the lines are documents (cut off).
+        again = [r["file"] for r in per_file.filter("good = 0 and bad > 1 and begun < bad").select("file").collect()]
         if again:
             path = scratch_path(spark, "landed")
             more = _write_parsed(_texts(spark.read, again, True), path)

@@ -48,7 +48,7 @@ def test_a_cut_line_is_a_reject_with_its_file_and_text(spark, tmp_uri):
 @pytest.mark.parametrize("files,records,rejects", [
     ({"p": PRETTY}, 2, 0), ({"p": PRETTY, "q": PRETTY}, 4, 0), ({"p": PRETTY, "x": GOOD}, 4, 0),
     ({"p": PRETTY[:-30], "x": GOOD}, 2, 1), ({"p": PRETTY[:-30]}, 0, 1), ({"p": "﻿" + PRETTY, "x": "﻿" + GOOD + "\r\n\n"}, 4, 0),
-    ({"x": GOOD + GOOD}, 0, 1), ({"x": GOOD + " junk"}, 0, 1), ({"x": GOOD + "," }, 0, 1), ({"x": "{}\n[]\nnull\n5"}, 0, 1),
+    ({"x": CUT + "\n" + CUT + "\n"}, 0, 2), ({"x": GOOD + GOOD}, 0, 1), ({"x": GOOD + " junk"}, 0, 1), ({"x": GOOD + "," }, 0, 1), ({"x": "{}\n[]\nnull\n5"}, 0, 1),
     ({"x": "{}\n" + GOOD}, 2, 1), ({"x": json.dumps(A) + "\n" + GOOD}, 2, 1), ({"x": ""}, 0, 0), ({"x": " \n\t\n"}, 0, 0),
     ({"x": json.dumps({"results": [1, A]}) + "\n" + GOOD}, 2, 1), ({"x": json.dumps({"meta": "text", "results": [A]}) + "\n" + GOOD}, 2, 1),
     ({"x": json.dumps({"meta": {"records_fetched": "1"}, "results": [A]})}, 1, 0),
