@@ -17,6 +17,7 @@ from __future__ import annotations
 import io
 import json
 import logging
+import re
 import uuid
 import zipfile
 from dataclasses import dataclass
@@ -42,7 +43,8 @@ _DOCUMENTS = StructType([
 ])
 #: What the layout test reads: so many files, so many bytes of each.
 PEEK_FILES, PEEK_BYTES = 16, 1 << 16
-REJECT_COLUMNS = "file string, reason string, text string"
+#: A line that begins a document, whole or not.
+_BEGINS = re.compile(r'^[\ufeff\s]*\{\s*"')
 
 
 class LostRecords(RuntimeError):
@@ -107,7 +109,7 @@ def _has_document_line(spark: SparkSession, file: str) -> bool:
     finally:
         stream.close()
     lines = [x for x in head.lstrip("\ufeff").split("\n") if x.strip()]
-    if len(lines) <= 1:  # one line, or a first line longer than what was read
+    if len(lines) <= 1 or all(_BEGINS.match(x) for x in lines):  # one (long) line, or documents all cut off
         return True
     for line in lines:
         try:
@@ -234,7 +236,7 @@ def land_texts(spark: SparkSession, texts: DataFrame, whole: bool, on_loss: str
     if seen["rejected"] and not whole:
         per_file = rows.groupBy("file").agg(
             F.count_if(F.col("kind") == "document").alias("good"), F.count_if(F.col("kind") == "reject").alias("bad"),
-            F.count_if((F.col("kind") == "reject") & F.col("text").rlike(r'^[\ufeff\s]*\{\s*"')).alias("begun"),
+            F.count_if((F.col("kind") == "reject") & F.col("text").rlike(_BEGINS.pattern)).alias("begun"),
         )
         # Where every line begins a document, the lines are documents (cut off).
         again = [r["file"] for r in per_file.filter("good = 0 and bad > 1 and begun < bad").select("file").collect()]
