@@ -6,9 +6,11 @@ every 4 bytes) are max-pooled; a document's pooled chunks are combined by
 their mean and their maximum into one logistic probability. Only bytes go
 in: no label, language, source or id.
 
-The network is trained on a bounded, hashed sample of labelled documents
-(``SAMPLE_ROWS`` per class, ``SAMPLE_CHUNKS`` evenly spaced chunks of each);
-scoring reads every byte of every document.
+The network is trained on a bounded, hashed sample of labelled documents: in
+the order of a hash, up to ``SAMPLE_ROWS`` per class and as many as have
+``SAMPLE_BYTES`` bytes together (a document that does not fit in is passed
+over). Every byte of a sampled document is learned from, and scoring reads every
+byte of every document, a long one in stretches of ``STRETCH`` chunks.
 """
 
 from __future__ import annotations
@@ -21,8 +23,10 @@ from pyspark.sql import functions as F
 from . import textnp as T
 from .common import ready
 
-#: Training sample: documents per class, and chunks per document.
-SAMPLE_ROWS, SAMPLE_CHUNKS = 2000, 24
+#: Training sample of whole documents: number and bytes, per class.
+SAMPLE_ROWS, SAMPLE_BYTES = 2000, 12 << 20
+#: Chunks that are pooled at a time.
+STRETCH = 512
 
 STEP = 4  # bytes per block; a filter spans two blocks
 CHUNK = 128  # blocks per chunk
@@ -81,10 +85,34 @@ class ByteCnn:
             [np.add.reduceat(best, at, axis=0) / n_chunks[:, None], np.maximum.reduceat(best, at, axis=0)], axis=1
         ).astype(np.float32)
 
+    def pooled_long(self, data: np.ndarray) -> np.ndarray:
+        """``pooled`` of one long document, chunk by chunk: each stretch of
+        chunks is a document of its own up to the block after its last chunk."""
+        hop = CHUNK - OVERLAP
+        n_blocks = -(-len(data) // STEP)
+        n_chunks = 1 + max(0, -(-(n_blocks - CHUNK) // hop))
+        total, top, p = np.zeros(FILTERS), np.zeros(FILTERS, np.float32), self.p
+        for k in range(0, n_chunks, STRETCH):
+            m = min(STRETCH, n_chunks - k)
+            part = data[k * hop * STEP : ((k + m - 1) * hop + CHUNK + 1) * STEP]
+            body = min((m - 1) * hop + CHUNK, n_blocks - k * hop)
+            padded = np.full((body + 1) * STEP, PAD, np.int16)
+            padded[: len(part)] = part
+            blocks = p["embed"][padded].reshape(-1, STEP * EMBED)
+            acts = np.maximum(blocks[:-1] @ p["near"] + blocks[1:] @ p["far"] + p["bias"], 0)
+            best = np.stack([acts[b : b + CHUNK].max(axis=0) for b in range(0, m * hop, hop)])
+            total += best.sum(axis=0)
+            top = np.maximum(top, best.max(axis=0))
+        return np.concatenate([total / n_chunks, top]).astype(np.float32)[None]
+
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         if len(offsets) < 2:
             return np.zeros(0)
-        z = ((self.pooled(data, offsets) - self.mean) / self.scale) @ self.p["out"] + self.p["shift"]
+        if len(offsets) == 2 and len(data) > STRETCH * CHUNK * STEP:
+            features = self.pooled_long(data)
+        else:
+            features = self.pooled(data, offsets)
+        z = ((features - self.mean) / self.scale) @ self.p["out"] + self.p["shift"]
         return 1 / (1 + np.exp(-z.astype(np.float64)))
 
     def train(self, texts: list[list[bytes]], labels: np.ndarray, epochs: int = 8, batch: int = 32, rate: float = 4e-3,
@@ -153,22 +181,11 @@ class ByteCnn:
         return grads
 
 
-def sample_chunks(raw: bytes, most: int) -> list[bytes]:
-    """At most ``most`` evenly spaced chunks of a text, as scoring cuts them."""
+def chunks_of(raw: bytes) -> list[bytes]:
+    """The chunks of a text, as scoring cuts them."""
     hop, size = (CHUNK - OVERLAP) * STEP, CHUNK * STEP + STEP
     n = 1 + max(0, -(-(len(raw) - CHUNK * STEP) // hop))
-    picks = range(n) if n <= most else np.unique(np.linspace(0, n - 1, most).astype(int)).tolist()
-    return [raw[k * hop : k * hop + size] for k in picks]
-
-
-def _sample(batches):
-    for batch in batches:
-        for rows in T.pieces(batch, "text"):
-            found = [sample_chunks((t or "").encode(), SAMPLE_CHUNKS) for t in rows.column("text").to_pylist()]
-            yield pa.record_batch(
-                [rows.column("doc_id"), rows.column("quality"), pa.array(found, pa.list_(pa.binary()))],
-                names=["doc_id", "quality", "chunks"],
-            )
+    return [raw[k * hop : k * hop + size] for k in range(n)]
 
 
 def held_out_by_crc(buckets: int, remainder: int):
@@ -182,6 +199,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, buckets: int = 3, remainder:
     """Train on at most ``sample_rows`` documents per class among the labelled
     rows that are not held out. Of several labels of a document the lowest
     counts. Without both classes the network is left at even odds."""
+    spark = docs.sparkSession
     known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.min("quality").alias("quality")
     ).filter(~held_out_by_crc(buckets, remainder))
@@ -196,16 +214,25 @@ def fit_quality(docs: DataFrame, labels: DataFrame, buckets: int = 3, remainder:
     for good in (True, False):
         part = known.filter((F.col("quality") == 1) == F.lit(good)).orderBy(hashed, "doc_id").limit(sample_rows)
         picked = part if picked is None else picked.union(part)
-    picked = picked.withColumnRenamed("doc_id", "_picked")  # 2 * sample_rows rows at most
-    texts = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_picked"))
-    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("quality").alias("quality"))
-    rows = texts.mapInArrow(_sample, "doc_id long, quality int, chunks array<binary>").collect()
+    picked = picked.select(F.col("doc_id").alias("_picked"), "quality", hashed.alias("_order"))  # 2 * sample_rows rows at most
+    named = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_picked"))
+    # Lengths first: of the rows of a doc_id the shortest text, then the least.
+    size = F.octet_length(F.coalesce("text", F.lit("")))
+    sizes_of = named.groupBy("doc_id").agg(F.min(size).alias("size"), F.min("quality").alias("quality"), F.min("_order").alias("order"))
+    left, fits = {True: SAMPLE_BYTES, False: SAMPLE_BYTES}, []
+    for r in sorted(sizes_of.collect(), key=lambda r: (r["order"], r["doc_id"])):
+        if r["size"] <= left[r["quality"] == 1]:
+            left[r["quality"] == 1] -= r["size"]
+            fits.append((r["doc_id"], r["size"]))
+    fitting = F.broadcast(spark.createDataFrame(fits, "_fits long, _size long"))
+    whole = named.join(fitting, (F.col("doc_id") == F.col("_fits")) & (size == F.col("_size")))
+    rows = whole.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("quality").alias("quality")).collect()
     rows.sort(key=lambda r: r["doc_id"])
     if len({r["quality"] == 1 for r in rows}) < 2:
         model.p["out"][:] = 0
         return model
     y = np.array([r["quality"] == 1 for r in rows], np.float32)
-    model.train([[bytes(c) for c in r["chunks"]] for r in rows], y)
+    model.train([chunks_of((r["text"] or "").encode()) for r in rows], y)
     # The sample is balanced; the corpus is as the labels say.
     share = y.mean()
     model.p["shift"] += np.float32(np.log(sizes[True] / sizes[False]) - np.log(share / (1 - share)))

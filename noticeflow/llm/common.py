@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import gc
 import math
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,28 +27,46 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({WORD})"), F.lit(1))
 
 
-#: Scratch tables of each application that nothing has freed yet.
-_TABLES: dict[str, list[str]] = {}
+class Scratch:
+    """The scratch tables written while it is entered (by this thread). Its
+    owner frees them once what was built on them is written; tables of others
+    are never touched. Scopes nest: a table belongs to the innermost one, and
+    to nobody outside of any - those stay as long as their lazy results may be read."""
 
+    _open: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
 
-def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back: cuts the
-    lineage, survives lost executors, and lets several consumers share it.
-    ``free_scratch`` deletes the table unless ``keep``."""
-    spark = df.sparkSession
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        self._token = self._open.set(self)
+        return self
+
+    def __exit__(self, *error) -> None:
+        self._open.reset(self._token)
+
+    def free(self) -> None:
+        paths, self.paths = self.paths, []
+        for path in paths:
+            remove_path(self.spark, path)
+        release(self.spark)
+
+
+def new_scratch(spark: SparkSession, name: str) -> str:
+    """The path of a new scratch table, owned by the scope that is entered."""
     path = scratch_path(spark, name)
-    if not keep:
-        _TABLES.setdefault(spark.sparkContext.applicationId, []).append(path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    owner = Scratch._open.get()
+    if owner is not None:
+        owner.paths.append(path)
+    return path
 
 
-def free_scratch(spark: SparkSession) -> None:
-    """Delete the scratch tables written so far. Call it when every result
-    that was built on them has been written."""
-    for path in _TABLES.pop(spark.sparkContext.applicationId, []):
-        remove_path(spark, path)
-    release(spark)
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back: cuts the
+    lineage, survives lost executors, and lets several consumers share it."""
+    path = new_scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:

@@ -605,8 +605,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.65, sh
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
     """``docs`` without the documents that hold an item; of rows that share a
-    doc_id all go, rows without doc_id stay (nothing can name them)."""
-    bad = contaminated(docs, benchmark, **params).filter("doc_id is not null")
+    doc_id all go. Rows without doc_id are named by a hash of their text."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"), F.coalesce(
+        F.col("doc_id").cast("long"), F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    ).alias("key"))
+    bad = contaminated(rows.select(F.col("key").alias("doc_id"), "text"), benchmark, **params)
     # A narrow table of its own, so that the plan knows its size.
-    bad = materialise(bad.select(F.col("doc_id").alias("_bad_id")).distinct(), "contaminated")
-    return docs.join(bad, docs["doc_id"] == bad["_bad_id"], "left_anti")
+    bad = materialise(bad.select(F.col("doc_id").alias("bad_key")).distinct(), "contaminated")
+    return rows.join(bad, rows["key"] == bad["bad_key"], "left_anti").select("row.*")

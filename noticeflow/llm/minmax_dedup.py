@@ -276,19 +276,17 @@ def drop_near_duplicates(docs: DataFrame, **params) -> DataFrame:
     without doc_id stay, repeated rows of one doc_id and text become one.
     Different texts under one doc_id are documents of their own: all but one
     of them count as documents with large ids (62-bit hashes)."""
-    mark = F.xxhash64("text")
-    named = docs.filter("doc_id is not null")
-    several = named.select("doc_id", mark.alias("mark")).groupBy("doc_id").agg(
-        F.min("mark").alias("_low"), F.max("mark").alias("_high")
-    ).filter("_low < _high")
-    several = materialise(several.select(F.col("doc_id").alias("_several_id"), "_low"), "several_texts")
-    key = F.col("doc_id")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), F.col("text").alias("text"))
+    named = rows.filter("id is not null").withColumn("mark", F.xxhash64("text"))
+    several = named.groupBy("id").agg(F.min("mark").alias("low"), F.max("mark").alias("high")).filter("low < high")
+    several = materialise(several.select(F.col("id").alias("several_id"), "low"), "several_texts")
+    key = F.col("id")
     if several.limit(1).count():
-        named = named.join(several, named["doc_id"] == several["_several_id"], "left")
-        own = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
-        key = F.when(mark != F.col("_low"), own).otherwise(key)
-    keyed = named.withColumn("_key", key)
-    kept = near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"), **params).filter("kept")
-    kept = kept.select(F.col("doc_id").alias("_kept_id")).distinct()
-    named = keyed.join(kept, keyed["_key"] == kept["_kept_id"], "left_semi").dropDuplicates(["_key"])
-    return named.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+        named = named.join(several, named["id"] == several["several_id"], "left")
+        own = F.xxhash64("id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+        key = F.when(F.col("mark") != F.col("low"), own).otherwise(key)
+    keyed = named.select("row", "text", key.alias("key"))
+    kept = near_duplicates(keyed.select(F.col("key").alias("doc_id"), "text"), **params).filter("kept")
+    kept = kept.select(F.col("doc_id").alias("kept_id")).distinct()
+    named = keyed.join(kept, keyed["key"] == kept["kept_id"], "left_semi").dropDuplicates(["key"])
+    return named.select("row.*").unionByName(docs.filter("doc_id is null"))

@@ -29,9 +29,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..sources.bronze import arrow_file_system as _file_system
 from . import textnp as T
-from .common import materialise, ready
+from .common import materialise, new_scratch, ready
 from .stretches import StretchCache, cut, sums
 from .vocab import file_bytes
 
@@ -73,13 +73,6 @@ def read_frame(stream) -> bytes | None:
     return bytes(body[:size])
 
 
-def _file_system(uri: str):
-    """(file system, path) of a URI as Spark qualifies it."""
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri)
-
-
 def qualified(spark, path: str) -> str:
     """The path with the scheme that Spark would use for it."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -103,8 +96,9 @@ class _Encoder:
 
     Pre-tokens of the byte-level pattern never cross the borders above, so
     equal stretches between them have equal ids. That holds for ASCII white
-    space; a text with any other goes to the library whole, as does every
-    text if the vocabulary has another pattern.
+    space; a text with any other goes to the library whole, as does a text
+    that holds a token added to the vocabulary (the library looks for those
+    before anything else), and every text if the vocabulary has another pattern.
     """
 
     _odd = r"[\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -114,11 +108,12 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(raw.decode())
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         size = self.tokenizer.get_vocab_size()
         self.width = 2 if size <= 65536 else 4
         self.dtype = np.dtype(f"<u{self.width}")
         spec = json.loads(raw)
+        added = [t["content"] for t in spec.get("added_tokens") or [] if t["content"]]
+        self.odd = "|".join([self._odd, *("\\Q" + t.replace("\\E", "\\E\\\\E\\Q") + "\\E" for t in added)])
         kind = spec.get("pre_tokenizer") or {}
         self.local = (
             kind.get("type") == "ByteLevel" and kind.get("use_regex", True) and not kind.get("add_prefix_space", True)
@@ -150,7 +145,7 @@ class _Encoder:
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of a column of texts (null: empty)."""
         column = column.fill_null("").cast(pa.large_string())
-        odd = np.array(pc.match_substring_regex(column, self._odd)) if self.local else np.ones(len(column), bool)
+        odd = np.array(pc.match_substring_regex(column, self.odd)) if self.local else np.ones(len(column), bool)
         data, offsets = T.text_buffer(pc.if_else(pa.array(odd), "", column) if odd.any() else column)
         starts, first = cut(data, offsets, self.borders)
         ids, counts = self.cache.ids(data, starts)
@@ -312,5 +307,5 @@ def token_records(docs: DataFrame, path: str | None = None, vocabulary: str = VO
                   folder: str | None = None) -> DataFrame:
     """Write ``docs`` as token records (in the shared scratch folder unless a
     path is given) and return what reading them back gives per document."""
-    path = path or scratch_path(docs.sparkSession, "token-records")
+    path = path or new_scratch(docs.sparkSession, "token-records")
     return read_records(write_records(docs, path, vocabulary, folder), path)

@@ -37,9 +37,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
 from ..sources.tables import remove_path
-from .common import finite_vectors, join_small, ready
+from .common import finite_vectors, join_small, new_scratch, ready
 
 PARTS = 8
 ENTRIES = 16
@@ -214,7 +213,7 @@ class Codes:
                 break
 
     def _write(self, rows: DataFrame) -> None:
-        path, old = scratch_path(self.spark, "vector-codes"), self.path
+        path, old = new_scratch(self.spark, "vector-codes"), self.path
         rows.write.parquet(path)
         self.path = path
         if old:

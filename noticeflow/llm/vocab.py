@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import os
 
-#: Folder of the vocabulary files; a parameter of every operator that uses one.
-FOLDER = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
-
 
 def file_bytes(name: str, folder: str | None = None) -> bytes:
-    """A vocabulary file's content: by folder, else from the installed package."""
-    path = os.path.join(folder or FOLDER, name)
-    if not os.path.exists(path):
+    """A vocabulary file's content: from ``folder`` if one is given (a
+    parameter of every operator that uses one), else from the installed package."""
+    if folder:
+        path = os.path.join(folder, name)
+    else:
         import public_tokenizers
 
         path = public_tokenizers.path(name)

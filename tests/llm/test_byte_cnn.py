@@ -33,7 +33,7 @@ def test_training_sees_what_scoring_sees():
     """The pooled features of the training pass equal those of scoring."""
     model = B.ByteCnn()
     for text in ("", "abc", "z" * 480, "q" * 517, "some words here " * 300):
-        chunks = B.sample_chunks(text.encode(), 10**6)
+        chunks = B.chunks_of(text.encode())
         width = B.CHUNK * B.STEP + B.STEP
         flat = np.full((len(chunks), width), B.PAD, np.int16)
         for i, c in enumerate(chunks):
@@ -47,6 +47,52 @@ def test_training_sees_what_scoring_sees():
         assert grads["out"] - 1e-4 == pytest.approx(p * z, rel=1e-3, abs=1e-4), (text[:5], seen)
 
 
+@pytest.mark.parametrize("size", [1, 4, 511, 512, 513, 517, 5000, 40_003])
+def test_a_plain_forward_pass_over_a_whole_text(monkeypatch, size):
+    """Block by block and chunk by chunk in Python; long texts in stretches."""
+    model, rng = B.ByteCnn(), np.random.default_rng(size)
+    raw = bytes(rng.integers(32, 127, size).astype(np.uint8))
+    n = -(-size // B.STEP)
+    padded = list(raw) + [B.PAD] * ((n + 1) * B.STEP - size)
+    block = [model.p["embed"][padded[i * B.STEP : (i + 1) * B.STEP]].reshape(-1) for i in range(n + 1)]
+    act = [np.maximum(block[i] @ model.p["near"] + block[i + 1] @ model.p["far"] + model.p["bias"], 0) for i in range(n)]
+    best, a = [], 0
+    while True:
+        best.append(np.max(act[a : a + B.CHUNK], axis=0))
+        if a + B.CHUNK >= n:
+            break
+        a += B.CHUNK - B.OVERLAP
+    want = np.concatenate([np.mean(best, axis=0), np.max(best, axis=0)])
+    data, offsets = T.text_buffer(pa.array([raw.decode()]))
+    assert model.pooled(data, offsets)[0] == pytest.approx(want, abs=1e-5)
+    monkeypatch.setattr(B, "STRETCH", 3)
+    assert model.pooled_long(data)[0] == pytest.approx(want, abs=1e-5)
+
+
+def test_a_long_text_takes_little_memory():
+    import tracemalloc
+
+    data, offsets = T.text_buffer(pa.array(["some words " * 2_000_000]))
+    model = B.ByteCnn()
+    tracemalloc.start()
+    model.scores(data, offsets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6  # 22 MB of text
+
+
+def test_the_sample_is_bounded_by_whole_documents(spark, monkeypatch):
+    monkeypatch.setattr(B, "SAMPLE_BYTES", 1000)
+    seen = []
+    monkeypatch.setattr(B.ByteCnn, "train", lambda self, texts, y: seen.extend(texts))
+    rows = [(i, ("good " if i % 2 else "bad ") * (10_000 if i == 4 else 40)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    B.fit_quality(docs, labels)
+    whole = {tuple(B.chunks_of(t.encode())) for _, t in rows}
+    assert 8 <= len(seen) <= 12 and all(tuple(t) in whole for t in seen)
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(0)
     model = B.ByteCnn()

@@ -114,7 +114,10 @@ def test_edges(spark):
     bench = spark.createDataFrame([(1, item), (1, item), (2, None), (3, ""), (None, item)], "item_id long, text string")
     got = D.contaminated(docs, bench).collect()
     assert {(r.doc_id, r.item_id) for r in got} == {(d, i) for d in (3, None, 4) for i in (1, None)}
-    assert sorted(r.doc_id or -1 for r in D.drop_contaminated(docs, bench).collect()) == [-1, 1, 2, 5, 6]
+    # The row without doc_id that holds the item goes, another one stays.
+    more = docs.union(spark.createDataFrame([(None, "plain words", "clash")], docs.schema))
+    kept = D.drop_contaminated(more, bench).collect()
+    assert sorted(r.doc_id or -1 for r in kept) == [-1, 1, 2, 5, 6] and [r.text for r in kept if r.doc_id is None] == ["plain words"]
     assert D.contaminated(docs.limit(0), bench).collect() == [] == D.contaminated(docs, bench.limit(0)).collect()
     assert D.contaminated(docs.filter("doc_id < 3"), bench).collect() == []
 

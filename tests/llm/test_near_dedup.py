@@ -110,3 +110,14 @@ def test_drop_judges_different_texts_of_one_doc_id_each_by_itself(spark):
     kept = M.drop_near_duplicates(frame(spark, rows), shingle=5, percent=80).collect()
     assert sorted(r.text or "" for r in kept if r.doc_id is not None) == ["", a, "o p", b, c]
     assert [r.text for r in kept if r.doc_id is None] == [a]
+
+
+def test_columns_of_any_name_come_back_as_they_were(spark):
+    names = ["_key", "_low", "_high", "row", "id", "key", "mark", "low", "several_id", "kept_id", "kept"]
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text), (2, text), (3, "other words"), (3, "other words of one id"), (None, text)]
+    docs = spark.createDataFrame([(d, t, *[f"{n}{d}" for n in names]) for d, t in rows],
+                                 "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    got = M.drop_near_duplicates(docs, shingle=5, percent=80).collect()
+    assert sorted(r.doc_id or 0 for r in got) == [0, 1, 3, 3]
+    assert all(r[n] == f"{n}{r.doc_id}" for r in got for n in names)

@@ -52,3 +52,45 @@ def test_stages_return_the_columns_of_documents_and_take_odd_rows(spark):
     assert P.STAGES[-1][1](spark, docs, sf_dir).filter("exact").count() == 6
     assert [n for n, _ in P.STAGES] == [
         "quality_rules", "minmax_near_dedup", "substring_dedup", "latent_decontamination", "streaming_viterbi"]
+
+
+def test_stages_free_their_own_scratch_only(spark):
+    """Lazy results of other operators outlive two runs of the pipeline; of a
+    run's tables only its last stage's input is left."""
+    import os
+
+    from noticeflow.llm import queries as Q
+    from noticeflow.session import ensure_checkpoint_dir
+
+    sf_dir = "/root/testdata/sf0.001"
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/').removeprefix('file:')}/noticeflow-scratch"
+    held = {n: Q.QUERIES[n](spark, sf_dir) for n in (
+        "op1_quality_rules", "op3_minmax_near_dedup", "op5_latent_decontamination", "op8_substring_dedup")}
+    before = set(os.listdir(folder))
+    first, second = P.run(spark, sf_dir), P.run(spark, sf_dir)
+    left = {n.rsplit("-", 1)[0] for n in set(os.listdir(folder)) - before}
+    assert left <= {"stage-latent_decontamination", "sources"} and len(set(os.listdir(folder)) - before) <= 3
+    n_docs = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    for name, df in held.items():
+        n = df.count()
+        assert n == n_docs or name == "op5_latent_decontamination" and n > 0, name
+    assert sorted(first.select("doc_id", "ids_crc32").collect()) == sorted(second.select("doc_id", "ids_crc32").collect())
+
+
+def test_a_stage_frees_what_the_stage_before_has_written(spark):
+    import os
+
+    from noticeflow.llm.common import Scratch, materialise
+
+    with Scratch(spark) as outer:
+        kept = materialise(spark.range(3), "outer")
+        with Scratch(spark) as inner:
+            gone = materialise(spark.range(4), "inner")
+        also = materialise(spark.range(5), "outer")
+    free = materialise(spark.range(6), "free")
+    (path,) = inner.paths
+    inner.free()
+    assert not os.path.exists(path.removeprefix("file:")) and len(outer.paths) == 2 and gone is not None
+    assert (kept.count(), also.count(), free.count()) == (3, 5, 6)
+    outer.free()
+    assert free.count() == 6

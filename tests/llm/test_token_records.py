@@ -11,7 +11,7 @@ from noticeflow.llm.vocab import file_bytes
 from ..conftest import SF_SMALL
 
 ODD = [
-    "", " ", "plain words", "  two  spaces \n\n line\r\n", "it's I'll\tx", "naïve  x   y z", "a\x1c b\x85c", "<|endoftext|> x",
+    "", " ", "plain words", "  two  spaces \n\n line\r\n", "it's I'll\tx", "naïve  x   y z", "a\x1c b\x85c", "<|endoftext|> x", "a<|endoftext|>b <|endoftext|", "words before<|endoftext|>\n",
     "日本語 テキスト", "x" * 5000, "3.14 1,000 ½ ²", "﻿bom", "!!!  ???", "tab\t\tend \t", "\n \n", "é ​ z",
 ]
 
@@ -20,9 +20,7 @@ ODD = [
 def library():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_str(file_bytes(R.VOCABULARY).decode())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_str(file_bytes(R.VOCABULARY).decode())
 
 
 def check(rows, got, library):
@@ -42,6 +40,10 @@ def test_ids_are_the_library_s(spark, library):
     check(rows, sorted(R.token_records(docs).collect(), key=lambda r: r.start), library)
 
 
+def test_an_added_token_in_a_text_is_that_token(library):
+    assert 50256 in library.encode("a<|endoftext|>b", add_special_tokens=False).ids
+
+
 def test_registered_table(spark, library):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     rows = sorted((r.doc_id, r.text) for r in docs.collect())
