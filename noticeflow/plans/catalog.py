@@ -1130,7 +1130,6 @@ _INCR_CTES = (
 register("incremental_refresh", with_base("SELECT * FROM scored2", _INCR_CTES))(_incremental)
 
 
-
 def _firm_counts(s, d):
     """The records per firm that two drops leave, maintained by deltas."""
     from ..streaming.incremental import counts_path, incremental_refresh
@@ -1143,13 +1142,6 @@ def _firm_counts(s, d):
     return T.read_table(s, counts_path(served))
 
 
-register(
-    "incremental_firm_counts",
-    with_base("SELECT recalling_firm_clean, count(*) AS n FROM silver2d GROUP BY 1", _INCR_CTES),
-)(_firm_counts)
-
-
-
 def _maintained(name: str):
     def run(s, d):
         """A gold table kept up to date over two drops, never rebuilt."""
@@ -1165,18 +1157,6 @@ def _maintained(name: str):
     return run
 
 
-register(
-    "build_gold_incremental_company_risk",
-    with_base(COMPANY_RISK_SQL.replace("scored", "scored2"), _INCR_CTES),
-)(_maintained("company_risk"))
-register(
-    "build_gold_incremental_geographic",
-    with_base(
-        "SELECT state, country, count(*) AS total_recalls, avg(risk_score) AS avg_risk_score FROM scored2 GROUP BY state, country",
-        _INCR_CTES,
-    ),
-)(_maintained("geographic_recall_summary"))
-
 # ============================================ single-pass gold summaries
 register("summary_sets_company_risk", with_base(COMPANY_RISK_SQL))(
     lambda s, d: gold.summary_from_sets(gold.summary_sets(scored(s, d)), "company_risk")
@@ -1272,3 +1252,33 @@ register(
         ]),
     ),
 )(_incremental_lookback)
+
+
+# The same drops, but as two runs: what the second holds replaces what the
+# first left, whatever its report date.
+def _kept_of(n: int, source: str) -> str:
+    filled = O.fill_keys_sql(f"({O.silver_select_sql(source)}) s{n}", ["recall_number"])
+    return f"kept_{n} AS ({O.dedupe_sql(f'({filled}) f{n}', ['recall_number'], SILVER_COLUMNS)})"
+
+
+_SEQUENCE_CTES = ",\n".join([
+    _CORRECTIONS_CTE, _kept_of(1, "fx"), _kept_of(2, "fxc"),
+    "silver2d AS (SELECT * FROM kept_1 WHERE recall_number NOT IN (SELECT recall_number FROM kept_2) "
+    "UNION ALL SELECT * FROM kept_2)",
+    f"scored2 AS ({O.scored_select_sql('silver2d')})",
+])
+register(
+    "incremental_firm_counts",
+    with_base("SELECT recalling_firm_clean, count(*) AS n FROM silver2d GROUP BY 1", _SEQUENCE_CTES),
+)(_firm_counts)
+register(
+    "build_gold_incremental_company_risk",
+    with_base(COMPANY_RISK_SQL.replace("scored", "scored2"), _SEQUENCE_CTES),
+)(_maintained("company_risk"))
+register(
+    "build_gold_incremental_geographic",
+    with_base(
+        "SELECT state, country, count(*) AS total_recalls, avg(risk_score) AS avg_risk_score FROM scored2 GROUP BY state, country",
+        _SEQUENCE_CTES,
+    ),
+)(_maintained("geographic_recall_summary"))

@@ -16,9 +16,11 @@ KEYS = ["k"]
 
 
 @pytest.fixture(autouse=True)
-def nothing_retained(monkeypatch):
+def nothing_retained():
     """Here a commit deletes what it replaces; test_snapshots.py has the rest."""
-    monkeypatch.setattr(T, "RETAIN_SECONDS", 0)
+    with pytest.MonkeyPatch.context() as patch:  # of its own: the tests undo theirs
+        patch.setattr(T, "RETAIN_SECONDS", 0)
+        yield
 
 
 def month():
