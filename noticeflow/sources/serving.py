@@ -194,8 +194,7 @@ def _buckets_for(rows: int) -> int:
 
 
 def _write_bucketed(rows: DataFrame, path: str, keys: list[str], buckets: int, run: Run | None) -> None:
-    """The whole table anew, in ``buckets`` buckets."""
-    prove_keys(rows.select(*keys), keys, path)
+    """The whole table anew, in ``buckets`` buckets; its keys are proven."""
     bucketed = rows.withColumn(BUCKET, bucket_of(keys, buckets))
     committed_write(bucketed, path, BUCKET, run, {"hidden": [BUCKET], "buckets": buckets, "unique": list(keys)})
 
@@ -273,6 +272,8 @@ def add_to_table(
 def rebucket(spark: SparkSession, path: str, keys: list[str], buckets: int | None = None) -> None:
     """Write the table anew in another number of buckets (default: by its rows)."""
     rows = read_table(spark, path)
+    if not _proven(current_commit(spark, path), keys):
+        prove_keys(rows.select(*keys), keys, path)
     _write_bucketed(rows, path, keys, buckets or _buckets_for(rows.count()), None)
 
 
