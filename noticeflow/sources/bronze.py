@@ -137,7 +137,10 @@ def read_bronze_documents(spark: SparkSession, path, multiline: bool | None = No
 
 def explode_records(documents: DataFrame) -> DataFrame:
     """One row per element of ``results`` (empty or NULL arrays give none)."""
-    return documents.select(F.explode("results").alias("r")).select(
+    # Not the bare column: for that, Spark adds a filter on its size and puts it
+    # below the parse, which then parses every document again.
+    results = F.coalesce("results", F.array().cast(documents.schema["results"].dataType))
+    return documents.select(F.explode(results).alias("r")).select(
         *[F.col(f"r.{f}").alias(f) for f in RECORD_FIELDS]
     )
 

@@ -215,3 +215,10 @@ def test_maintained_gold_equals_a_rebuild(spark, tmp_uri):
                 assert text(got[name]) == text(want[name]), (k, name)
     with pytest.raises(ValueError):
         I.incremental_refresh(*args, gold=True)
+
+
+def test_documents_are_parsed_once_for_their_records(spark, tmp_uri):
+    path = land(f"{tmp_uri}/in", x=GOOD + "\n")
+    records = B.read_bronze(spark, path, multiline=False)
+    plan = spark._jvm.PythonSQLUtils.explainString(records._jdf.queryExecution(), "simple")
+    assert plan.count("from_json(StructField(d,") == 1 and numbers(records) == ["A", "Z"]
