@@ -222,3 +222,12 @@ def test_documents_are_parsed_once_for_their_records(spark, tmp_uri):
     records = B.read_bronze(spark, path, multiline=False)
     plan = spark._jvm.PythonSQLUtils.explainString(records._jdf.queryExecution(), "simple")
     assert plan.count("from_json(StructField(d,") == 1 and numbers(records) == ["A", "Z"]
+
+
+def test_lines_of_a_multiline_file_are_not_parsed_in_a_mixed_landing(spark, tmp_uri, monkeypatch):
+    path = land(f"{tmp_uri}/in", p=PRETTY, x=GOOD + "\n" + CUT + "\n", c=CUT + "\n" + CUT)
+    seen, write = [], B._write_parsed
+    monkeypatch.setattr(B, "_write_parsed", lambda texts, to: (seen.append(write(texts, to)), seen[-1])[1])
+    found = B.land_bronze(spark, path, on_loss="warn")
+    assert numbers(found.records) == ["A", "A", "Z", "Z"] and (found.rejected, found.rejects.count()) == (3, 3)
+    assert [s["rejected"] for s in seen] == [3, 0]  # its lines were no rejects for a while
