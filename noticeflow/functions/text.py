@@ -12,6 +12,10 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: rules.FIRM_DROP_PATTERN with Java's class of the same 62 letters and digits,
+#: which it tests several times faster than three ranges.
+_FIRM_DROP = rules.FIRM_DROP_PATTERN.replace("a-zA-Z0-9", r"\p{Alnum}")
+
 _REGEX_META = set("\\^$.|?*+()[]{}")
 
 
@@ -54,20 +58,24 @@ def first_match_category(
     ``default`` is the value when nothing matches (also for NULL input):
     a literal label, a Column (e.g. the input itself), or None for NULL.
     """
-    lowered = F.lower(_col(c))
-    expr = None
-    for pattern, label in ordered_rules:
-        cond = pattern_found(lowered, pattern)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    if default is None:
-        return expr
-    fallback = default if isinstance(default, Column) else F.lit(default)
-    return expr.otherwise(fallback)
+    fallback = default if default is None or isinstance(default, Column) else F.lit(default)
+
+    def first(lowered):
+        expr = None
+        for pattern, label in ordered_rules:
+            cond = pattern_found(lowered, pattern)
+            expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
+        return expr if fallback is None else expr.otherwise(fallback)
+
+    # As a lambda over the one lowered text: written out, the rules of a few
+    # columns make one generated method too long for the JVM to compile, and all
+    # of the stage then runs interpreted.
+    return F.get(F.transform(F.array(F.lower(_col(c))), first), F.lit(0))
 
 
 def clean_firm(c: Column | str) -> Column:
     """Drop everything but letters, digits and whitespace, lower, trim spaces."""
-    return F.trim(F.lower(F.regexp_replace(_col(c), rules.FIRM_DROP_PATTERN, "")))
+    return F.trim(F.lower(F.regexp_replace(_col(c), _FIRM_DROP, "")))
 
 
 def standard_classification(c: Column | str) -> Column:

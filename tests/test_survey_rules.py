@@ -10,6 +10,7 @@ from noticeflow.functions import (
     standard_classification,
     standard_status,
 )
+from noticeflow.functions import rules, text
 from noticeflow.operators.scoring import score_recalls
 from noticeflow.operators.silver import silver_projection
 
@@ -70,3 +71,17 @@ def test_repeat_counts_rows_and_null_firm_group(spark):
     assert out[(None, "Sold nationally")]["distribution_score"] == 0
     assert out[(None, "Sold nationally")]["distribution_scope"] == "Nationwide"
     assert out[(None, "NATIONWIDE")]["risk_score"] == 50 + 20 + 20 + 25 + 2
+
+
+def test_firm_names_keep_the_same_characters_as_the_fixed_pattern(spark):
+    chars = [chr(c) for c in range(1, 0x3100) if not 0xD800 <= c < 0xE000] + ["😀", "Ａ", "１"]
+    df = spark.createDataFrame([(f"x{c}y",) for c in chars], "s string")
+    kept = F.trim(F.lower(F.regexp_replace("s", rules.FIRM_DROP_PATTERN, "")))
+    assert df.filter(~text.clean_firm("s").eqNullSafe(kept)).count() == 0
+
+
+def test_silver_rules_are_no_part_of_one_long_generated_method(spark):
+    df = spark.createDataFrame([("Sold NATIONWIDE",), (None,)], "s string")
+    out = df.select(text.distribution_scope("s").alias("x"))
+    assert "transform(" in spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
+    assert [r.x for r in out.collect()] == ["Nationwide", rules.DISTRIBUTION_DEFAULT]
