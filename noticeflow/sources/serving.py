@@ -26,6 +26,7 @@ from pyspark.sql.types import DateType, DoubleType, FloatType, TimestampNTZType,
 from ..functions import dates, rules, text
 from ..operators.partitioning import checked_broadcast
 from ..schemas import RUN_LOG, SERVING_TABLES
+from ..session import scratch_path
 from .tables import (
     Run,
     _scan,
@@ -36,6 +37,7 @@ from .tables import (
     new_version,
     partition_dirs,
     read_table,
+    remove_path,
     table_exists,
     write_clustered,
 )
@@ -132,6 +134,29 @@ def dedupe_latest(df: DataFrame, keys: list[str], order_first: str | None = "rep
     return picked.select(*[F.col(k) for k in keys], *[F.col(f"_pick.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
+def spool(df: DataFrame) -> tuple[DataFrame, str]:
+    """Rows that are read several times, written once to scratch (their columns
+    are then read one by one, and no memory holds them), and the folder to remove."""
+    path = scratch_path(df.sparkSession, "batch")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def latest_rows(rows: DataFrame, keys: list[str], held: list[DataFrame]) -> DataFrame:
+    """What :func:`dedupe_latest` gives, for spooled rows with filled keys:
+    keys are counted first, a pass over the key columns alone, and only rows whose
+    key comes more than once are aggregated; the others are neither shuffled nor
+    sorted. With too many such keys for a broadcast all rows are aggregated.
+    ``held`` gets what the caller unpersists."""
+    twice = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(*keys).persist()
+    held.append(twice)
+    few = checked_broadcast(twice)
+    if few is twice:
+        return dedupe_latest(rows, keys)
+    once, more = (rows.join(few, keys, how).select(*rows.columns) for how in ("left_anti", "left_semi"))
+    return once.unionByName(dedupe_latest(more, keys))
+
+
 def keyed_upsert(
     target: DataFrame | None,
     updates: DataFrame,
@@ -337,14 +362,20 @@ def upsert_partitioned(
     version, and one commit replaces them together - a partition that ends
     up empty is simply not named any more. A caller that has looked up the
     rows the batch replaces gives them as ``replaced`` (with ``partition_col``).
+    With ``assume_unique`` the batch is read a few times: give one that is cheap
+    to read, such as spooled rows.
     """
     counted, obs = _observed(updates)
-    batch = keyed_upsert(None, counted, keys, now, assume_unique=assume_unique).withColumn(partition_col, partition_expr)
-    if not table_exists(spark, path):
-        committed_write(batch, path, partition_col, run, {"unique": list(keys)})  # one row per key by construction
-        return int(obs.get.get("rows", 0))
-    batch = batch.persist()
+    held: list[DataFrame] = []
+    spooled = None
     try:
+        if not assume_unique:
+            counted, spooled = spool(fill_keys(counted, keys))
+            counted = latest_rows(counted, keys, held)
+        batch = keyed_upsert(None, counted, keys, now, assume_unique=True).withColumn(partition_col, partition_expr)
+        if not table_exists(spark, path):
+            committed_write(batch, path, partition_col, run, {"unique": list(keys)})  # one row per key by construction
+            return int(obs.get.get("rows", 0))
         state = current_commit(spark, path)
         target = _scan(spark, path, state)
         batch_keys = checked_broadcast(batch.select(*keys))
@@ -369,7 +400,10 @@ def upsert_partitioned(
         _commit_part(spark, path, new_rows, partition_col, keys, kept, run, {})
         return int(obs.get.get("rows", 0))
     finally:
-        batch.unpersist()
+        for df in held:
+            df.unpersist()
+        if spooled:
+            remove_path(spark, spooled)
 
 
 def replace_load(

@@ -210,3 +210,18 @@ def test_rolling_window():
     assert start < end
     with pytest.raises(ValueError):
         I.incremental_refresh(None, "", "", "", report_start="2020-01-01", lookback_days=3)
+
+
+def test_only_rows_of_repeated_keys_are_aggregated(spark, tmp_uri):
+    rows = spark.createDataFrame(
+        [("a", "2020-01-01", 1), ("b", "2020-01-02", 2), ("b", "2020-02-02", 1), ("b", None, 9), ("Unknown", None, 3), ("Unknown", None, 4)],
+        "k string, report_date string, n int",
+    )
+    spooled, _ = S.spool(rows)
+    held = []
+    got = S.latest_rows(spooled, ["k"], held)
+    assert sorted(got.collect()) == sorted(S.dedupe_latest(rows, ["k"]).collect()) == [("Unknown", None, 4), ("a", "2020-01-01", 1), ("b", "2020-02-02", 1)]
+    plan = spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "simple")
+    assert "LeftAnti" in plan and "LeftSemi" in plan and "partial_max" in plan
+    for df in held:
+        df.unpersist()
