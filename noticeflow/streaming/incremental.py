@@ -48,8 +48,8 @@ from ..operators.scoring import FIRM_KEY, add_scores, score_recalls
 from ..operators.silver import silver_projection
 from ..schemas import SCORED_COLUMNS, SILVER_COLUMNS
 from ..sources.bronze import _texts, land_texts
-from ..sources.serving import add_to_table, dedupe_latest, fill_keys, partition_value, upsert_partitioned
-from ..sources.tables import Run, current_commit, read_table, table_exists
+from ..sources.serving import add_to_table, fill_keys, latest_rows, partition_value, spool, upsert_partitioned
+from ..sources.tables import Run, current_commit, read_table, remove_path, table_exists
 
 KEYS = ["recall_number"]
 PARTITION_COL = "report_month"
@@ -87,28 +87,35 @@ def merge_batch(
     holding replaced or new rows are rewritten (``upsert_partitioned``).
     """
     # Read by the emptiness check, the firm counts and the upsert.
-    silver = filter_report_date(silver_projection(batch_records), report_start, report_end).persist()
+    silver, spooled = spool(filter_report_date(silver_projection(batch_records), report_start, report_end))
+    held: list[DataFrame] = []
     try:
         if silver.isEmpty():
             return
         if history:
             return _merge_history(spark, silver, served_path, gold)
-        rows = dedupe_latest(fill_keys(score_recalls(silver).select(*SCORED_COLUMNS), KEYS), KEYS)
+        # Scores are functions of a row and of the counts over all rows of the
+        # window, so that the picked rows alone are scored.
+        rows = latest_rows(fill_keys(silver.select(*SILVER_COLUMNS), KEYS), KEYS, held)
         upsert_partitioned(
-            spark, served_path, rows, KEYS, PARTITION_COL, partition_value("recalls"), assume_unique=True
+            spark, served_path, score_recalls(rows, history=silver).select(*SCORED_COLUMNS), KEYS, PARTITION_COL,
+            partition_value("recalls"), assume_unique=True,
         )
     finally:
-        silver.unpersist()
+        for df in held:
+            df.unpersist()
+        remove_path(spark, spooled)
 
 
 def _merge_history(spark: SparkSession, silver: DataFrame, served_path: str, gold: bool) -> None:
     """Upsert the records and add their signed deltas to the firm counts (and
     the gold sums), in one commit."""
     counts, run = counts_path(served_path), Run(spark, served_path)
-    rows = dedupe_latest(fill_keys(silver.select(*SILVER_COLUMNS), KEYS), KEYS).persist()
     one, held = F.lit(1).cast("long"), []
-    deltas, replaced, before = rows.select(FIRM_KEY, one.alias("n")), None, None
+    replaced, before = None, None
     try:
+        rows = latest_rows(fill_keys(silver.select(*SILVER_COLUMNS), KEYS), KEYS, held)
+        deltas = rows.select(FIRM_KEY, one.alias("n"))
         if table_exists(spark, served_path):
             served = read_table(spark, served_path)
             if not table_exists(spark, counts):  # a table of before the counts were kept
@@ -129,7 +136,7 @@ def _merge_history(spark: SparkSession, silver: DataFrame, served_path: str, gol
         )
         run.commit()
     finally:
-        for df in [rows, *held]:
+        for df in held:
             df.unpersist()
 
 
