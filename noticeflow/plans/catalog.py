@@ -848,7 +848,11 @@ register("replace_load", with_base("SELECT * FROM load_b", _WINDOW_CTES))(_repla
 
 
 def _serving_sources(s, d):
-    sc = scored(s, d)
+    # Written once, as in a batch run: the loads read the table, instead of each
+    # deriving, joining and scoring the records again at the same time.
+    path = scratch_path(s, "scored")
+    T.write_table(scored(s, d), path)
+    sc = T.read_table(s, path)
     g = gold.gold_tables(sc)
     return {name: (sc if spec["gold"] == "scored" else g[spec["gold"]]) for name, spec in SERVING_TABLES.items()}
 
