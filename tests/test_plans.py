@@ -84,3 +84,10 @@ def test_previous_versions_are_found_without_shuffling_table_keys(spark, scored_
     assert "BroadcastHashJoin" in p and "LeftSemi" in p
     assert "Exchange hashpartitioning(recall_number" not in p
     batch.unpersist()
+
+
+def test_served_sources_read_the_scored_rows_once_written(spark):
+    from noticeflow.plans.catalog import _serving_sources
+
+    for df in _serving_sources(spark, SF_SMALL).values():
+        assert "Join" not in plan(df, "simple")
