@@ -119,8 +119,11 @@ def multiline_files(texts: DataFrame) -> list[str]:
 def _has_document_line(spark: SparkSession, file: str) -> bool:
     jvm = spark.sparkContext._jvm
     fs, _ = _hadoop_fs(spark, file)
-    stream = fs.open(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file)))
+    name = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(fs.getConf()).getCodec(name)
+    stream = fs.open(name)
     try:
+        stream = stream if codec is None else codec.createInputStream(stream)
         head = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(
             jvm.org.apache.commons.io.input.BoundedInputStream(stream, PEEK_BYTES)
         )).decode("utf-8", "replace")
@@ -240,7 +243,7 @@ def _write_parsed(texts: DataFrame, path: str) -> dict:
     reject = _tagged("reject", reason=F.col("reason"), text=F.col("text"))
     parsed.select("file", F.explode(F.when(good, F.concat(F.array(document), records)).otherwise(F.array(reject))).alias("x")).select(
         "file", "x.*"
-    ).write.parquet(path)
+    ).write.option("compression", "zstd").parquet(path)
     return {k: v or 0 if k not in ("source", "warning") else v for k, v in seen.get.items()}
 
 
@@ -374,6 +377,8 @@ def source_window(
 
 #: Records per document written here: a document is one row to its reader.
 DOCUMENT_RECORDS = 1000
+#: Documents per file written here: a compressed file is read by one task.
+FILE_DOCUMENTS = 64
 
 
 def _doc_json(meta: dict, record_json: list[str]) -> str:
@@ -394,12 +399,15 @@ def _record_json(records: DataFrame) -> DataFrame:
 
 def write_bronze(records: DataFrame, path: str, meta: dict | None = None, mode: str = "overwrite") -> None:
     """Write records as JSON Lines bronze documents of at most
-    DOCUMENT_RECORDS records. Without any record, one document with the
-    metadata and no results is written, so that the run stays on record."""
+    DOCUMENT_RECORDS records, in gzip files (the text repeats its field names, so
+    that a file takes about a sixteenth of it) of at most FILE_DOCUMENTS documents. Without
+    any record, one document with the metadata and no results is written, so that the
+    run stays on record."""
     spark = records.sparkSession
     ship_package(spark)
     meta = dict(meta or {})
-    _record_json(records).mapInPandas(lambda batches: _documents(batches, meta), "value string").write.mode(mode).text(path)
+    documents = _record_json(records).mapInPandas(lambda batches: _documents(batches, meta), "value string")
+    documents.write.mode(mode).option("compression", "gzip").option("maxRecordsPerFile", FILE_DOCUMENTS).text(path)
     if spark.read.text(path).isEmpty():
         spark.createDataFrame([(_doc_json(meta, []),)], "value string").write.mode("append").text(path)
 

@@ -42,6 +42,11 @@ from .tables import (
     write_clustered,
 )
 
+#: Number of a spooled row, and how many rows share a row of a table of marks.
+ROW = "_row"
+WORDS, WORD_BITS = 16, 64
+#: Rows of such a table, of WORDS words each, that are broadcast.
+MARKS_MAX = 500_000
 #: Hidden column of tables kept in hash buckets, and their usual size in rows.
 BUCKET = "_bucket"
 BUCKET_ROWS, MOST_BUCKETS = 250_000, 4096
@@ -134,29 +139,79 @@ def dedupe_latest(df: DataFrame, keys: list[str], order_first: str | None = "rep
     return picked.select(*[F.col(k) for k in keys], *[F.col(f"_pick.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
-def spool(df: DataFrame) -> tuple[DataFrame, str]:
+def spool(df: DataFrame, numbered: bool = False) -> tuple[DataFrame, str]:
     """Rows that are read several times, written once to scratch (their columns
-    are then read one by one, and no memory holds them), and the folder to remove."""
+    are then read one by one, and no memory holds them), and the folder to remove.
+    ``numbered`` gives each row a number of its own, in the column ROW."""
     path = scratch_path(df.sparkSession, "batch")
-    df.write.parquet(path)
+    if numbered:
+        df = df.withColumn(ROW, F.monotonically_increasing_id())
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-def latest_rows(rows: DataFrame, keys: list[str], held: list[DataFrame]) -> DataFrame:
+class Spooled:
+    """A scratch folder among what a caller unpersists."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def unpersist(self) -> None:
+        remove_path(self.spark, self.path)
+
+
+def latest_rows(rows: DataFrame, keys: list[str], held: list) -> DataFrame:
     """What :func:`dedupe_latest` gives, for spooled rows with filled keys:
     keys are counted first, a pass over the key columns alone, and only rows whose
     key comes more than once are aggregated; the others are neither shuffled nor
-    sorted. With too many such keys for a broadcast all rows are aggregated.
-    ``held`` gets what the caller unpersists."""
+    sorted. With too many such keys for a broadcast the rows to keep are found by
+    their numbers (:func:`_pick_by_number`), if they were spooled with them, and
+    written to scratch once. ``held`` gets what the caller unpersists."""
+    columns = [c for c in rows.columns if c != ROW]
     twice = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(*keys).persist()
     held.append(twice)
     few = checked_broadcast(twice)
     if few is twice:
-        return dedupe_latest(rows, keys)
-    once, more = (rows.join(few, keys, how).select(*rows.columns) for how in ("left_anti", "left_semi"))
+        picked = _pick_by_number(rows, keys, held) if ROW in rows.columns else dedupe_latest(rows, keys)
+        picked, path = spool(picked)
+        held.append(Spooled(rows.sparkSession, path))
+        return picked
+    once, more = (rows.join(few, keys, how).select(*columns) for how in ("left_anti", "left_semi"))
     return once.unionByName(dedupe_latest(more, keys))
 
 
+def _pick_by_number(rows: DataFrame, keys: list[str], held: list) -> DataFrame:
+    """:func:`dedupe_latest` of numbered rows, of which only the keys, the
+    first ordering column and the numbers are shuffled. Rows that share the greatest
+    value of that column under their key are compared as a whole; the others are
+    marked, a bit for each row, and filtered out of one more scan."""
+    spark, columns = rows.sparkSession, [c for c in rows.columns if c != ROW]
+    rest = [c for c in columns if c not in keys]
+    lead = "report_date" if "report_date" in rest else rest[0]
+    number = F.col(ROW)
+    top, path = spool(
+        rows.groupBy(*keys).agg(F.max(F.struct(lead, ROW)).alias("_last"), F.max(F.struct(F.col(lead), (-number).alias(ROW))).alias("_first"))
+        .select(*keys, F.col(f"_last.{lead}"), F.col(f"_last.{ROW}"), (F.col(f"_last.{ROW}") == -F.col(f"_first.{ROW}")).alias("_one"))
+    )
+    held.append(Spooled(spark, path))
+
+    block, word = F.floor(number / (WORDS * WORD_BITS)), (F.shiftrightunsigned(number, 6) % WORDS).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (number % WORD_BITS).cast("int"))
+    marks = top.filter("_one").select(ROW, block.alias("_block")).repartition("_block").groupBy("_block").agg(
+        F.array(*[F.coalesce(F.bit_or(F.when(word == i, bit)), F.lit(0).cast("long")) for i in range(WORDS)]).alias("_marks")
+    )
+    marks, path = spool(marks)
+    held.append(Spooled(spark, path))
+    marked = F.get("_marks", word).bitwiseAND(bit) != 0
+    one = rows.withColumn("_block", block).join(checked_broadcast(marks, MARKS_MAX), "_block").filter(marked).select(*columns)
+
+    tied = checked_broadcast(top.filter("not _one").select(*[F.col(c).alias(f"_t_{c}") for c in [*keys, lead]]))
+    same = F.lit(True)
+    for c in [*keys, lead]:
+        same = same & F.col(c).eqNullSafe(F.col(f"_t_{c}"))
+    return one.unionByName(dedupe_latest(rows.join(tied, same, "left_semi").select(*columns), keys))
+
+
 def keyed_upsert(
     target: DataFrame | None,
     updates: DataFrame,
@@ -370,7 +425,7 @@ def upsert_partitioned(
     spooled = None
     try:
         if not assume_unique:
-            counted, spooled = spool(fill_keys(counted, keys))
+            counted, spooled = spool(fill_keys(counted, keys), numbered=True)
             counted = latest_rows(counted, keys, held)
         batch = keyed_upsert(None, counted, keys, now, assume_unique=True).withColumn(partition_col, partition_expr)
         if not table_exists(spark, path):

@@ -48,11 +48,25 @@ from ..operators.scoring import FIRM_KEY, add_scores, score_recalls
 from ..operators.silver import silver_projection
 from ..schemas import SCORED_COLUMNS, SILVER_COLUMNS
 from ..sources.bronze import _texts, land_texts
-from ..sources.serving import add_to_table, fill_keys, latest_rows, partition_value, spool, upsert_partitioned
+from ..sources.serving import (
+    ROW,
+    Spooled,
+    add_to_table,
+    fill_keys,
+    latest_rows,
+    partition_value,
+    spool,
+    upsert_partitioned,
+)
 from ..sources.tables import Run, current_commit, read_table, remove_path, table_exists
 
 KEYS = ["recall_number"]
 PARTITION_COL = "report_month"
+#: What the scores and the gold summaries read of a record.
+GOLD_COLUMNS = [
+    "classification", "status", "distribution_pattern", "recall_reason_category", FIRM_KEY, "state", "country",
+    "product_category", "recall_initiation_date",
+]
 #: Days of the rolling report-date window of a daily refresh.
 LOOKBACK_DAYS = 14
 
@@ -87,8 +101,8 @@ def merge_batch(
     holding replaced or new rows are rewritten (``upsert_partitioned``).
     """
     # Read by the emptiness check, the firm counts and the upsert.
-    silver, spooled = spool(filter_report_date(silver_projection(batch_records), report_start, report_end))
-    held: list[DataFrame] = []
+    silver, spooled = spool(filter_report_date(silver_projection(batch_records), report_start, report_end), numbered=True)
+    held: list = []
     try:
         if silver.isEmpty():
             return
@@ -96,7 +110,7 @@ def merge_batch(
             return _merge_history(spark, silver, served_path, gold)
         # Scores are functions of a row and of the counts over all rows of the
         # window, so that the picked rows alone are scored.
-        rows = latest_rows(fill_keys(silver.select(*SILVER_COLUMNS), KEYS), KEYS, held)
+        rows = latest_rows(fill_keys(silver.select(*SILVER_COLUMNS, ROW), KEYS), KEYS, held)
         upsert_partitioned(
             spark, served_path, score_recalls(rows, history=silver).select(*SCORED_COLUMNS), KEYS, PARTITION_COL,
             partition_value("recalls"), assume_unique=True,
@@ -114,7 +128,7 @@ def _merge_history(spark: SparkSession, silver: DataFrame, served_path: str, gol
     one, held = F.lit(1).cast("long"), []
     replaced, before = None, None
     try:
-        rows = latest_rows(fill_keys(silver.select(*SILVER_COLUMNS), KEYS), KEYS, held)
+        rows = latest_rows(fill_keys(silver.select(*SILVER_COLUMNS, ROW), KEYS), KEYS, held)
         deltas = rows.select(FIRM_KEY, one.alias("n"))
         if table_exists(spark, served_path):
             served = read_table(spark, served_path)
@@ -147,8 +161,13 @@ def _gold_paths(served_path: str) -> tuple[str, str]:
 
 def _add_gold(spark: SparkSession, served_path: str, signed: DataFrame, run: Run | None) -> None:
     sums, by_date = _gold_paths(served_path)
-    add_to_table(spark, sums, G.summary_sums(signed), G.SUM_KEYS, run=run)
-    add_to_table(spark, by_date, G.date_sums(signed), G.DATE_KEYS, run=run)
+    # Both tables read it: the joins behind the scores run once.
+    signed, spooled = spool(signed.select(*GOLD_COLUMNS, "risk_score", "risk_tier", "sign"))
+    try:
+        add_to_table(spark, sums, G.summary_sums(signed), G.SUM_KEYS, run=run)
+        add_to_table(spark, by_date, G.date_sums(signed), G.DATE_KEYS, run=run)
+    finally:
+        remove_path(spark, spooled)
 
 
 def _maintain_gold(spark, served_path, rows, deltas, before, run, held) -> None:
@@ -170,16 +189,16 @@ def _maintain_gold(spark, served_path, rows, deltas, before, run, held) -> None:
     held.append(firms)
     small = checked_broadcast(firms)
     keys = checked_broadcast(rows.select(F.col(KEYS[0]).alias("_key")))
-    served = read_table(spark, served_path).select(*SILVER_COLUMNS)
-    old = served.join(small, served[FIRM_KEY].eqNullSafe(small["_firm"]), "left").join(
+    served = read_table(spark, served_path).select(*KEYS, *GOLD_COLUMNS)
+    old, spooled = spool(served.join(small, served[FIRM_KEY].eqNullSafe(small["_firm"]), "left").join(
         keys, served[KEYS[0]] == keys["_key"], "left"
-    ).filter("rescored or _key is not null").persist()
-    held.append(old)
+    ).filter("rescored or _key is not null").select(*GOLD_COLUMNS, "n_before", "n_after", "_key"))
+    held.append(Spooled(spark, spooled))
     new = rows.join(small, rows[FIRM_KEY].eqNullSafe(small["_firm"]), "left")
     kept = old.filter("_key is null")
 
     def signed(df, count, sign):
-        counted = df.withColumn("repeated_company_count", F.col(count) - 1).select(*SILVER_COLUMNS, "repeated_company_count")
+        counted = df.withColumn("repeated_company_count", F.col(count) - 1).select(*GOLD_COLUMNS, "repeated_company_count")
         return add_scores(counted).withColumn("sign", F.lit(sign))
 
     changes = signed(old, "n_before", -1).unionByName(signed(kept, "n_after", 1)).unionByName(signed(new, "n_after", 1))

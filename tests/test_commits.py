@@ -225,3 +225,64 @@ def test_only_rows_of_repeated_keys_are_aggregated(spark, tmp_uri):
     assert "LeftAnti" in plan and "LeftSemi" in plan and "partial_max" in plan
     for df in held:
         df.unpersist()
+
+
+def _rows_of_repeated_keys(spark):
+    """Keys of one, two and many rows, ties of the latest date, whole copies, no date at all."""
+    n = F.col("id")
+    rows = spark.range(6000).select(
+        F.when(n % 11 == 0, F.lit("Unknown")).otherwise((n % 900).cast("string")).alias("k"),
+        F.when(n % 5 > 0, F.date_add(F.lit("2020-01-01").cast("date"), (n % 13).cast("int"))).alias("report_date"),
+        (n % 7).cast("int").alias("n"), F.when(n % 3 == 0, F.lit("x")).alias("t"),
+    )
+    return rows.unionByName(rows.filter("n = 4")).unionByName(spark.range(300).select(
+        F.concat(F.lit("once"), "id").alias("k"), F.lit(None).cast("date").alias("report_date"), F.lit(1).alias("n"), F.lit("y").alias("t")
+    )).repartition(5)
+
+
+def test_many_repeated_keys_shuffle_numbers_not_rows(spark, tmp_uri, monkeypatch):
+    """Too many repeated keys for a broadcast: the same pick, and no row that is not
+    tied with another is shuffled; the pick is there to be read again."""
+    rows = _rows_of_repeated_keys(spark)
+    want = sorted(map(str, S.dedupe_latest(rows, ["k"]).collect()))
+    real = S.checked_broadcast
+    spooled, path = S.spool(rows, numbered=True)
+    aggregated = []
+    pick = S.dedupe_latest
+    monkeypatch.setattr(S, "dedupe_latest", lambda df, keys, *a: (aggregated.append(df.count()), pick(df, keys, *a))[1])
+    monkeypatch.setattr(S, "checked_broadcast", lambda df, *a: real(df, *a) if a else df)
+    held = []
+    got = S.latest_rows(spooled, ["k"], held)
+    assert got.columns == rows.columns
+    assert sorted(map(str, got.collect())) == want
+    assert len(aggregated) == 1 and aggregated[0] < rows.count() / 2
+    plan = spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "simple")
+    assert "Exchange" not in plan and "Aggregate" not in plan
+    for df in held:
+        df.unpersist()
+    T.remove_path(spark, path)
+
+
+def joins(df):
+    plan = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+    return "Join" in plan or "InMemoryTableScan" in plan
+
+
+def test_gold_sums_are_added_from_written_rows(spark, tmp_uri, monkeypatch):
+    """The joins behind the scores run once, not for each table of sums, and the old
+    rows are not cached; nothing stays in scratch."""
+    from noticeflow.session import ensure_checkpoint_dir
+
+    scratch, seen = f"{ensure_checkpoint_dir(spark)}/noticeflow-scratch", []
+    batches = lambda: {n for n in T._list(spark, scratch) if n.startswith("batch-")}
+    before, real = batches(), I.G.summary_sums
+    monkeypatch.setattr(I.G, "summary_sums", lambda signed: (seen.append(joins(signed)), real(signed))[1])
+    drop(spark, f"{tmp_uri}/d1", [notice(f"R{m}", "Alpha" if m < 9 else None, f"2020{m:02d}10") for m in range(1, 13)])
+    drop(spark, f"{tmp_uri}/d2", [notice("R2", "Beta", "20210315", status="Ongoing"), notice("R2", "Beta", "20210316"), notice("R20", None, "20210317")])
+    for d in ("d1", "d2"):
+        I.merge_batch(spark, records(spark, f"{tmp_uri}/{d}"), f"{tmp_uri}/served", history=True, gold=True)
+    assert seen == [False, False] and batches() == before
+    kept = I.maintained_gold(spark, f"{tmp_uri}/served")
+    whole = I.G.gold_tables(I.served_table(spark, f"{tmp_uri}/served"))
+    for name in ("company_risk", "geographic_recall_summary", "risk_tier_summary"):
+        assert sorted(map(str, kept[name].collect())) == sorted(map(str, whole[name].select(*kept[name].columns).collect())), name

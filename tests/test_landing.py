@@ -231,3 +231,21 @@ def test_lines_of_a_multiline_file_are_not_parsed_in_a_mixed_landing(spark, tmp_
     found = B.land_bronze(spark, path, on_loss="warn")
     assert numbers(found.records) == ["A", "A", "Z", "Z"] and (found.rejected, found.rejects.count()) == (3, 3)
     assert [s["rejected"] for s in seen] == [3, 0]  # its lines were no rejects for a while
+
+
+def test_written_documents_are_compressed_files_of_bounded_size(spark, tmp_uri, monkeypatch):
+    monkeypatch.setattr(B, "DOCUMENT_RECORDS", 2)
+    monkeypatch.setattr(B, "FILE_DOCUMENTS", 3)
+    rows = [tuple(str(i) if f == "recall_number" else "x" * 2000 for f in B.RECORD_FIELDS) for i in range(100)]
+    df = spark.createDataFrame(rows, ", ".join(f"{f} string" for f in B.RECORD_FIELDS)).coalesce(1)
+    path = f"{tmp_uri}/in"
+    B.write_bronze(df, path, {"source": "s"})
+    files = [n for n in os.listdir(path) if n.startswith("part-")]
+    assert len(files) >= 17 and all(n.endswith(".gz") for n in files)
+    assert sum(os.path.getsize(f"{path}/{n}") for n in files) < 100 * 19 * 2000 / 16
+    assert not B.find_layout(spark, path) and sorted(B.read_bronze(spark, path).collect()) == sorted(map(tuple, df.collect()))
+    found = B.land_bronze(spark, path)
+    assert (found.records.count(), found.held, found.rejected, found.source) == (100, 100, 0, "s")
+    found.discard()
+    (spark.createDataFrame([(PRETTY,)], "value string").coalesce(1).write.option("compression", "gzip").text(f"{tmp_uri}/pretty"))
+    assert B.find_layout(spark, f"{tmp_uri}/pretty") and numbers(B.read_bronze(spark, f"{tmp_uri}/pretty")) == ["A", "Z"]
