@@ -43,8 +43,8 @@ from .tables import (
 )
 
 #: Number of a spooled row, and how many rows share a row of a table of marks.
-ROW = "_row"
-WORDS, WORD_BITS = 16, 64
+ROW = "_spool_row"
+WORDS, WORD_BITS = 16, 64  # 2 ** 10 rows
 #: Rows of such a table, of WORDS words each, that are broadcast.
 MARKS_MAX = 500_000
 #: Hidden column of tables kept in hash buckets, and their usual size in rows.
@@ -195,7 +195,7 @@ def _pick_by_number(rows: DataFrame, keys: list[str], held: list) -> DataFrame:
     )
     held.append(Spooled(spark, path))
 
-    block, word = F.floor(number / (WORDS * WORD_BITS)), (F.shiftrightunsigned(number, 6) % WORDS).cast("int")
+    block, word = F.shiftrightunsigned(number, 10), (F.shiftrightunsigned(number, 6) % WORDS).cast("int")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), (number % WORD_BITS).cast("int"))
     marks = top.filter("_one").select(ROW, block.alias("_block")).repartition("_block").groupBy("_block").agg(
         F.array(*[F.coalesce(F.bit_or(F.when(word == i, bit)), F.lit(0).cast("long")) for i in range(WORDS)]).alias("_marks")

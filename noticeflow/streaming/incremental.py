@@ -67,6 +67,9 @@ GOLD_COLUMNS = [
     "classification", "status", "distribution_pattern", "recall_reason_category", FIRM_KEY, "state", "country",
     "product_category", "recall_initiation_date",
 ]
+#: Shuffle files of a statement go when it ends, not when the driver collects its
+#: garbage. Set in the session of a stream's batches, which is a copy of the caller's.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Days of the rolling report-date window of a daily refresh.
 LOOKBACK_DAYS = 14
 
@@ -111,9 +114,10 @@ def merge_batch(
         # Scores are functions of a row and of the counts over all rows of the
         # window, so that the picked rows alone are scored.
         rows = latest_rows(fill_keys(silver.select(*SILVER_COLUMNS, ROW), KEYS), KEYS, held)
+        scored, path = spool(score_recalls(rows, history=silver).select(*SCORED_COLUMNS))
+        held.append(Spooled(spark, path))
         upsert_partitioned(
-            spark, served_path, score_recalls(rows, history=silver).select(*SCORED_COLUMNS), KEYS, PARTITION_COL,
-            partition_value("recalls"), assume_unique=True,
+            spark, served_path, scored, KEYS, PARTITION_COL, partition_value("recalls"), assume_unique=True,
         )
     finally:
         for df in held:
@@ -267,6 +271,7 @@ def incremental_refresh(
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
+        session.conf.set(SHUFFLE_CLEANUP, "true")
         landed = land_texts(session, batch, multiline, on_loss, f"{rejects}/batch={epoch_id}")
         merge_batch(session, landed.records, served_path, history, report_start, report_end, gold)
         landed.discard()

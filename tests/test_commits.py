@@ -286,3 +286,26 @@ def test_gold_sums_are_added_from_written_rows(spark, tmp_uri, monkeypatch):
     whole = I.G.gold_tables(I.served_table(spark, f"{tmp_uri}/served"))
     for name in ("company_risk", "geographic_recall_summary", "risk_tier_summary"):
         assert sorted(map(str, kept[name].collect())) == sorted(map(str, whole[name].select(*kept[name].columns).collect())), name
+
+
+def test_scored_rows_are_written_once_for_the_upsert(spark, tmp_uri, monkeypatch):
+    """The upsert reads its batch several times; the counts are not joined each time."""
+    seen, real = [], I.upsert_partitioned
+    monkeypatch.setattr(I, "upsert_partitioned", lambda s, path, updates, *a, **k: (seen.append(joins(updates)), real(s, path, updates, *a, **k))[1])
+    drop(spark, f"{tmp_uri}/d1", [notice("R1", "Alpha", "20200110"), notice("R1", "Alpha", "20200111"), notice("R2", "Alpha", "20200301")])
+    drop(spark, f"{tmp_uri}/d2", [notice("R2", None, "20200520"), notice("R5", None, "20200521")])
+    for d in ("d1", "d2"):
+        I.merge_batch(spark, records(spark, f"{tmp_uri}/{d}"), f"{tmp_uri}/served")
+    assert seen == [False, False]
+    # Scores count repeated records of their own batch.
+    assert [(r[0], r[2]) for r in served(spark, f"{tmp_uri}/served")] == [("R1", 2), ("R2", 1), ("R5", 1)]
+
+
+def test_shuffle_files_of_a_batch_go_with_their_statement(spark, tmp_uri, monkeypatch):
+    """Only in the session of the batches; the caller's stays as it was."""
+    seen, real, was = [], I.merge_batch, spark.conf.get(I.SHUFFLE_CLEANUP)
+    monkeypatch.setattr(I, "merge_batch", lambda session, *args: (seen.append(session.conf.get(I.SHUFFLE_CLEANUP)), real(session, *args)))
+    drop(spark, f"{tmp_uri}/d1", [notice(f"R{m % 9}", "Alpha" if m < 9 else None, f"2020{m:02d}10") for m in range(1, 13)])
+    I.incremental_refresh(spark, f"{tmp_uri}/d1", f"{tmp_uri}/served", f"{tmp_uri}/ckpt", history=True, gold=True)
+    assert seen == ["true"] and spark.conf.get(I.SHUFFLE_CLEANUP) == was
+    assert I.served_table(spark, f"{tmp_uri}/served").count() == 9
