@@ -5,6 +5,7 @@ import os
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from noticeflow.plans import stages
 from noticeflow.sources import bronze as B
@@ -234,18 +235,19 @@ def test_lines_of_a_multiline_file_are_not_parsed_in_a_mixed_landing(spark, tmp_
 
 
 def test_written_documents_are_compressed_files_of_bounded_size(spark, tmp_uri, monkeypatch):
-    monkeypatch.setattr(B, "DOCUMENT_RECORDS", 2)
-    monkeypatch.setattr(B, "FILE_DOCUMENTS", 3)
-    rows = [tuple(str(i) if f == "recall_number" else "x" * 2000 for f in B.RECORD_FIELDS) for i in range(100)]
-    df = spark.createDataFrame(rows, ", ".join(f"{f} string" for f in B.RECORD_FIELDS)).coalesce(1)
+    monkeypatch.setattr(B, "FILE_DOCUMENTS", 1)
+    n = 3 * B.DOCUMENT_RECORDS + 500
+    df = spark.range(n).coalesce(1).select(*[
+        F.col("id").cast("string").alias(f) if f == "recall_number" else F.lit("some text " * 10).alias(f) for f in B.RECORD_FIELDS
+    ])
     path = f"{tmp_uri}/in"
     B.write_bronze(df, path, {"source": "s"})
-    files = [n for n in os.listdir(path) if n.startswith("part-")]
-    assert len(files) >= 17 and all(n.endswith(".gz") for n in files)
-    assert sum(os.path.getsize(f"{path}/{n}") for n in files) < 100 * 19 * 2000 / 16
-    assert not B.find_layout(spark, path) and sorted(B.read_bronze(spark, path).collect()) == sorted(map(tuple, df.collect()))
+    files = [x for x in os.listdir(path) if x.startswith("part-")]
+    assert len(files) == 4 and all(x.endswith(".gz") for x in files)
+    assert sum(os.path.getsize(f"{path}/{x}") for x in files) < n * 18 * 100 / 10
+    assert not B.find_layout(spark, path) and numbers(B.read_bronze(spark, path)) == sorted(map(str, range(n)))
     found = B.land_bronze(spark, path)
-    assert (found.records.count(), found.held, found.rejected, found.source) == (100, 100, 0, "s")
+    assert (found.records.count(), found.documents, found.held, found.rejected, found.source) == (n, 4, n, 0, "s")
     found.discard()
-    (spark.createDataFrame([(PRETTY,)], "value string").coalesce(1).write.option("compression", "gzip").text(f"{tmp_uri}/pretty"))
+    spark.createDataFrame([(PRETTY,)], "value string").coalesce(1).write.option("compression", "gzip").text(f"{tmp_uri}/pretty")
     assert B.find_layout(spark, f"{tmp_uri}/pretty") and numbers(B.read_bronze(spark, f"{tmp_uri}/pretty")) == ["A", "Z"]
